@@ -7,12 +7,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.session import estimated_bytes
+
 # A dimension of at most this many counted keys may be broadcast.
 BROADCAST_KEYS = 1_000_000
 # A key is hot when it holds more than this share of the rows, so there are never more than 1 / share of them.
 HOT_SHARE = 0.01
-# Below this many rows a hot key does no harm.
+# Below this many rows a hot key does no harm, and below this input size there cannot be that many.
 HOT_MIN_ROWS = 1_000_000
+HOT_MIN_BYTES = 64 * 1024 * 1024
 # Number of parts a hot key is split into.
 SPREAD = 256
 
@@ -41,17 +44,20 @@ def skew_safe_join(
     spread: int = SPREAD,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
+    min_bytes: int = HOT_MIN_BYTES,
 ) -> DataFrame:
     """Equi-join (inner or left semi) of a large ``left`` whose key may be hot with a ``right`` of few rows per key.
 
     Rows of a hot key are spread over ``spread`` reducers by the map task they come from, and the matching right
     rows, at most ``1 / share`` keys, are repeated once per part. The part number depends on the task and not on
     row order, so a task that runs again after a lost executor sends its rows to the same place. Without a hot
-    key this is a plain join.
+    key, or with a ``left`` that Spark estimates below ``min_bytes``, this is a plain join.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    hot = hot_keys(left, key, share, min_rows)
+    size = estimated_bytes(left)
+    small = size is not None and size < min_bytes
+    hot = [] if small else hot_keys(left, key, share, min_rows)
     if not hot:
         return left.join(right, key, how)
     is_hot = F.col(key).isin(hot)
@@ -67,11 +73,13 @@ def existing_only(df: DataFrame, other: DataFrame, key: str, **skew: float) -> D
     return skew_safe_join(df, other.select(key), key, "left_semi", **skew)
 
 
-def existing_in_dimension(df: DataFrame, dimension: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS, **skew: float) -> DataFrame:
+def existing_in_dimension(
+    df: DataFrame, dimension: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS, **skew: float
+) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``dimension``.
 
-    The distinct dimension keys are counted first: up to ``broadcast_keys`` they are broadcast, so ``df`` is not
-    shuffled at all; a larger dimension takes the skew-safe shuffle join.
+    Up to ``broadcast_keys`` distinct dimension keys, counted beforehand, are broadcast, so ``df`` is not shuffled
+    at all; a larger dimension takes the skew-safe shuffle join.
     """
     keys = dimension.select(key).distinct()
     if keys.count() <= broadcast_keys:

@@ -25,6 +25,7 @@ from kerbside.functions.numeric import ratio_pct, round2
 from kerbside.operators.dedup import duplicate_profile
 from kerbside.plans import anomalies
 from kerbside.plans.metrics import revenue_bookings
+from kerbside.session import materialise
 
 ERROR, WARN = "error", "warn"
 
@@ -219,33 +220,54 @@ def _counted(violations: DataFrame, model: str, name: str, column: str, populati
     )
 
 
-def run_singular(models: Mapping[str, DataFrame]) -> DataFrame:
+def singular_findings(models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The violation rows of the five violation queries. The amount outliers, the costly ones, are written once."""
+    return {
+        "click_without_result": anomalies.clicks_without_result(models["int_searches"]),
+        "long_sessions": anomalies.long_sessions(models["int_sessions"]),
+        "amount_outliers": materialise(anomalies.amount_outliers(models["int_bookings"]), "amount-outliers"),
+        "refund_over_total": anomalies.refunds_over_total(models["stg_cancellations"], models["stg_bookings"]),
+        "same_user_day": anomalies.same_user_day(models["int_bookings"]),
+    }
+
+
+def run_singular(models: Mapping[str, DataFrame], found: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The five violation queries as checks; all of them only warn."""
+    found = singular_findings(models) if found is None else found
     revenue = revenue_bookings(models["int_bookings"]).filter(F.col("total_amount") > 0)
     users = models["int_bookings"].filter(F.col("user_id").isNotNull()).select("user_id").distinct()
-    found = [
-        _counted(anomalies.clicks_without_result(models["int_searches"]), "int_searches", "click_without_result", "partner_id_clicked", models["int_searches"]),
-        _counted(anomalies.long_sessions(models["int_sessions"]), "int_sessions", "long_sessions", "ended_at", models["int_sessions"]),
-        _counted(anomalies.amount_outliers(models["int_bookings"]), "int_bookings", "amount_outliers", "total_amount", revenue),
-        _counted(anomalies.refunds_over_total(models["stg_cancellations"], models["stg_bookings"]), "stg_cancellations", "refund_over_total", "refund_amount", models["stg_cancellations"], F.col("copies")),
-        _counted(anomalies.same_user_day(models["int_bookings"]), "int_bookings", "same_user_day", "user_id", users),
+    # check: (model, column, population, rows a violation stands for)
+    described = {
+        "click_without_result": ("int_searches", "partner_id_clicked", models["int_searches"], None),
+        "long_sessions": ("int_sessions", "ended_at", models["int_sessions"], None),
+        "amount_outliers": ("int_bookings", "total_amount", revenue, None),
+        "refund_over_total": ("stg_cancellations", "refund_amount", models["stg_cancellations"], F.col("copies")),
+        "same_user_day": ("int_bookings", "user_id", users, None),
+    }
+    parts = [
+        _counted(found[name], model, name, column, population, rows)
+        for name, (model, column, population, rows) in described.items()
     ]
-    return _judge(reduce(DataFrame.unionByName, found))
+    return _judge(reduce(DataFrame.unionByName, parts))
 
 
-def run_suite(models: Mapping[str, DataFrame], checks: Iterable[Check] = SUITE) -> DataFrame:
+def run_suite(
+    models: Mapping[str, DataFrame], checks: Iterable[Check] = SUITE, found: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Declared and singular checks together."""
-    return run_checks(models, checks).unionByName(run_singular(models))
+    return run_checks(models, checks).unionByName(run_singular(models, found))
 
 
 def alert_limits(
     models: Mapping[str, DataFrame],
     categories: Sequence[str] = (*CAR_CATEGORIES, KNOWN_EXTRA_CATEGORY),
     limits: Mapping[str, float] = ALERT_LIMITS_PCT,
+    found: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Every warning as a rate of its population against its limit: one row each, and one per category for
     amount outliers. A category outside the known list alerts at once."""
-    singular = run_singular(models).filter(F.col("check") != "amount_outliers").select(
+    found = singular_findings(models) if found is None else found
+    singular = run_singular(models, found).filter(F.col("check") != "amount_outliers").select(
         F.col("check").alias("finding"), F.lit(None).cast("string").alias("segment"), "failing_rows", "population"
     )
     negative = models["stg_cancellations"].agg(
@@ -255,7 +277,7 @@ def alert_limits(
         F.count("*").alias("population"),
     )
     base = revenue_bookings(models["int_bookings"]).filter(F.col("total_amount") > 0)
-    outliers = anomalies.amount_outliers(models["int_bookings"]).groupBy("car_category").agg(F.count("*").alias("failing_rows"))
+    outliers = found["amount_outliers"].groupBy("car_category").agg(F.count("*").alias("failing_rows"))
     per_category = (
         base.groupBy(F.coalesce("car_category", F.lit(NULL_CATEGORY_LABEL)).alias("car_category"))
         .agg(F.count("*").alias("population"))

@@ -252,7 +252,7 @@ IQR_BASE = """iqr_base AS (
 iqr AS (SELECT car_category, q3 + 1.5 * (q3 - q1) AS limite_superior FROM (
   SELECT car_category, quantile_cont(total_amount, 0.25) AS q1, quantile_cont(total_amount, 0.75) AS q3
   FROM iqr_base GROUP BY car_category))"""
-IQR = """SELECT booking_id, car_category, total_amount, limite_superior FROM iqr_base JOIN iqr USING (car_category)
+IQR = """SELECT booking_id, car_category, total_amount, round(limite_superior, 6) AS limite_superior FROM iqr_base JOIN iqr USING (car_category)
 WHERE total_amount > limite_superior"""
 REFUNDS = """SELECT c.cancellation_id, c.booking_id, c.refund_amount, b.total_amount, count(*) AS copies
 FROM stg_cancellations c JOIN stg_bookings b ON c.booking_id = b.booking_id WHERE c.refund_amount > b.total_amount
@@ -593,12 +593,12 @@ ORDER BY l_orderkey, l_linenumber, l_shipdate DESC, l_partkey DESC, l_suppkey DE
         for f in "ANR"
     )
     + " FROM lineitem GROUP BY l_linestatus",
-    "event_outliers": """SELECT event_id, e.event_type, value, upper_limit FROM events e JOIN (
+    "event_outliers": """SELECT event_id, e.event_type, value, round(upper_limit, 6) AS upper_limit FROM events e JOIN (
   SELECT event_type, q3 + 1.5 * (q3 - q1) AS upper_limit FROM (
     SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)) l
 ON e.event_type = l.event_type WHERE value > upper_limit""",
-    "price_quantiles": """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 2) AS q_0,
-  round(quantile_cont(l_extendedprice, 0.5), 2) AS q_1, round(quantile_cont(l_extendedprice, 0.95), 2) AS q_2
+    "price_quantiles": """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 6) AS q_0,
+  round(quantile_cont(l_extendedprice, 0.5), 6) AS q_1, round(quantile_cont(l_extendedprice, 0.95), 6) AS q_2
 FROM lineitem GROUP BY l_returnflag""",
     "event_bursts": """SELECT user_id, max(n) AS peak FROM (
   SELECT user_id, time_bucket(INTERVAL 7 DAY, ts) AS b, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1 HAVING max(n) > 1""",
