@@ -20,7 +20,7 @@ from kerbside.operators.bursts import fixed_bursts, sliding_bursts
 from kerbside.operators.dedup import latest_per_key
 from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
 from kerbside.plans import anomalies, metrics, quality, report
-from kerbside.plans.models import INTERMEDIATE, STAGING, Models, active_bookings, int_bookings, stage
+from kerbside.plans.models import INTERMEDIATE, STAGING, Models, int_bookings, int_sessions, stage
 from kerbside.session import scratch_path
 from kerbside.sources.facts import FactTable
 from kerbside.sources.mapping import MAPPED_CATEGORIES, daily_rates, raw_tables, search_events, table
@@ -88,54 +88,59 @@ def _number(column: str) -> Column:
     return F.substring(column, 4, 20).cast("long")
 
 
+def _before(ts: str, cut: str) -> Column:
+    return F.col(ts) < F.lit(cut).cast("timestamp_ntz")
+
+
 def fct_bookings_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load of the early half, replaced by a full refresh."""
+    m = _models(spark, sf_dir)
     fact = _fact(spark, "booking_id", "booked_at")
-    source = _models(spark, sf_dir, written=True)["int_bookings"]
-    fact.load(source)
-    return fact.load(source, full_refresh=True)
+    fact.load(int_bookings(m["stg_bookings"].filter(_before("booked_at", BOOKING_CUT)), m["stg_partners"]))
+    return fact.load(m["int_bookings"], full_refresh=True)
 
 
-def _two_loads(source: DataFrame, fact: FactTable, first: DataFrame, second: DataFrame) -> DataFrame:
-    fact.load(first)
-    fact.load(second)
-    return fact.load(second)  # a repeated run changes nothing
+def _two_loads(fact: FactTable, first: DataFrame, second: DataFrame, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Load the staged rows of a first run, then those a second run finds above the mark."""
+    fact.load(prepare(first))
+    return fact.load(prepare(fact.pending(second)))
 
 
-def _before(ts: str, cut: str) -> Column:
-    return F.col(ts) < F.lit(cut).cast("timestamp_ntz")
+def _booking_loads(spark: SparkSession, sf_dir: str, first: Column, change: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    m = _models(spark, sf_dir)
+    staged = m["stg_bookings"]
+    fact = _fact(spark, "booking_id", "booked_at")
+    return _two_loads(fact, staged.filter(first), change(staged), lambda rows: int_bookings(rows, m["stg_partners"]))
 
 
 def fct_bookings_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _models(spark, sf_dir, written=True)["int_bookings"]
-    fact = _fact(spark, "booking_id", "booked_at")
-    return _two_loads(source, fact, source.filter(_before("booked_at", BOOKING_CUT)), source)
+    return _booking_loads(spark, sf_dir, _before("booked_at", BOOKING_CUT))
 
 
 def fct_bookings_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that arrive after the mark has passed them are not loaded."""
-    source = _models(spark, sf_dir, written=True)["int_bookings"]
-    on_time = _before("booked_at", BOOKING_CUT) & (_number("booking_id") % 10 != 3)
-    return _two_loads(source, _fact(spark, "booking_id", "booked_at"), source.filter(on_time), source)
+    return _booking_loads(spark, sf_dir, _before("booked_at", BOOKING_CUT) & (_number("booking_id") % 10 != 3))
 
 
 def fct_bookings_updated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose time moved above the mark replace their old version."""
-    source = _models(spark, sf_dir, written=True)["int_bookings"]
-    moves = _before("booked_at", BOOKING_CUT) & (_number("booking_id") % 20 == 7)
-    moved = source.withColumns(
-        {
-            "booked_at": F.when(moves, F.lit(MOVED_TO).cast("timestamp_ntz")).otherwise(F.col("booked_at")),
-            "status": F.when(moves, F.lit("completed")).otherwise(F.col("status")),
-        }
-    )
-    first = source.filter(_before("booked_at", BOOKING_CUT))
-    return _two_loads(source, _fact(spark, "booking_id", "booked_at"), first, moved)
+    moves = _before("booked_at", BOOKING_CUT) & (_number("booking_id") % 20 == 7) & (F.col("total_amount") > 0)
+
+    def moved(staged: DataFrame) -> DataFrame:
+        return staged.withColumns(
+            {
+                "booked_at": F.when(moves, F.lit(MOVED_TO).cast("timestamp_ntz")).otherwise(F.col("booked_at")),
+                "status": F.when(moves, F.lit("completed")).otherwise(F.col("status")),
+            }
+        )
+
+    return _booking_loads(spark, sf_dir, _before("booked_at", BOOKING_CUT), moved)
 
 
 def fct_sessions_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _models(spark, sf_dir, written=True)["int_sessions"]
+    staged = _models(spark, sf_dir)["stg_sessions"]
     fact = _fact(spark, "session_id", "started_at")
-    return _two_loads(source, fact, source.filter(_before("started_at", SESSION_CUT)), source)
+    return _two_loads(fact, staged.filter(_before("started_at", SESSION_CUT)), staged, int_sessions)
 
 
 # -- streams --------------------------------------------------------------------------------------------------
@@ -166,13 +171,12 @@ def stream_fct_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- reports --------------------------------------------------------------------------------------------------
-def _active(m: Models) -> DataFrame:
-    return active_bookings(m["stg_bookings"], m["stg_partners"])
+def _parts(m: Models) -> DataFrame:
+    return report.monthly_parts(m["active_bookings"], m["int_cancellations"])
 
 
 def _report(m: Models) -> DataFrame:
-    made = report.revenue_by_partner(_active(m), m["int_cancellations"], m["dim_partners"])
-    return report.check_contract(made)
+    return report.check_contract(report.revenue_by_partner(_parts(m), m["dim_partners"]))
 
 
 def fx_revenue(rate_date: str) -> Query:
@@ -337,8 +341,8 @@ def _all() -> dict[str, Query]:
             raw_tables(spark, sf_dir), quality.RAW_KEYS
         ),
         "profile_case_variants": profile_case_variants,
-        "rpt_revenue_by_partner": _on_models(_report),
-        "completeness_index": _on_models(lambda m: report.completeness_index(_active(m), m["int_cancellations"])),
+        "rpt_revenue_by_partner": _on_models(_report, written=True),
+        "completeness_index": _on_models(lambda m: report.completeness_index(_parts(m)), written=True),
         "suspicious_rate": _on_models(lambda m: report.suspicious_rate(m["int_bookings"])),
         "currency_domain_check": _on_models(lambda m: quality.currency_domain(m["fct_bookings"], CURRENCIES[:4])),
         "net_revenue": _on_models(lambda m: report.net_revenue(m["fct_bookings"], m["int_cancellations"])),

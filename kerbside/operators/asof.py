@@ -49,5 +49,6 @@ def asof_join(
     Only distinct (key, time) pairs take part in the lookup; the answer is written, so its true size decides
     between a broadcast and a shuffle join, and in the latter Spark splits hot pairs at run time.
     """
-    found = materialise(asof_lookup(left, facts, key, left_time, fact_time, value, block_days), "asof")
+    points = materialise(left.select(key, left_time).distinct(), "asof-points")
+    found = materialise(asof_lookup(points, facts, key, left_time, fact_time, value, block_days), "asof")
     return left.join(found, [key, left_time], "left")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from kerbside.session import estimated_bytes
 
-# A dimension of at most this many counted keys may be broadcast.
-BROADCAST_KEYS = 1_000_000
+# A dimension of at most this many counted rows may be broadcast.
+BROADCAST_ROWS = 1_000_000
 # A key is hot when it holds more than this share of the rows, so there are never more than 1 / share of them.
 HOT_SHARE = 0.01
 # Below this many rows a hot key does no harm, and below this input size there cannot be that many.
@@ -74,17 +74,17 @@ def existing_only(df: DataFrame, other: DataFrame, key: str, **skew: float) -> D
 
 
 def existing_in_dimension(
-    df: DataFrame, dimension: DataFrame, key: str, broadcast_keys: int = BROADCAST_KEYS, **skew: float
+    df: DataFrame, dimension: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS, **skew: float
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``dimension``.
 
-    Up to ``broadcast_keys`` distinct dimension keys, counted beforehand, are broadcast, so ``df`` is not shuffled
-    at all; a larger dimension takes the skew-safe shuffle join.
+    The dimension rows are counted first: up to ``broadcast_rows`` of them, their keys are broadcast and ``df`` is
+    not shuffled at all; a larger dimension takes the skew-safe shuffle join on its distinct keys.
     """
-    keys = dimension.select(key).distinct()
-    if keys.count() <= broadcast_keys:
+    keys = dimension.select(key)
+    if keys.count() <= broadcast_rows:
         return df.join(F.broadcast(keys), key, "left_semi")
-    return skew_safe_join(df, keys, key, "left_semi", **skew)
+    return skew_safe_join(df, keys.distinct(), key, "left_semi", **skew)
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

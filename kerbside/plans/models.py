@@ -87,10 +87,17 @@ def dim_users(sessions: DataFrame, bookings: DataFrame) -> DataFrame:
 STAGING = tuple(f"stg_{t}" for t in RAW_COLUMNS)
 INTERMEDIATE = ("int_partners", "int_sessions", "int_searches", "int_bookings", "int_cancellations")
 MARTS = ("dim_partners", "dim_users", "fct_bookings", "fct_sessions")
+# Models whose making shuffles. int_bookings is a plain filter of active_bookings.
+_WRITTEN = ("int_partners", "int_sessions", "int_searches", "active_bookings", "int_cancellations", "dim_users")
 
 
 class Models:
-    """The model graph over a set of raw tables. Each model is built once, when first asked for."""
+    """The model graph over a set of raw tables. Each model is built once, when first asked for.
+
+    With ``written`` every model that takes a shuffle to make is written to the shared folder when first asked for,
+    so that several readers share one run of it and each reads only the columns it needs. A job that reads a model
+    once leaves it lazy, and Catalyst plans through it.
+    """
 
     def __init__(self, raw: dict[str, DataFrame], strict: bool = True, written: bool = False):
         self._raw, self._strict, self._written = raw, strict, written
@@ -99,7 +106,7 @@ class Models:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             df = self._build(name)
-            keep = self._written and name in (*INTERMEDIATE, "dim_users")
+            keep = self._written and name in _WRITTEN
             self._built[name] = materialise(df, name) if keep else df
         return self._built[name]
 
@@ -111,7 +118,8 @@ class Models:
             "int_partners": lambda: int_partners(self["stg_partners"]),
             "int_sessions": lambda: int_sessions(self["stg_sessions"]),
             "int_searches": lambda: int_searches(self["stg_searches"], self["int_sessions"]),
-            "int_bookings": lambda: int_bookings(self["stg_bookings"], self["stg_partners"]),
+            "active_bookings": lambda: active_bookings(self["stg_bookings"], self["stg_partners"]),
+            "int_bookings": lambda: valid_amounts(self["active_bookings"]),
             "int_cancellations": lambda: int_cancellations(self["stg_cancellations"], self["stg_bookings"]),
             "dim_partners": lambda: dim_partners(self["int_partners"]),
             "dim_users": lambda: dim_users(self["int_sessions"], self["int_bookings"]),

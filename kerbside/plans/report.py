@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.constants import COMPLETENESS_LIMIT_PCT, CURRENCIES, REVENUE_STATUSES, SUSPICIOUS_LIMIT_PCT
@@ -14,68 +14,76 @@ from kerbside.operators.asof import asof_lookup
 from kerbside.operators.joins import with_presence
 from kerbside.plans.metrics import revenue_bookings, standing_revenue
 from kerbside.schemas import REVENUE_CONTRACT
+from kerbside.session import materialise
 
 
-def _monthly_parts(active: DataFrame, cancellations: DataFrame) -> DataFrame:
-    """Partner, month and currency with revenue, booking count, invalid count and flagged count.
+def monthly_parts(active: DataFrame, cancellations: DataFrame) -> DataFrame:
+    """Partner, month and currency with revenue, booking count, invalid count, flagged count and newest booking.
 
     ``active`` holds the latest bookings of active partners before the amount rule, since the invalid ones must
     still be there to be counted. Flagged bookings are counted per (user, day, partner, currency) before the
-    (user, day) totals are joined, so a user with very many bookings on a day is a few rows by then.
+    (user, day) totals are joined, so a user with very many bookings on a day is a few rows by then. The result,
+    one row per partner, month and currency, is written once; report, alerts and the partial-month mark read it.
     """
     zero = F.lit(0).cast("long")
-    earning = revenue_bookings(active).withColumn("reference_month", month_start("booked_at"))
-    valid = F.coalesce(F.col("total_amount") > 0, F.lit(False))
-    flagged_cancelled = with_presence(earning, cancellations, "booking_id", "cancelled")
-    counts = flagged_cancelled.groupBy("partner_id", "reference_month", "currency").agg(
-        F.sum(F.when(valid & ~F.col("cancelled"), money("total_amount"))).alias("revenue"),
-        F.count_if(valid & ~F.col("cancelled")).alias("bookings"),
-        F.count_if(~valid).alias("invalid"),
-        zero.alias("flagged"),
+    group = ["partner_id", "reference_month", "currency"]
+    dated = active.withColumn("reference_month", month_start("booked_at"))
+    valid = F.coalesce((F.col("total_amount") > 0) & F.col("status").isin(*REVENUE_STATUSES), F.lit(False))
+    invalid = F.col("status").isin(*REVENUE_STATUSES) & ~valid
+    counted = valid & ~F.col("cancelled")
+    counts = (
+        with_presence(dated, cancellations, "booking_id", "cancelled")
+        .groupBy(*group)
+        .agg(
+            F.sum(F.when(counted, money("total_amount"))).alias("revenue"),
+            F.count_if(counted).alias("bookings"),
+            F.count_if(invalid).alias("invalid"),
+            zero.alias("flagged"),
+            F.max("booked_at").alias("newest"),
+        )
     )
-    day = F.col("booked_at").cast("date")
     user_days = (
-        earning.filter(valid & F.col("user_id").isNotNull())
-        .groupBy("user_id", day.alias("booked_date"), "partner_id", "reference_month", "currency")
+        dated.filter(valid & F.col("user_id").isNotNull())
+        .groupBy("user_id", F.col("booked_at").cast("date").alias("booked_date"), *group)
         .agg(F.count("*").alias("n"))
     )
     crowded = user_days.groupBy("user_id", "booked_date").agg(F.sum("n").alias("total")).filter(F.col("total") > 1)
-    suspicious = user_days.join(crowded, ["user_id", "booked_date"], "left_semi").groupBy(
-        "partner_id", "reference_month", "currency"
-    ).agg(
-        F.lit(None).cast("decimal(28,2)").alias("revenue"),
-        zero.alias("bookings"),
-        zero.alias("invalid"),
-        F.sum("n").alias("flagged"),
+    flagged = (
+        user_days.join(crowded, ["user_id", "booked_date"], "left_semi")
+        .groupBy(*group)
+        .agg(
+            F.lit(None).cast("decimal(28,2)").alias("revenue"),
+            zero.alias("bookings"),
+            zero.alias("invalid"),
+            F.sum("n").alias("flagged"),
+            F.lit(None).cast("timestamp_ntz").alias("newest"),
+        )
     )
-    return counts.unionByName(suspicious).groupBy("partner_id", "reference_month", "currency").agg(
+    parts = counts.unionByName(flagged).groupBy(*group).agg(
         F.sum("revenue").cast("decimal(28,2)").alias("revenue"),
         F.sum("bookings").alias("bookings"),
         F.sum("invalid").alias("invalid"),
         F.sum("flagged").alias("flagged"),
+        F.max("newest").alias("newest"),
     )
+    return materialise(parts, "monthly-parts")
 
 
-def _as_of(active: DataFrame, as_of: Column | None) -> Column:
-    return active.agg(F.max("booked_at")).scalar() if as_of is None else as_of
-
-
-def revenue_by_partner(
-    active: DataFrame, cancellations: DataFrame, partners: DataFrame, as_of: Column | None = None
-) -> DataFrame:
-    """The contract report: one row per partner, month and currency with revenue.
+def revenue_by_partner(parts: DataFrame, partners: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The contract report from the monthly parts: one row per partner, month and currency with revenue.
 
     The invalid and flagged counts belong to the partner and month and repeat on each currency row; do not sum
-    them. Revenue is never summed across currencies. A month that ends after ``as_of`` (the latest booking by
-    default) is partial.
+    them (the window that spreads them holds one row per currency). Revenue is never summed across currencies. The
+    month of ``as_of`` (the newest booking by default) and later ones are partial.
     """
-    parts = _monthly_parts(active, cancellations)
-    per_month = parts.groupBy("partner_id", "reference_month").agg(
-        F.sum("invalid").alias("excluded_invalid_amount_count"), F.sum("flagged").alias("flagged_suspicious_booking_count")
+    as_of = parts.agg(F.max("newest")).scalar() if as_of is None else as_of
+    month = Window.partitionBy("partner_id", "reference_month")
+    spread = parts.select(
+        "*",
+        F.sum("invalid").over(month).alias("excluded_invalid_amount_count"),
+        F.sum("flagged").over(month).alias("flagged_suspicious_booking_count"),
     )
-    rows = parts.filter(F.col("bookings") > 0).join(per_month, ["partner_id", "reference_month"])
-    named = rows.join(partners.select("partner_id", "partner_name"), "partner_id")
-    open_month = F.col("reference_month") >= month_start(_as_of(active, as_of))
+    named = spread.filter(F.col("bookings") > 0).join(partners.select("partner_id", "partner_name"), "partner_id")
     return named.select(
         "partner_id",
         "partner_name",
@@ -85,7 +93,7 @@ def revenue_by_partner(
         F.col("bookings").alias("booking_count"),
         "excluded_invalid_amount_count",
         "flagged_suspicious_booking_count",
-        open_month.alias("is_partial_month"),
+        (F.col("reference_month") >= month_start(as_of)).alias("is_partial_month"),
     )
 
 
@@ -119,11 +127,9 @@ def publishable(report: DataFrame, allowed: Sequence[str] = CURRENCIES) -> DataF
     return report
 
 
-def completeness_index(
-    active: DataFrame, cancellations: DataFrame, limit_pct: float = COMPLETENESS_LIMIT_PCT
-) -> DataFrame:
+def completeness_index(parts: DataFrame, limit_pct: float = COMPLETENESS_LIMIT_PCT) -> DataFrame:
     """Share of revenue-status bookings left out for a missing or bad amount, per partner and month, with an alert."""
-    per_month = _monthly_parts(active, cancellations).groupBy("partner_id", "reference_month").agg(
+    per_month = parts.groupBy("partner_id", "reference_month").agg(
         F.sum("bookings").alias("booking_count"), F.sum("invalid").alias("excluded_invalid_amount_count")
     )
     whole = F.col("booking_count") + F.col("excluded_invalid_amount_count")
@@ -190,7 +196,8 @@ def revenue_in_brl(
     """Standing revenue by month, converted with the latest rate at or before the booking day or the month's end.
 
     Amounts are summed per (currency, day) before the rates are looked up: currencies are few and heavy, days
-    are many and light. ``unconverted_bookings`` counts those without any earlier rate.
+    are many and light. These sums are written once, since the lookup and the join both read them.
+    ``unconverted_bookings`` counts those without any earlier rate.
     """
     if rate_date not in ("booking", "month_close"):
         raise ValueError(f"unknown rate date {rate_date}")
@@ -201,6 +208,7 @@ def revenue_in_brl(
         .groupBy("currency", rate_day.alias("rate_day"), month_start("booked_at").alias("reference_month"))
         .agg(F.sum(money("total_amount")).alias("amount"), F.count("*").alias("n"))
     )
+    daily = materialise(daily, "daily-amounts")
     found = asof_lookup(daily, rates, "currency", "rate_day", "rate_date", "rate")
     priced = daily.join(found, ["currency", "rate_day"], "left")
     converted = F.sum(F.col("amount").cast("decimal(20,2)") * F.col("rate").cast("decimal(16,6)"))

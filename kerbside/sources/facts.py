@@ -51,6 +51,15 @@ class FactTable:
         state = self._newest()
         return None if state is None else max((f["loaded_at"] for f in state["folders"]), default=None)
 
+    def pending(self, staged: DataFrame, lookback: str | None = None) -> DataFrame:
+        """Rows of ``staged`` that the next load could admit, to be cut before any dedup.
+
+        The latest version of a key lies above the mark exactly if some version does, so deduplicating only these
+        rows gives the same batch, and the time limit reaches the scan instead of stopping at the dedup window.
+        """
+        mark = self.high_water_mark()
+        return staged if mark is None else self._admitted(staged, mark, "load", lookback)
+
     # -- loading ------------------------------------------------------------------------------------------------
     def load(
         self, source: DataFrame, full_refresh: bool = False, empty_target: str = "block", lookback: str | None = None

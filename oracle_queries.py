@@ -460,7 +460,7 @@ UNION ALL SELECT * FROM second_load WHERE {ts} > (SELECT max({ts}) FROM first_lo
 
 
 _NUMBER = "CAST(substr(booking_id, 4) AS BIGINT)"
-_MOVES = f"booked_at < TIMESTAMP '{BOOKING_CUT}' AND {_NUMBER} % 20 = 7"
+_MOVES = f"booked_at < TIMESTAMP '{BOOKING_CUT}' AND {_NUMBER} % 20 = 7 AND total_amount > 0"
 
 ORACLES: dict[str, str] = {
     **{f"stg_{t}": _on(f"SELECT * FROM stg_{t}") for t in ("partners", "sessions", "searches", "bookings", "cancellations")},

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from kerbside.operators.dedup import latest_per_key
 from kerbside.sources.facts import FactTable
 from kerbside.streaming.jobs import bursts_from_counts, stream_burst_counts, stream_into_fact
 
@@ -80,6 +81,18 @@ def test_only_periods_that_lose_a_row_are_rewritten(spark, tmp_path):
     assert fact.last_loaded_at() is not None
 
 
+def test_cutting_before_the_dedup_gives_the_same_load(spark, tmp_path):
+    first = [("a", 1, 1), ("b", 5, 1), ("c", 5, 1)]
+    second = [("a", 2, 2), ("a", 7, 3), ("a", 6, 9), ("b", 5, 8), ("d", 8, 1), ("d", 3, 7), ("e", 4, 1)]
+    results = []
+    for name, cut in (("before", True), ("after", False)):
+        fact = FactTable(spark, str(tmp_path / name), "id", "ts", "month")
+        fact.load(rows(spark, *first))
+        staged = rows(spark, *second)
+        results.append(content(fact.load(latest_per_key(fact.pending(staged) if cut else staged, "id", "ts"))))
+    assert results[0] == results[1] == [("a", 3), ("b", 1), ("c", 1), ("d", 1)]
+
+
 def test_stream_resumes_and_equals_batch(spark, tmp_path):
     fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "month")
     for number, data in enumerate([[("a", 1, 1), ("b", 5, 1)], [("a", 7, 2), ("c", 6, 1), ("late", 2, 1)]]):

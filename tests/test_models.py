@@ -176,8 +176,8 @@ def test_a_dropped_refund_brings_its_booking_back(spark):
 def report_of(m):
     from kerbside.plans.models import active_bookings
 
-    active = active_bookings(m["stg_bookings"], m["stg_partners"])
-    return active, report.revenue_by_partner(active, m["int_cancellations"], m["dim_partners"])
+    parts = report.monthly_parts(active_bookings(m["stg_bookings"], m["stg_partners"]), m["int_cancellations"])
+    return parts, report.revenue_by_partner(parts, m["dim_partners"])
 
 
 def test_contract_report(spark):
@@ -193,14 +193,14 @@ def test_contract_report(spark):
         ],
         cancellations=[dict(booking_id="6")],
     )
-    active, made = report_of(m)
+    parts, made = report_of(m)
     got = sorted(tuple(r)[2:] for r in report.check_contract(made).collect())
     assert [(str(a), b, float(c), *d) for a, b, c, *d in got] == [
         ("2024-01-01", "BRL", 100.0, 1, 1, 2, False),
         ("2024-01-01", "USD", 7.5, 1, 1, 2, False),
         ("2024-02-01", "BRL", 100.0, 1, 0, 0, True),
     ]
-    index = {str(r["reference_month"]): (r["booking_count"], r["excluded_invalid_amount_count"], r["alert"]) for r in report.completeness_index(active, m["int_cancellations"]).collect()}
+    index = {str(r["reference_month"]): (r["booking_count"], r["excluded_invalid_amount_count"], r["alert"]) for r in report.completeness_index(parts).collect()}
     assert index == {"2024-01-01": (2, 1, True), "2024-02-01": (1, 0, False)}
     change = metrics.revenue_change(made).filter("previous_amount is not null").collect()
     assert [(r["currency"], r["change_pct"]) for r in change] == [("BRL", 0.0)]

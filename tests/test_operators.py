@@ -79,7 +79,7 @@ def test_existing_only_matches_a_set_lookup(spark, skewed, split):
     want = [tuple(r) for r in skewed.collect() if r["k"] in ("hot", "k4")]
     assert rows(existing_only(skewed, other, "k", **split)) == sorted(want)
     assert rows(existing_in_dimension(skewed, other, "k", **split)) == sorted(want)
-    assert rows(existing_in_dimension(skewed, other, "k", broadcast_keys=1, **split)) == sorted(want)
+    assert rows(existing_in_dimension(skewed, other, "k", broadcast_rows=1, **split)) == sorted(want)
 
 
 def test_a_dimension_above_the_bound_is_not_hinted(spark, skewed):
@@ -88,7 +88,7 @@ def test_a_dimension_above_the_bound_is_not_hinted(spark, skewed):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         assert "BroadcastHashJoin" in plan(existing_in_dimension(skewed, other, "k"))
-        assert "BroadcastHashJoin" not in plan(existing_in_dimension(skewed, other, "k", broadcast_keys=1))
+        assert "BroadcastHashJoin" not in plan(existing_in_dimension(skewed, other, "k", broadcast_rows=1))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
