@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from kerbside.operators.bursts import fixed_bursts, sliding_bursts
 from kerbside.operators.dedup import latest_per_key
 from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
 from kerbside.plans import anomalies, metrics, quality, report
-from kerbside.plans.models import INTERMEDIATE, STAGING, Models, int_bookings, int_sessions, stage
+from kerbside.plans.models import INTERMEDIATE, MARTS, STAGING, Models, int_bookings, int_sessions, stage
 from kerbside.session import scratch_path
 from kerbside.sources.facts import FactTable
 from kerbside.sources.mapping import MAPPED_CATEGORIES, daily_rates, raw_tables, search_events, table
@@ -49,10 +50,22 @@ CASE_COLUMNS = (
 )
 
 
+_WAREHOUSES: dict[tuple[str, str], Models] = {}
+
+
 def _models(spark: SparkSession, sf_dir: str, written: bool = False) -> Models:
     return Models(raw_tables(spark, sf_dir), written=written)
 
 
+def _warehouse(spark: SparkSession, sf_dir: str) -> Models:
+    """The written models of these tables. As in production, a session makes each model once, by the first query
+    that needs it, and the metrics, reports and checks read the written tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = _models(spark, sf_dir, written=True)
+    return _WAREHOUSES[key]
+
+
 def _plain(df: DataFrame) -> DataFrame:
     """Integers as bigint and decimals as double, so that engines with other result types compare equal."""
     out = []
@@ -70,8 +83,15 @@ def _model_query(name: str) -> Query:
     return lambda spark, sf_dir: _models(spark, sf_dir)[name]
 
 
-def _on_models(build: Callable[[Models], DataFrame], written: bool = False) -> Query:
-    return lambda spark, sf_dir: build(_models(spark, sf_dir, written))
+def _on_models(build: Callable[[Models], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_warehouse(spark, sf_dir))
+
+
+def build_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Make and write every model anew, and count its rows."""
+    m = _models(spark, sf_dir, written=True)
+    counts = [m[name].agg(F.lit(name).alias("model"), F.count("*").alias("row_count")) for name in (*INTERMEDIATE, *MARTS)]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _six_digits(df: DataFrame, *columns: str) -> DataFrame:
@@ -181,14 +201,14 @@ def _report(m: Models) -> DataFrame:
 
 def fx_revenue(rate_date: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m = _models(spark, sf_dir)
+        m = _warehouse(spark, sf_dir)
         return report.revenue_in_brl(m["fct_bookings"], m["int_cancellations"], daily_rates(spark, sf_dir), rate_date)
 
     return query
 
 
 def asof_booking_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bookings = _models(spark, sf_dir)["fct_bookings"].select(
+    bookings = _warehouse(spark, sf_dir)["fct_bookings"].select(
         "booking_id", "currency", F.col("booked_at").cast("date").alias("booked_date")
     )
     return asof_join(bookings, daily_rates(spark, sf_dir), "currency", "booked_date", "rate_date", "rate")
@@ -196,7 +216,7 @@ def asof_booking_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- quality --------------------------------------------------------------------------------------------------
 def _dq(kind: str) -> Query:
-    return _on_models(lambda m: quality.run_checks(m, [c for c in SUITE if c.kind == kind]), written=True)
+    return _on_models(lambda m: quality.run_checks(m, [c for c in SUITE if c.kind == kind]))
 
 
 def _alerts(m: Models) -> DataFrame:
@@ -215,21 +235,14 @@ def _trust(m: Models) -> DataFrame:
 
 
 def dq_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _models(spark, sf_dir)
+    m = _warehouse(spark, sf_dir)
     parts = [quality.null_rates(m[name], name, expected) for name, expected in EXPECTED_NULLS.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def profile_case_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_tables(spark, sf_dir)
-    out = None
-    for table, column in CASE_COLUMNS:
-        part = quality.case_variants(raw[table], column, table)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [quality.case_variants(raw[t], column, t) for t, column in CASE_COLUMNS])
 
 
 # -- operators on the large tables themselves -----------------------------------------------------------------
@@ -268,13 +281,14 @@ def events_per_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """The contract revenue report on the smallest tables."""
-    return _plain(_report(_models(spark, "/root/testdata/sf0.001")))
+    return _plain(_report(_models(spark, "/root/testdata/sf0.001", written=True)))
 
 
 def _all() -> dict[str, Query]:
     funnel_inputs = ("int_sessions", "int_searches", "fct_bookings", "int_cancellations")
     named: dict[str, Query] = {name: _model_query(name) for name in (*STAGING, *INTERMEDIATE, "dim_partners", "dim_users")}
     named |= {
+        "build_models": build_models,
         "fct_bookings_full": fct_bookings_full,
         "fct_bookings_incremental": fct_bookings_incremental,
         "fct_bookings_late_rows": fct_bookings_late_rows,
@@ -331,18 +345,18 @@ def _all() -> dict[str, Query]:
         "dq_relationships": _dq("relationships"),
         "dq_between": _dq("between"),
         "dq_pair_greater": _dq("pair_greater"),
-        "dq_suite": _on_models(lambda m: quality.run_suite(m, SUITE), written=True),
-        "dq_extended": _on_models(lambda m: quality.run_checks(m, quality.EXTENDED_SUITE), written=True),
-        "dq_thresholds": _on_models(_alerts, written=True),
+        "dq_suite": _on_models(lambda m: quality.run_suite(m, SUITE)),
+        "dq_extended": _on_models(lambda m: quality.run_checks(m, quality.EXTENDED_SUITE)),
+        "dq_thresholds": _on_models(_alerts),
         "dq_null_rates": dq_null_rates,
         "dq_freshness": _on_models(_fresh),
-        "dq_trust_gate": _on_models(_trust, written=True),
+        "dq_trust_gate": _on_models(_trust),
         "profile_duplicates": lambda spark, sf_dir: quality.profile_duplicates(
             raw_tables(spark, sf_dir), quality.RAW_KEYS
         ),
         "profile_case_variants": profile_case_variants,
-        "rpt_revenue_by_partner": _on_models(_report, written=True),
-        "completeness_index": _on_models(lambda m: report.completeness_index(_parts(m)), written=True),
+        "rpt_revenue_by_partner": _on_models(_report),
+        "completeness_index": _on_models(lambda m: report.completeness_index(_parts(m))),
         "suspicious_rate": _on_models(lambda m: report.suspicious_rate(m["int_bookings"])),
         "currency_domain_check": _on_models(lambda m: quality.currency_domain(m["fct_bookings"], CURRENCIES[:4])),
         "net_revenue": _on_models(lambda m: report.net_revenue(m["fct_bookings"], m["int_cancellations"])),

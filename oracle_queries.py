@@ -467,6 +467,13 @@ ORACLES: dict[str, str] = {
     **{f"int_{t}": _on(f"SELECT * FROM int_{t}") for t in ("partners", "sessions", "searches", "bookings", "cancellations")},
     "dim_partners": _on("SELECT * FROM dim_partners"),
     "dim_users": _on("SELECT * FROM dim_users"),
+    "build_models": _on(
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS model, count(*) AS row_count FROM {name}"
+            for name in ("int_partners", "int_sessions", "int_searches", "int_bookings", "int_cancellations",
+                         "dim_partners", "dim_users", "fct_bookings", "fct_sessions")
+        )
+    ),
     "fct_bookings_full": _on("SELECT * FROM fct_bookings"),
     "fct_bookings_incremental": _loaded("int_bookings", "booked_at", BOOKING_CUT),
     "fct_bookings_late_rows": _loaded("int_bookings", "booked_at", BOOKING_CUT, f"{_NUMBER} % 10 <> 3"),
