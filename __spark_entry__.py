@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from kerbside.constants import ALERT_LIMITS_PCT, CURRENCIES, IQR_FACTOR
+from kerbside.constants import CURRENCIES, IQR_FACTOR
 from kerbside.functions.numeric import sums_by_value
+from kerbside.functions.sql import register_functions
 from kerbside.functions.time import bucket_start, day_label
 from kerbside.operators.asof import asof_join
 from kerbside.operators.bursts import fixed_bursts, sliding_bursts
@@ -220,7 +221,7 @@ def _dq(kind: str) -> Query:
 
 
 def _alerts(m: Models) -> DataFrame:
-    return quality.alert_limits(m, MAPPED_CATEGORIES, ALERT_LIMITS_PCT)
+    return quality.alert_limits(m, MAPPED_CATEGORIES)
 
 
 def _fresh(m: Models) -> DataFrame:
@@ -229,9 +230,7 @@ def _fresh(m: Models) -> DataFrame:
 
 
 def _trust(m: Models) -> DataFrame:
-    found = quality.singular_findings(m)
-    alerts = quality.alert_limits(m, MAPPED_CATEGORIES, ALERT_LIMITS_PCT, found)
-    return quality.trust_gate(quality.run_suite(m, SUITE, found), alerts, _fresh(m))
+    return quality.verdict(m, _fresh(m), SUITE, MAPPED_CATEGORIES)
 
 
 def dq_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +244,35 @@ def profile_case_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.case_variants(raw[t], column, t) for t, column in CASE_COLUMNS])
 
 
+# -- the same models through SQL ------------------------------------------------------------------------------
+def _sql(spark: SparkSession, sf_dir: str, views: tuple[str, ...], text: str) -> DataFrame:
+    register_functions(spark)
+    _warehouse(spark, sf_dir).register_views(views)
+    return spark.sql(text)
+
+
+def sql_monthly_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(
+        spark,
+        sf_dir,
+        ("fct_bookings", "int_cancellations"),
+        """SELECT strftime(b.booked_at, '%Y-%m') AS mes_ano, count(*) AS quantidade_reservas
+        FROM fct_bookings b LEFT ANTI JOIN int_cancellations c ON b.booking_id = c.booking_id
+        WHERE b.status IN ('confirmed', 'completed') GROUP BY ALL""",
+    )
+
+
+def sql_burst_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(
+        spark,
+        sf_dir,
+        ("stg_searches", "fct_sessions"),
+        """SELECT time_bucket(INTERVAL '7' MINUTE, q.searched_at) AS bucket, count(*) AS searches,
+          max(hour_boundaries(s.started_at, q.searched_at)) AS latest_hour
+        FROM stg_searches q JOIN fct_sessions s ON q.session_id = s.session_id GROUP BY ALL""",
+    )
+
+
 # -- operators on the large tables themselves -----------------------------------------------------------------
 def latest_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
@@ -365,6 +393,8 @@ def _all() -> dict[str, Query]:
         "asof_booking_rate": asof_booking_rate,
         "avg_ticket": _on_models(lambda m: metrics.average_ticket(m["fct_bookings"])),
         "scorecards": _on_models(lambda m: metrics.scorecards(*[m[n] for n in funnel_inputs])),
+        "sql_monthly_evolution": sql_monthly_evolution,
+        "sql_burst_counts": sql_burst_counts,
         "revenue_mom_change": _on_models(lambda m: metrics.revenue_change(_report(m))),
         "stream_burst": stream_burst,
         "stream_fct_upsert": stream_fct_upsert,

@@ -263,11 +263,15 @@ def alert_limits(
     categories: Sequence[str] = (*CAR_CATEGORIES, KNOWN_EXTRA_CATEGORY),
     limits: Mapping[str, float] = ALERT_LIMITS_PCT,
     found: Mapping[str, DataFrame] | None = None,
+    results: DataFrame | None = None,
 ) -> DataFrame:
     """Every warning as a rate of its population against its limit: one row each, and one per category for
-    amount outliers. A category outside the known list alerts at once."""
+    amount outliers. A category outside the known list alerts at once. ``results`` of a finished suite are reused.
+    """
     found = singular_findings(models) if found is None else found
-    singular = run_singular(models, found).filter(F.col("check") != "amount_outliers").select(
+    results = run_singular(models, found) if results is None else results
+    rated = [name for name in found if name != "amount_outliers"]
+    singular = results.filter(F.col("check").isin(rated)).select(
         F.col("check").alias("finding"), F.lit(None).cast("string").alias("segment"), "failing_rows", "population"
     )
     negative = models["stg_cancellations"].agg(
@@ -341,6 +345,18 @@ def freshness(loaded: DataFrame, ts: str, as_of: Column, hours: int = FRESHNESS_
     return rows.select("last_loaded_at", "as_of", round2(age).alias("age_hours"), F.coalesce(age <= hours, F.lit(False)).alias("fresh"))
 
 
+def verdict(
+    models: Mapping[str, DataFrame],
+    fresh: DataFrame,
+    checks: Iterable[Check] = SUITE,
+    categories: Sequence[str] = (*CAR_CATEGORIES, KNOWN_EXTRA_CATEGORY),
+) -> DataFrame:
+    """Run the suite once, keep its results, and judge them together with the alert limits."""
+    found = singular_findings(models)
+    results = materialise(run_suite(models, checks, found), "suite-results")
+    return trust_gate(results, alert_limits(models, categories, found=found, results=results), fresh)
+
+
 def trust_gate(results: DataFrame, alerts: DataFrame, fresh: DataFrame) -> DataFrame:
     """The verdict: fresh, no failed error check, and no warning above its limit. One row."""
     errors = results.agg(F.count_if(F.col("status") == ERROR)).scalar()

@@ -10,11 +10,13 @@ from kerbside.schemas import PII_COLUMNS
 
 
 def export_csv(df: DataFrame, path: str, *order: Column, cap: int = EXPORT_ROW_CAP) -> None:
-    """Export a result for readers: sorted, at most ``cap`` rows, one CSV file with a header.
+    """Export a result for readers: at most ``cap`` rows, one CSV file with a header.
 
-    The cap belongs to the export format. Each task keeps its own top rows, so one file is safe.
+    The result is sorted by ``order``, or keeps the order it has. The cap belongs to the export format. Each task
+    keeps its own top rows, so one file is safe.
     """
-    df.orderBy(*order).limit(cap).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    rows = df.orderBy(*order) if order else df
+    rows.limit(cap).coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
 def export_closed_months(report: DataFrame, path: str) -> None:

@@ -13,19 +13,28 @@ from kerbside.sources.facts import FactTable
 
 
 def stream_burst_counts(
-    searches: DataFrame, checkpoint: str, out: str, seconds: int = BURST_SECONDS, delay: str = "10 minutes"
+    searches: DataFrame,
+    checkpoint: str,
+    out: str,
+    seconds: int = BURST_SECONDS,
+    delay: str = "10 minutes",
+    slide_seconds: int | None = None,
 ) -> StreamingQuery:
-    """Count searches per session and fixed bucket, and keep the counts current under ``out``.
+    """Count searches per session and bucket, and keep the counts current under ``out``.
+
+    Buckets are fixed; with ``slide_seconds`` a new one starts that often, so that a burst across the edge of one
+    bucket lies inside another.
 
     Update mode sends each changed count once per micro-batch, so open buckets are visible before the watermark
     passes them and state of closed ones is dropped. Every micro-batch overwrites its own folder: a batch that is
     replayed after a failure leaves no second copy. A watermark needs a time with a zone, so wall-clock times are
     read in the session time zone, which should be UTC.
     """
+    slide = f"{slide_seconds or seconds} seconds"
     counts = (
         searches.select("session_id", F.col("searched_at").cast("timestamp").alias("event_time"))
         .withWatermark("event_time", delay)
-        .groupBy("session_id", F.window("event_time", f"{seconds} seconds").alias("bucket"))
+        .groupBy("session_id", F.window("event_time", f"{seconds} seconds", slide).alias("bucket"))
         .agg(F.count("*").alias("n"))
     )
 

@@ -581,6 +581,14 @@ UNION ALL SELECT 'taxa_media_cancelamento_pct', round(avg(taxa), 2) FROM rates""
         _flags(),
         _rates(),
     ),
+    "sql_monthly_evolution": _on(
+        "SELECT strftime(booked_at, '%Y-%m') AS mes_ano, count(*) AS quantidade_reservas FROM standing GROUP BY 1"
+    ),
+    "sql_burst_counts": _on(
+        """SELECT time_bucket(INTERVAL 7 MINUTE, searched_at) AS bucket, count(*) AS searches,
+  max(date_diff('hour', started_at, searched_at)) AS latest_hour
+FROM stg_searches q JOIN fct_sessions s ON q.session_id = s.session_id GROUP BY 1"""
+    ),
     "revenue_mom_change": _on(
         """SELECT r.partner_id, r.currency, r.reference_month, r.revenue_amount, p.revenue_amount AS previous_amount,
   round(100e0 * (r.revenue_amount - p.revenue_amount) / nullif(p.revenue_amount, 0), 2) AS change_pct

@@ -112,3 +112,12 @@ def test_stream_counts_equal_batch_counts_over_several_micro_batches(spark, tmp_
     counts = spark.read.parquet(str(tmp_path / "out"))
     assert [tuple(r) for r in bursts_from_counts(counts, 4).collect()] == [("s", 5)]
     assert bursts_from_counts(counts, 5).count() == 0
+
+
+def test_sliding_stream_catches_a_burst_across_an_edge(spark, tmp_path):
+    schema = "session_id string, searched_at timestamp_ntz"
+    data = [("s", datetime(2024, 1, 1, 10, m)) for m in (3, 4, 5, 6)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "in"))
+    arrivals = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    stream_burst_counts(arrivals, str(tmp_path / "c"), str(tmp_path / "out"), slide_seconds=60).awaitTermination()
+    assert [tuple(r) for r in bursts_from_counts(spark.read.parquet(str(tmp_path / "out")), 3).collect()] == [("s", 4)]

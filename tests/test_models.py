@@ -326,3 +326,26 @@ def test_models_can_be_written_read_and_queried(spark, tmp_path):
 def test_valid_amounts_with_missing_status(spark):
     df = spark.createDataFrame([(None, None), (None, 1.0), ("pending", None)], "status string, total_amount double")
     assert valid_amounts(df).count() == 2
+
+
+def test_all_exports_are_written_in_order(spark, tmp_path):
+    from kerbside.plans.exports import EXPORTS, export_results
+
+    m = models(spark, cancellations=[dict(booking_id="none")])
+    export_results(m, str(tmp_path))
+    found = {p.parent.name: p.read_text(encoding="utf-8").splitlines() for p in tmp_path.glob("*/*.csv")}
+    assert set(found) == set(EXPORTS)
+    assert found["funil_etapas"] == ["etapa,ordem,valor", "Sessões,1,1", "Buscas,2,1", "Reservas,3,1"]
+    assert found["evolucao_mensal"][1] == "2024-01,1,100.0,0.0,0.0,0.0,0.0"
+
+
+def test_sql_functions(spark):
+    from kerbside.functions.sql import register_functions
+
+    register_functions(spark)
+    row = spark.sql(
+        """SELECT strftime(t, '%Y-%m') AS m, time_bucket(interval 5 minute, t) AS b,
+        time_bucket(interval 7 day, t) AS w, hour_boundaries(t, t + interval 1 hour) AS h, round2(1.005D) AS r
+        FROM (SELECT TIMESTAMP_NTZ '2024-01-04 10:07:30' AS t)"""
+    ).first()
+    assert tuple(map(str, row)) == ("2024-01", "2024-01-04 10:05:00", "2024-01-01 00:00:00", "1", "1.0")
