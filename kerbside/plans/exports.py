@@ -13,15 +13,15 @@ from kerbside.sources.sinks import export_csv
 _FUNNEL = ("int_sessions", "int_searches", "fct_bookings", "int_cancellations")
 _REVENUE = ("fct_bookings", "int_cancellations")
 
-# Each export by the name of its file (fixed values), with its query, which is sorted.
+# Each export by name, with its query, which is sorted.
 EXPORTS = {
-    "funil_conversao": lambda m: metrics.funnel_by_segment(*[m[n] for n in _FUNNEL]),
-    "funil_etapas": lambda m: metrics.funnel_stages(*[m[n] for n in _FUNNEL]),
-    "top_parceiros_receita": lambda m: metrics.top_partners(*[m[n] for n in _REVENUE], m["dim_partners"]),
+    "funnel_by_segment": lambda m: metrics.funnel_by_segment(*[m[n] for n in _FUNNEL]),
+    "funnel_stages": lambda m: metrics.funnel_stages(*[m[n] for n in _FUNNEL]),
+    "top_partners": lambda m: metrics.top_partners(*[m[n] for n in _REVENUE], m["dim_partners"]),
     "ltv_cohort": lambda m: metrics.ltv_cohort(*[m[n] for n in _REVENUE], m["dim_users"]),
-    "deteccao_bot_buscas": lambda m: anomalies.search_bursts(m["stg_searches"], m["stg_sessions"]),
-    "taxa_cancelamento_outliers": lambda m: metrics.cancellation_outliers(*[m[n] for n in _REVENUE], m["dim_partners"]),
-    "evolucao_mensal": lambda m: metrics.monthly_evolution(*[m[n] for n in _REVENUE]),
+    "search_bursts": lambda m: anomalies.search_bursts(m["stg_searches"], m["stg_sessions"]),
+    "cancellation_outliers": lambda m: metrics.cancellation_outliers(*[m[n] for n in _REVENUE], m["dim_partners"]),
+    "monthly_evolution": lambda m: metrics.monthly_evolution(*[m[n] for n in _REVENUE]),
 }
 
 

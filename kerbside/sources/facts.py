@@ -46,10 +46,11 @@ class FactTable:
         state = self._newest()
         return None if state is None else self._mark(state)
 
-    def last_loaded_at(self) -> datetime | None:
-        """Time of the newest load, for the freshness check."""
+    def loads(self) -> DataFrame:
+        """The folders of the table with the time each was loaded; the freshness check reads ``loaded_at``."""
         state = self._newest()
-        return None if state is None else max((f["loaded_at"] for f in state["folders"]), default=None)
+        folders = [] if state is None else [tuple(f) for f in state["folders"]]
+        return self.spark.createDataFrame(folders, "period string, load string, loaded_at timestamp")
 
     def pending(self, staged: DataFrame, lookback: str | None = None) -> DataFrame:
         """Rows of ``staged`` that the next load could admit, to be cut before any dedup.

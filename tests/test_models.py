@@ -9,6 +9,7 @@ from kerbside.plans import anomalies, metrics, quality, report
 from kerbside.plans.models import Models, stage, valid_amounts
 from kerbside.schemas import RAW_COLUMNS, raw_schema
 from kerbside.sources import raw as raw_source
+from kerbside.sources.facts import FactTable
 from kerbside.sources.sinks import export_closed_months, export_csv, pii_columns, restricted
 
 DEFAULTS = {
@@ -323,6 +324,15 @@ def test_models_can_be_written_read_and_queried(spark, tmp_path):
     assert spark.sql("SELECT count(*) AS n FROM fct_bookings JOIN dim_partners USING (partner_id)").first()["n"] == 1
 
 
+def test_freshness_of_a_fact_table(spark, tmp_path):
+    m = models(spark)
+    fact = FactTable(spark, str(tmp_path / "fact"), "booking_id", "booked_at")
+    fact.load(m["fct_bookings"])
+    soon, late = (F.current_timestamp() + F.expr(f"interval {h} hours") for h in (1, 30))
+    assert quality.freshness(fact.loads(), "loaded_at", soon).first()["fresh"] is True
+    assert quality.freshness(fact.loads(), "loaded_at", late).first()["fresh"] is False
+
+
 def test_valid_amounts_with_missing_status(spark):
     df = spark.createDataFrame([(None, None), (None, 1.0), ("pending", None)], "status string, total_amount double")
     assert valid_amounts(df).count() == 2
@@ -335,8 +345,8 @@ def test_all_exports_are_written_in_order(spark, tmp_path):
     export_results(m, str(tmp_path))
     found = {p.parent.name: p.read_text(encoding="utf-8").splitlines() for p in tmp_path.glob("*/*.csv")}
     assert set(found) == set(EXPORTS)
-    assert found["funil_etapas"] == ["etapa,ordem,valor", "Sessões,1,1", "Buscas,2,1", "Reservas,3,1"]
-    assert found["evolucao_mensal"][1] == "2024-01,1,100.0,0.0,0.0,0.0,0.0"
+    assert found["funnel_stages"] == ["etapa,ordem,valor", "Sessões,1,1", "Buscas,2,1", "Reservas,3,1"]
+    assert found["monthly_evolution"][1] == "2024-01,1,100.0,0.0,0.0,0.0,0.0"
 
 
 def test_sql_functions(spark):
