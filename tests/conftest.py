@@ -11,6 +11,6 @@ from kerbside.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
-    session = local_session("tests", "8", **{"spark.checkpoint.dir": str(folder), "spark.sql.shuffle.partitions": "4"})
+    session = local_session("tests", "4", **{"spark.checkpoint.dir": str(folder), "spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()
