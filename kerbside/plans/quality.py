@@ -156,31 +156,61 @@ def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return df.agg(*columns).select(F.inline(rows))
 
 
-def _key_counts(df: DataFrame, check: Check) -> DataFrame:
-    """Rows per value of the checked column; counted before the shuffle, so a dominant value is one row per task."""
-    return df.filter(_judged(check)).groupBy(F.col(check.column).alias("value")).agg(F.count("*").alias("n"))
+def _key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All unique, accepted_values and relationships checks in one pass per table and one shuffle for all of them.
+
+    Every row contributes one (check, value) pair per check of its table, and a parent table marks its values as
+    known. Pairs are counted before the shuffle, so a dominant value is one row per task.
+    """
+    pairs = []
+    for model in dict.fromkeys(c.model for c in checks):
+        own = [
+            F.struct(
+                F.lit(i).alias("id"),
+                F.col(c.column).cast("string").alias("value"),
+                _judged(c).cast("long").alias("rows"),
+                F.lit(False).alias("parent"),
+            )
+            for i, c in enumerate(checks)
+            if c.model == model
+        ]
+        pairs.append(models[model].select(F.inline(F.array(*own))).filter(F.col("rows") > 0))
+    for i, c in enumerate(checks):
+        if c.kind == "relationships":
+            value = F.col(c.parent_column).cast("string").alias("value")
+            known = models[c.parent].select(F.lit(i).alias("id"), value, F.lit(0).cast("long").alias("rows"), F.lit(True).alias("parent"))
+            pairs.append(known)
+    counts = (
+        reduce(DataFrame.unionByName, pairs)
+        .groupBy("id", "value")
+        .agg(F.sum("rows").alias("n"), F.max("parent").alias("known"))
+    )
+    rules = [F.when(F.col("id") == i, _breaks(c)) for i, c in enumerate(checks)]
+    bad = F.col("value").isNotNull() & (F.col("n") > 0) & F.coalesce(*rules)
+    found = counts.groupBy("id").agg(
+        F.sum(F.when(bad, F.col("n"))).alias("failing_rows"),
+        F.count_if(bad).alias("failing_values"),
+        F.sum("n").alias("population"),
+    )
+    # One row per check, so that the check of an empty table is reported too; ``found`` has no more rows than that.
+    spark = counts.sparkSession
+    labels = F.array(*[F.struct(F.lit(i).alias("id"), *_labels(c)) for i, c in enumerate(checks)])
+    listed = spark.range(1).select(F.inline(labels))
+    zero = F.lit(0).cast("long")
+    return listed.join(F.broadcast(found), "id", "left").select(
+        *_RESULT[:4], *[F.coalesce(F.col(c), zero).alias(c) for c in _RESULT[4:]]
+    )
 
 
-def _value_check(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    """unique, accepted_values or relationships: one row with failing rows and failing values."""
-    counts = _key_counts(models[check.model], check)
-    present = F.col("value").isNotNull()
+def _breaks(check: Check) -> Column:
+    """Whether a counted value breaks a key-level check."""
     if check.kind == "unique":
-        bad = present & (F.col("n") > 1)
-    elif check.kind == "accepted_values":
-        bad = present & ~F.col("value").isin(*check.values)
-    elif check.kind == "relationships":
-        parent = models[check.parent].select(F.col(check.parent_column).alias("value")).distinct()
-        known = parent.withColumn("known", F.lit(True))
-        counts = counts.join(known, "value", "left")
-        bad = present & F.col("known").isNull()
-    else:
-        raise ValueError(f"unknown check {check.kind}")
-    return counts.agg(
-        F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("failing_rows"),
-        F.count_if(bad).alias("failing_values"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("population"),
-    ).select(*_labels(check), "failing_rows", "failing_values", "population")
+        return F.col("n") > 1
+    if check.kind == "accepted_values":
+        return ~F.col("value").isin(*check.values)
+    if check.kind == "relationships":
+        return ~F.col("known")
+    raise ValueError(f"unknown check {check.kind}")
 
 
 def _judge(results: DataFrame) -> DataFrame:
@@ -195,14 +225,16 @@ def _judge(results: DataFrame) -> DataFrame:
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = SUITE) -> DataFrame:
-    """One row per check. Each table is read once for all its row-level checks, and once per key-level check."""
+    """One row per check. Each table is read once for all its row-level checks and once for all key-level ones."""
     checks = tuple(checks)
     parts = []
     for model in dict.fromkeys(c.model for c in checks):
         row_level = [c for c in checks if c.model == model and c.kind in _ROW_KINDS]
         if row_level:
             parts.append(_row_checks(models[model], row_level))
-    parts += [_value_check(models, c) for c in checks if c.kind not in _ROW_KINDS]
+    by_key = [c for c in checks if c.kind not in _ROW_KINDS]
+    if by_key:
+        parts.append(_key_checks(models, by_key))
     return _judge(reduce(DataFrame.unionByName, parts))
 
 
