@@ -15,6 +15,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def local_session(app: str = "kerbside", cores: str = "8", **conf: str) -> SparkSession:
     """A session for tests and local benchmarks; a cluster brings its own."""
@@ -37,9 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="kerbside-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="kerbside-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -591,7 +591,7 @@ FROM stg_searches q JOIN fct_sessions s ON q.session_id = s.session_id GROUP BY
     ),
     "revenue_mom_change": _on(
         """SELECT r.partner_id, r.currency, r.reference_month, r.revenue_amount, p.revenue_amount AS previous_amount,
-  round(100e0 * (r.revenue_amount - p.revenue_amount) / nullif(p.revenue_amount, 0), 2) AS change_pct
+  round(100e0 * (r.revenue_amount - p.revenue_amount) / nullif(p.revenue_amount, 0), 2) + 0e0 AS change_pct
 FROM revenue r LEFT JOIN revenue p ON p.partner_id = r.partner_id AND p.currency = r.currency
   AND p.reference_month + INTERVAL 1 MONTH = r.reference_month""",
         PARTS,
