@@ -109,51 +109,43 @@ _ROW_KINDS = ("not_null", "between", "pair_greater")
 _RESULT = ["model", "check", "column", "severity", "failing_rows", "failing_values", "population"]
 
 
-def _judged(check: Check) -> Column:
-    return F.lit(True) if check.where is None else F.coalesce(F.expr(check.where), F.lit(False))
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _fails(check: Check) -> Column:
-    """Whether a row breaks a row-level check; a comparison with null does not."""
-    value = F.col(check.column)
+def _judged(check: Check) -> str:
+    """SQL condition on the rows that are judged."""
+    return "true" if check.where is None else f"coalesce({check.where}, false)"
+
+
+def _fails(check: Check) -> str:
+    """SQL condition of a row that breaks a row-level check; a comparison with null does not."""
     if check.kind == "not_null":
-        return value.isNull()
+        return f"`{check.column}` IS NULL"
     if check.kind == "between":
-        bounds = [b for b in ((value < F.lit(check.low)) if check.low is not None else None, (value > F.lit(check.high)) if check.high is not None else None) if b is not None]
-        broken = reduce(lambda a, b: a | b, bounds)
+        bounds = [("<", check.low), (">", check.high)]
+        broken = " OR ".join(f"`{check.column}` {sign} {float(b)!r}D" for sign, b in bounds if b is not None)
     else:
-        other = F.col(check.greater_than)
-        broken = value < other if check.or_equal else value <= other
-    return F.coalesce(broken, F.lit(False))
+        broken = f"`{check.column}` {'<' if check.or_equal else '<='} `{check.greater_than}`"
+    return f"coalesce({broken}, false)"
 
 
-def _labels(check: Check) -> list[Column]:
-    return [
-        F.lit(check.model).alias("model"),
-        F.lit(check.kind).alias("check"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.severity).alias("severity"),
-    ]
+def _labels(check: Check) -> str:
+    """The leading fields of a result row, for named_struct."""
+    named = {"model": check.model, "check": check.kind, "column": check.column, "severity": check.severity}
+    return ", ".join(f"'{name}', {_text(value)}" for name, value in named.items())
 
 
 def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row-level checks of one table in one aggregation, unpivoted to one row per check."""
-    columns = []
+    counts, rows = [], []
     for i, check in enumerate(checks):
-        columns.append(F.count_if(_judged(check) & _fails(check)).alias(f"f{i}"))
-        columns.append(F.count_if(_judged(check)).alias(f"p{i}"))
-    rows = F.array(
-        *[
-            F.struct(
-                *_labels(check),
-                F.col(f"f{i}").alias("failing_rows"),
-                F.lit(None).cast("long").alias("failing_values"),
-                F.col(f"p{i}").alias("population"),
-            )
-            for i, check in enumerate(checks)
-        ]
-    )
-    return df.agg(*columns).select(F.inline(rows))
+        counts.append(F.expr(f"count_if({_judged(check)} AND {_fails(check)})").alias(f"f{i}"))
+        counts.append(F.expr(f"count_if({_judged(check)})").alias(f"p{i}"))
+        measured = f"'failing_rows', f{i}, 'failing_values', CAST(NULL AS BIGINT), 'population', p{i}"
+        rows.append(f"named_struct({_labels(check)}, {measured})")
+    return df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -165,51 +157,44 @@ def _key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
     pairs = []
     for model in dict.fromkeys(c.model for c in checks):
         own = [
-            F.struct(
-                F.lit(i).alias("id"),
-                F.col(c.column).cast("string").alias("value"),
-                _judged(c).cast("long").alias("rows"),
-                F.lit(False).alias("parent"),
-            )
+            f"named_struct('id', {i}, 'value', CAST(`{c.column}` AS STRING), "
+            f"'rows', CAST({_judged(c)} AS BIGINT), 'parent', false)"
             for i, c in enumerate(checks)
             if c.model == model
         ]
-        pairs.append(models[model].select(F.inline(F.array(*own))).filter(F.col("rows") > 0))
+        pairs.append(models[model].selectExpr(f"inline(array({', '.join(own)}))").filter("rows > 0"))
     for i, c in enumerate(checks):
         if c.kind == "relationships":
-            value = F.col(c.parent_column).cast("string").alias("value")
-            known = models[c.parent].select(F.lit(i).alias("id"), value, F.lit(0).cast("long").alias("rows"), F.lit(True).alias("parent"))
-            pairs.append(known)
+            value = f"CAST(`{c.parent_column}` AS STRING) AS value"
+            pairs.append(models[c.parent].selectExpr(f"{i} AS id", value, "0L AS rows", "true AS parent"))
     counts = (
         reduce(DataFrame.unionByName, pairs)
         .groupBy("id", "value")
         .agg(F.sum("rows").alias("n"), F.max("parent").alias("known"))
     )
-    rules = [F.when(F.col("id") == i, _breaks(c)) for i, c in enumerate(checks)]
-    bad = F.col("value").isNotNull() & (F.col("n") > 0) & F.coalesce(*rules)
+    rules = " ".join(f"WHEN id = {i} THEN {_breaks(c)}" for i, c in enumerate(checks))
+    bad = F.expr(f"value IS NOT NULL AND n > 0 AND CASE {rules} END")
     found = counts.groupBy("id").agg(
         F.sum(F.when(bad, F.col("n"))).alias("failing_rows"),
         F.count_if(bad).alias("failing_values"),
         F.sum("n").alias("population"),
     )
     # One row per check, so that the check of an empty table is reported too; ``found`` has no more rows than that.
-    spark = counts.sparkSession
-    labels = F.array(*[F.struct(F.lit(i).alias("id"), *_labels(c)) for i, c in enumerate(checks)])
-    listed = spark.range(1).select(F.inline(labels))
-    zero = F.lit(0).cast("long")
-    return listed.join(F.broadcast(found), "id", "left").select(
-        *_RESULT[:4], *[F.coalesce(F.col(c), zero).alias(c) for c in _RESULT[4:]]
-    )
+    labels = ", ".join(f"named_struct('id', {i}, {_labels(c)})" for i, c in enumerate(checks))
+    listed = counts.sparkSession.range(1).selectExpr(f"inline(array({labels}))")
+    measured = [f"coalesce({c}, 0L) AS {c}" for c in _RESULT[4:]]
+    named = [f"`{c}`" for c in _RESULT[:4]]
+    return listed.join(F.broadcast(found), "id", "left").selectExpr(*named, *measured)
 
 
-def _breaks(check: Check) -> Column:
-    """Whether a counted value breaks a key-level check."""
+def _breaks(check: Check) -> str:
+    """SQL condition of a counted value that breaks a key-level check."""
     if check.kind == "unique":
-        return F.col("n") > 1
+        return "n > 1"
     if check.kind == "accepted_values":
-        return ~F.col("value").isin(*check.values)
+        return f"value NOT IN ({', '.join(map(_text, check.values))})"
     if check.kind == "relationships":
-        return ~F.col("known")
+        return "NOT known"
     raise ValueError(f"unknown check {check.kind}")
 
 
