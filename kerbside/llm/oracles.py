@@ -1,0 +1,74 @@
+"""DuckDB SQL for the operators that SQL can express."""
+
+from __future__ import annotations
+
+from kerbside.llm.quality_rules import RULES, STOP_WORDS
+
+
+def _quality() -> str:
+    stop = ", ".join(f"'{w}'" for w in sorted({w for words in STOP_WORDS.values() for w in words.split()}))
+    languages = ", ".join(f"'{name}'" for name in STOP_WORDS)
+    breaks = []
+    for r in RULES:
+        tests = []
+        if r.low is not None:
+            tests.append(f"100 * {r.part} < {r.low} * {r.whole}")
+        if r.high is not None:
+            tests.append(f"100 * {r.part} > {r.high} * {r.whole}")
+        test = "(" + " OR ".join(tests) + ")" + (f" AND lang IN ({languages})" if r.languages else "")
+        breaks.append(f"coalesce({test}, false) AS breaks_{r.name}")
+    broken = " OR ".join(f"breaks_{r.name}" for r in RULES)
+    return rf"""
+WITH split AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+lined AS (
+  SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM split),
+windows AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
+repeated AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
+counts AS (
+  SELECT l.doc_id, lang, len(words)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+    len(list_filter(words, lambda x: x IN ({stop})))::BIGINT AS n_stop_words
+  FROM lined l LEFT JOIN covered c ON l.doc_id = c.doc_id),
+judged AS (
+  SELECT * EXCLUDE (lang), (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, {", ".join(breaks)}
+  FROM counts)
+SELECT *, (NOT base_failed AND NOT ({broken})) AS kept FROM judged"""
+
+
+_CONTAMINATION = r"""
+WITH folded AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+docs AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM folded),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, least(13, len(words)) AS size, list_slice(words, i, i + 12) AS w
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, size, i, list_slice(words, i, i + size - 1) AS w
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM docs, sizes)),
+hits AS (SELECT d.doc_id, d.i, d.size, m.item FROM doc_windows d JOIN item_windows m ON d.size = m.size AND d.w = m.w),
+spots AS (SELECT DISTINCT doc_id, i, size FROM hits),
+covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM spots) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256,
+  (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words)) AS contaminated
+FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+ORACLES = {"op1_quality_rules": _quality(), "op2_decontamination": _CONTAMINATION}
