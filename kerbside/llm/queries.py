@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm.decontamination import contamination
 from kerbside.llm.oracles import ORACLES
+from kerbside.llm.packing import pack
 from kerbside.llm.quality_rules import quality_rules
+from kerbside.llm.token_output import checksums, read_tokens, write_tokens
+from kerbside.session import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +25,21 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
+def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-orc")
+    write_tokens(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return checksums(read_tokens(spark, path))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op3_packing": op3_packing,
+    "op6_token_orc": op6_token_orc,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
