@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,3 +97,51 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     if not len(hashes):
         return np.empty(0, np.uint64)
     return np.unique(window_hashes(hashes, min(size, len(hashes))))
+
+
+_CHUNK = 1 << 12
+
+
+def vector_rows(vector: np.ndarray) -> list[tuple[int, bytes]]:
+    """A vector of 32-bit counts as (chunk, compressed bytes) rows, chunks without counts left out."""
+    chunks = vector.astype("<i4").reshape(-1, _CHUNK)
+    return [(int(i), zlib.compress(chunks[i].tobytes(), 1)) for i in np.flatnonzero(chunks.any(axis=1))]
+
+
+def _add_chunks(frame: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(_CHUNK, np.int64)
+    for payload in frame["payload"]:
+        total += np.frombuffer(zlib.decompress(payload), "<i4")
+    payload = zlib.compress(np.minimum(total, 2**31 - 1).astype("<i4").tobytes(), 1)
+    return pd.DataFrame({"chunk": [int(frame["chunk"].iloc[0])], "payload": [payload]})
+
+
+def summed_vector(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of the vectors in ``rows`` (chunk, payload); ``size`` is fixed, so is what the driver receives.
+
+    Chunks are added in two steps, first those of 32 groups of tasks each, so that no task gets a chunk from every task.
+    """
+    parts = rows.withColumn("_group", F.spark_partition_id() % 32)
+    parts = parts.groupBy("chunk", "_group").applyInPandas(_add_chunks, "chunk int, payload binary")
+    out = np.zeros(size, np.int64)
+    for chunk, payload in parts.groupBy("chunk").applyInPandas(_add_chunks, "chunk int, payload binary").collect():
+        out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(zlib.decompress(bytes(payload)), "<i4")
+    return out
+
+
+def logistic_regression(
+    starts: np.ndarray, columns: np.ndarray, values: np.ndarray, labels: np.ndarray, weights: np.ndarray, size: int, penalty: float, steps: int = 200, rate: float = 0.1
+) -> tuple[np.ndarray, float]:
+    """Weights and bias of a sparse, row-compressed logistic regression with ridge penalty, by Adam on all rows."""
+    row = np.repeat(np.arange(len(labels)), np.diff(starts))
+    w, b = np.zeros(size), float(np.log((weights * labels).sum() + 1) - np.log((weights * (1 - labels)).sum() + 1))
+    m, v, mb, vb, total = np.zeros(size), np.zeros(size), 0.0, 0.0, weights.sum()
+    for t in range(1, steps + 1):
+        margin = np.bincount(row, values * w[columns], len(labels)) + b
+        error = weights * (1 / (1 + np.exp(-np.clip(margin, -35, 35))) - labels) / total
+        g, gb = np.bincount(columns, values * error[row], size) + penalty * w, error.sum()
+        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        step = rate * (1 - 0.9 * t / steps)
+        w -= step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        b -= step * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-8)
+    return w, b
