@@ -81,7 +81,7 @@ def contamination(
     placed = materialise(placed.select("window_key", "length", "offset", by_length.alias("shingle")), "benchmark-shingles")
 
     # Order by rarity: frequency of the items' shingles in all documents.
-    wanted = placed.select("shingle").distinct()
+    wanted = materialise(placed.select("shingle").distinct(), "benchmark-wanted")
     seen = _document_shingles(split, lengths, ()).join(wanted, "shingle", "left_semi")
     frequency = seen.groupBy("shingle").agg(F.count("*").alias("n"))
     # A shingle that is nowhere rules its windows out: its frequency of 0 makes it the rarest, and it joins nothing.
