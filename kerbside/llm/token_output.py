@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import documents
 from kerbside.llm.tokens import encoder
+from kerbside.session import materialise
 
 OPTIONS = {
     "compression": "zstd",
@@ -71,7 +72,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.orc(path)
     sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    # One row per file, written so that its size is known and the ids are not shuffled for it.
+    parts = materialise(sizes.select("part", F.coalesce(before, F.lit(0)).alias("before")), "token-parts")
     return stored.join(parts, "part").select("doc_id", (F.col("before") + F.col("part_start")).alias("start"), "n_tokens", "ids")
 
 
