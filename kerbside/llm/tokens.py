@@ -23,7 +23,7 @@ _ODD = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200
 class TextEncoder:
     """Little-endian unsigned 32-bit ids of texts. Remembers the first ``limit`` pieces, among them all common ones."""
 
-    def __init__(self, path: str, limit: int = 1_200_000) -> None:
+    def __init__(self, path: str, limit: int = 800_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
