@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kerbside.llm.common import crc32_mod
 from kerbside.llm.decontamination import contamination
+from kerbside.llm.ngram_join import ngram_groups
 from kerbside.llm.oracles import ORACLES
 from kerbside.llm.packing import pack
 from kerbside.llm.quality_rules import quality_rules
 from kerbside.llm.token_output import checksums, read_tokens, write_tokens
+from kerbside.llm.toxicity import toxicity
 from kerbside.session import scratch_path
 
 
@@ -35,11 +39,23 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checksums(read_tokens(spark, path))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc32_mod("doc_id") == 0
+    scored = toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), train=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("score"), F.col("predicted"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_groups(_read(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op6_token_orc": op6_token_orc,
+    "op7_toxicity": op7_toxicity,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
