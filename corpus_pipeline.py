@@ -1,12 +1,63 @@
-"""The corpus pipeline: each stage works on all rows its predecessor kept."""
+"""The corpus pipeline: toxic texts go, one text of each group of near copies stays, contaminated texts go, personal data
+gets surrogates, and what is left is packed into token sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kerbside.llm.decontamination import decontaminate
+from kerbside.llm.ngram_join import one_of_each_group
+from kerbside.llm.packing import pack
+from kerbside.llm.pii import anonymise
+from kerbside.llm.queries import SURROGATE_KEY
+from kerbside.llm.toxicity import without_toxic
+from kerbside.session import materialise
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts predicted to be toxic go."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of texts linked by five-word shingles at 0.8 the one with the least id stays."""
+    return one_of_each_group(docs, size=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with enough words inside benchmark passages go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced; n_chars follows the text."""
+    return anonymise(docs, SURROGATE_KEY).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 2048."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_join", ngram_join),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("packing", packing),
+]
+# Trained models, surrogates and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages to documents."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to documents; what a stage returns is written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

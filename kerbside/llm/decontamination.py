@@ -62,8 +62,11 @@ def contamination(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    with_key: bool = False,
 ) -> DataFrame:
-    """Per document: id, n_words, n_hit (words inside an occurrence), n_items, items_sha256, contaminated."""
+    """Per document: id, n_words, n_hit (words inside an occurrence), n_items, items_sha256, contaminated.
+
+    ``with_key`` adds ``row_key``, the hash of id and text, which tells apart rows that share an id."""
     keyed = with_row_key(documents(docs, id_col, text_col))
     split = keyed.select("doc_id", "row_key", _words(F.col("text")).alias("words"))
     item_window = materialise(item_windows(benchmark, size, item_col, item_text_col), "benchmark-windows")
@@ -128,9 +131,18 @@ def contamination(
     items = F.coalesce("items", F.expr("cast(array() as array<string>)"))
     return out.select(
         "doc_id",
+        *(["row_key"] if with_key else []),
         "n_words",
         "n_hit",
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (100 * F.col("n_hit") >= min_percent * F.col("n_words"))).alias("contaminated"),
     )
+
+
+def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not contaminated, with all their columns."""
+    found = contamination(df, benchmark, id_col=id_col, text_col=text_col, with_key=True).filter("contaminated")
+    found = materialise(found.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct(), "contaminated")
+    key = F.xxhash64(df[id_col], df[text_col].cast("string"))
+    return df.join(found, (key == found["_key"]) & df[id_col].eqNullSafe(found["_id"]), "left_anti")

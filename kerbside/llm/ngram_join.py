@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import WordHashes, documents, lower_words, shingle_set, summed_vector, vector_rows
@@ -237,3 +237,12 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     named = named.join(least, "component").select(F.col("node").alias("of"), "component_id")
     out = members.join(named, (F.col("node") == F.col("of")) & (F.col("n") > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each_group(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose id names their group, one row for an id; rows without an id cannot be named and stay."""
+    groups = ngram_groups(df, size, percent, id_col, text_col)
+    named = materialise(groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_named")).distinct(), "groups-named")
+    kept = df.join(named, df[id_col] == named["_named"], "left_semi")
+    first = kept.withColumn("_nth", F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).filter("_nth = 1").drop("_nth")
+    return first.unionByName(df.filter(F.col(id_col).isNull()))

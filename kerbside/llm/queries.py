@@ -11,12 +11,17 @@ from kerbside.llm.decontamination import contamination
 from kerbside.llm.ngram_join import ngram_groups
 from kerbside.llm.oracles import ORACLES
 from kerbside.llm.packing import pack
+from kerbside.llm.pii import KINDS, anonymise
 from kerbside.llm.quality_rules import quality_rules
 from kerbside.llm.token_output import checksums, read_tokens, write_tokens
 from kerbside.llm.toxicity import toxicity
 from kerbside.session import scratch_path
 
 
+# The key of the registered runs; a deployment passes its own secret.
+SURROGATE_KEY = b"registered-queries"
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,6 +50,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), F.col("score"), F.col("predicted"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = anonymise(docs, SURROGATE_KEY, counts_col="entities")
+    total = F.aggregate(F.map_values("entities"), F.lit(0).cast("long"), lambda a, b: a + b)
+    return out.select("doc_id", "text", total.alias("n_entities"), *[F.coalesce(F.col("entities")[k], F.lit(0)).alias(f"n_{k}") for k in KINDS])
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_groups(_read(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -55,6 +67,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op6_token_orc": op6_token_orc,
     "op7_toxicity": op7_toxicity,
+    "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }
 

@@ -120,6 +120,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
     return Model(kept, np.frombuffer(bytes(learned[0]["w"]), "<f8") * ratio, learned[0]["b"])
 
 
+def _scores(texts: pa.Array, model: Model | None, table: np.ndarray | None) -> np.ndarray:
+    if model is None:
+        return np.zeros(len(texts))
+    margins = np.full(len(texts), model.bias)
+    for i, text in enumerate(texts):
+        buckets = ngrams(text.as_py())
+        hit = np.unique(buckets[table[buckets] != 0])
+        margins[i] += table[hit].sum(dtype=np.float64)
+    return 1 / (1 + np.exp(-np.clip(margins, -700, 700)))
+
+
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs`` (doc_id, text)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -127,14 +138,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table() if model else None
         for batch in batches:
-            margins = np.full(batch.num_rows, -np.inf if model is None else model.bias)
-            if model is not None:
-                for i, text in enumerate(batch.column("text")):
-                    buckets = ngrams(text.as_py())
-                    hit = np.unique(buckets[table[buckets] != 0])
-                    margins[i] += table[hit].sum(dtype=np.float64)
-            scores = 1 / (1 + np.exp(-np.clip(margins, -700, 700)))
-            scores[np.isneginf(margins)] = 0.0
+            scores = _scores(batch.column("text"), model, table)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"]
             )
@@ -142,6 +146,19 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(apply, f"doc_id {id_type}, score double, predicted int")
 
 
+def without_toxic(df: DataFrame, labels: DataFrame, sample: int = 8000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not predicted to be toxic, with all their columns; learns from all ``labels``."""
+    rows = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("label"))
+    model, at = fit(documents(df, id_col, text_col), rows, sample), df.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = model.table() if model else None
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(at), model, table) < 0.5))
+
+    return df.mapInArrow(keep, df.schema)
+
+
 def toxicity(
     df: DataFrame,
     labels: DataFrame,
