@@ -13,6 +13,7 @@ from kerbside.llm.oracles import ORACLES
 from kerbside.llm.packing import pack
 from kerbside.llm.pii import KINDS, anonymise
 from kerbside.llm.quality_rules import quality_rules
+from kerbside.llm.substring_dedup import remove_repeats
 from kerbside.llm.token_output import checksums, read_tokens, write_tokens
 from kerbside.llm.toxicity import toxicity
 from kerbside.session import scratch_path
@@ -50,6 +51,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), F.col("score"), F.col("predicted"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_read(spark, sf_dir, "documents"), size=50)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     out = anonymise(docs, SURROGATE_KEY, counts_col="entities")
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op6_token_orc": op6_token_orc,
     "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }
