@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import crc32_mod
 from kerbside.llm.decontamination import contamination
+from kerbside.llm.lm_scoring import lm_scores
 from kerbside.llm.ngram_join import ngram_groups
 from kerbside.llm.oracles import ORACLES
 from kerbside.llm.packing import pack
@@ -39,6 +40,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc32_mod("doc_id") == 1
+    scored = lm_scores(_read(spark, sf_dir, "documents"), train=~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-orc")
     write_tokens(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -70,6 +77,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_token_orc": op6_token_orc,
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
