@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import crc32_mod
+from kerbside.llm.cotraining import quality_classifier
 from kerbside.llm.decontamination import contamination
 from kerbside.llm.lm_scoring import lm_scores
 from kerbside.llm.ngram_join import ngram_groups
@@ -40,6 +41,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc32_mod("doc_id") == 0
+    scored = quality_classifier(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), train=~held_out)
+    return scored.withColumns({"held_out": held_out, "kept": F.col("predicted") == 1})
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc32_mod("doc_id") == 1
     scored = lm_scores(_read(spark, sf_dir, "documents"), train=~held_out)
@@ -77,6 +84,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
+    "op4_cotraining": op4_cotraining,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_token_orc": op6_token_orc,
     "op7_toxicity": op7_toxicity,
