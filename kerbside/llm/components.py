@@ -32,5 +32,6 @@ def components(edges: DataFrame) -> DataFrame:
         now = materialise(_star(_star(now, large=True), large=False), "edges")
         state = tuple(now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first())
         if state == before:
-            return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+            ends = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return ends.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = state

@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import logistic_regression, words
+from kerbside.llm.common import logistic_regression
 from kerbside.llm.quality_rules import STOP_WORDS
 from kerbside.session import materialise
 
 BINS = 16
 META_BUCKETS = 1 << 12
 _STOP = frozenset(w for listed in STOP_WORDS.values() for w in listed.split())
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MARKS = re.compile(r"[#*$%&|<>]")
 _STATISTICS = 14
 
@@ -37,7 +38,7 @@ _STATISTICS = 14
 def text_statistics(text: str | None) -> list[float]:
     """Size, and shares of words, letters and lines that tell prose from junk."""
     text = text or ""
-    own, letters = words(text), max(1, len(text))
+    own, letters = _WORD.findall(text), max(1, len(text))
     n, lines = max(1, len(own)), [x for x in text.split("\n") if not x.isspace() and x]
     kinds = Counter(own)
     capitals = sum(1 for w in own if len(w) > 1 and w[:-1].isupper())

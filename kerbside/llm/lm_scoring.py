@@ -27,7 +27,7 @@ from kerbside.llm import language_model as lm
 from kerbside.llm.common import documents, lower_words
 from kerbside.session import materialise
 
-END = "\n"  # not a word: words hold no white space
+END = b"\n"  # not a word: words hold no white space
 LN10 = float(np.log(10))
 _CHUNK = 1 << 14
 
@@ -36,10 +36,10 @@ def token_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all tokens of ``docs`` (text), each task counting its own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        counts: Counter[bytes] = Counter()
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch.column("text"):
@@ -57,7 +57,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 class Dictionary:
     """Ids of the most frequent words by falling frequency, the end token first; the first ``vocabulary`` are the model's."""
 
-    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int, vocabulary: int) -> None:
+    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int, vocabulary: int) -> None:
         self.ids = {w: i for i, w in enumerate(words)}
         self.counts = np.asarray([*counts, 0], np.float64)  # the last id is that of all other words
         self.total, self.distinct, self.unknown = total, distinct, min(vocabulary, len(words) + 1) - 1
@@ -73,7 +73,7 @@ class Dictionary:
         """Counts of the model's tokens, the unknown one last."""
         return np.concatenate([self.counts[: self.unknown], [self.outside]]) + 0.5
 
-    def encode(self, words: list[str]) -> np.ndarray:
+    def encode(self, words: list[bytes]) -> np.ndarray:
         """Ids of the words and the end token; words outside have the last id."""
         ids, other = self.ids, len(self.ids)
         out = np.fromiter((ids.get(w, other) for w in words), np.int64, len(words))
@@ -137,9 +137,9 @@ def lm_scores(
     learned = documents(df.filter(train) if train is not None else df, id_col, text_col)
     counts = materialise(token_counts(learned), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(dictionary - 1).collect()
-    ends = counts.filter(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    words = Dictionary([END, *(r["word"] for r in top)], [ends, *(r["n"] for r in top)], total, distinct, vocabulary)
+    top = counts.filter(F.col("word") != END.decode()).orderBy(F.desc("n"), "word").limit(dictionary - 1).collect()
+    ends = counts.filter(F.col("word") == END.decode()).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    words = Dictionary([END, *(r["word"].encode() for r in top)], [ends, *(r["n"] for r in top)], total, distinct, vocabulary)
 
     weights = None
     if total:
@@ -171,7 +171,7 @@ def lm_scores(
             rows = np.arange(number, number + len(ids))
             number += len(ids)
             kind = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
-            rare_rows = pa.array([[{"word": w, "times": n} for w, n in x] for x in rare], kind)
+            rare_rows = pa.array([[{"word": w.decode(), "times": n} for w, n in x] for x in rare], kind)
             sizes = pa.array([len(e) for e in encoded], pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(rows), ids, sizes, pa.array(known, pa.int64()), pa.array(base), pa.array(model), rare_rows], names)
 

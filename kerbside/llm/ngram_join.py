@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import WordHashes, documents, lower_words, shingle_set, summed_vector, vector_rows
+from kerbside.llm.common import documents, shingle_set, summed_vector, vector_rows, word_hashes
 from kerbside.llm.components import components
 from kerbside.session import materialise
 
@@ -71,14 +71,14 @@ def _prints(docs: DataFrame, size: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sketch = WordHashes(), np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(SKETCH, np.int64)
         names = ["doc_id", "n", "node", "chunk", "payload"]
         id_arrow = None
         for batch in batches:
             id_arrow = batch.column("doc_id").type
             sizes, nodes = [], []
-            for text in batch.column("text"):
-                shingles = shingle_set(hashes(lower_words(text.as_py())), size)
+            for hashes in word_hashes(batch.column("text"), lower=True):
+                shingles = shingle_set(hashes, size)
                 sizes.append(len(shingles))
                 nodes.append(_node(shingles))
                 np.add.at(sketch, _slots(shingles), 1)
@@ -96,11 +96,11 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray, back
     """(shingle, node, n, matches); copies of a set met in one task give their rows once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, met = WordHashes(), set()
+        met = set()
         for batch in batches:
             parts, nodes, sizes, matches = [], [], [], []
-            for text in batch.column("text"):
-                shingles = shingle_set(hashes(lower_words(text.as_py())), size)
+            for hashes in word_hashes(batch.column("text"), lower=True):
+                shingles = shingle_set(hashes, size)
                 node = _node(shingles)
                 if not len(shingles) or node in met:
                     continue
@@ -131,11 +131,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     rows = dealt.unionByName(heads).join(texts, F.col("b") == F.col("node")).select("a", "part", "b", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, head, own = WordHashes(), None, np.empty(0, np.uint64)
+        head, own = None, np.empty(0, np.uint64)
         for batch in batches:
             links = []
-            for a, b, text in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text"), strict=True):
-                shingles = shingle_set(hashes(lower_words(text.as_py())), size)
+            texts = word_hashes(batch.column("text"), lower=True)
+            for a, b, hashes in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), texts, strict=True):
+                shingles = shingle_set(hashes, size)
                 if a == b:
                     head, own = a, shingles
                     continue
@@ -160,8 +161,7 @@ def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int)
     rows = placed.join(texts, "node").select("shingle", "i", "j", "block", "node", "component", "text")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        hashes = WordHashes()
-        sets = [shingle_set(hashes(lower_words(text)), size) for text in frame["text"]]
+        sets = [shingle_set(hashes, size) for hashes in word_hashes(pa.array(frame["text"], pa.string()), lower=True)]
         sizes = np.asarray([len(s) for s in sets])
         row = np.repeat(np.arange(len(sets)), sizes)
         _, column = np.unique(np.concatenate(sets), return_inverse=True)
@@ -202,9 +202,9 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     wanted_texts = docs.join(wanted, F.col("doc_id") == F.col("least_id")).select("node", "text")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            same = [_node(shingle_set(hashes(lower_words(t.as_py())), size)) == n for n, t in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True)]
+            texts = word_hashes(batch.column("text"), lower=True)
+            same = [_node(shingle_set(hashes, size)) == n for n, hashes in zip(batch.column("node").to_pylist(), texts, strict=True)]
             yield batch.filter(pa.array(same, pa.bool_()))
 
     texts = wanted_texts.mapInArrow(own, "node bigint, text string").dropDuplicates(["node"])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import WordHashes, documents, mix, summed_vector, vector_rows, window_hashes, with_row_key, words
+from kerbside.llm.common import documents, mix, summed_vector, vector_rows, window_hashes, with_row_key, word_hashes, words
 from kerbside.session import materialise
 
 SKETCH = 1 << 20
@@ -121,10 +121,10 @@ def segments(runs: np.ndarray, counts: np.ndarray, background: float, size: int)
 
 def _sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sketch = WordHashes(), np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                slots = (window_hashes(hashes(words(text.as_py())), RUN) >> np.uint64(44)).astype(np.int64)
+            for hashes in word_hashes(batch.column("text")):
+                slots = (window_hashes(hashes, RUN) >> np.uint64(44)).astype(np.int64)
                 np.add.at(sketch, slots, 1)
         rows = vector_rows(sketch)
         if rows:
@@ -137,11 +137,9 @@ def _anchors(docs: DataFrame, counts: np.ndarray, background: float, size: int)
     """(anchor, doc_id, row_key, start, length, segment): every segment of every document, by place and hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             rows, parts = [], []
-            for i, text in enumerate(batch.column("text")):
-                own = hashes(words(text.as_py()))
+            for i, own in enumerate(word_hashes(batch.column("text"))):
                 runs = window_hashes(own, RUN)
                 at, first, last = segments(runs, counts, background, size)
                 if not len(at):
@@ -178,7 +176,7 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             out = []
             for doc, text, cuts in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("cuts").to_pylist(), strict=True):
                 own = words(text.as_py())
-                out += [(c["anchor"], c["segment"], doc, " ".join(own[c["start"] : c["start"] + c["length"]])) for c in cuts]
+                out += [(c["anchor"], c["segment"], doc, b" ".join(own[c["start"] : c["start"] + c["length"]]).decode()) for c in cuts]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["anchor", "segment", "doc_id", "words"])
@@ -249,9 +247,9 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
                     keep = np.cumsum(change)[:-1] == 0
                     own = [w for w, k in zip(own, keep.tolist(), strict=True) if k]
                 removed.append(sizes[-1] - len(own))
-                kept = " ".join(own)
-                digests.append(hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest())
-                texts.append(kept if with_text else "")
+                kept = b" ".join(own)
+                digests.append(hashlib.sha256(kept).hexdigest())
+                texts.append(kept.decode() if with_text else "")
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if with_text:
