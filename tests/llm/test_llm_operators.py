@@ -501,7 +501,9 @@ def test_anonymise(spark):
         assert gone not in new[1][0]
     shape = re.fullmatch(r"Mr\. (\w+) (\w+) \(([\w.]+@[\w.]+\.com), \+1 \(\d{3}\) \d{3}-\d{4}\) met Mrs (\w+) (\w+)\. (\w+) left [\d.]+\.", new[1][0])
     assert shape and shape[2] == shape[5] == shape[6]
-    assert shape[1] in pii.NAMES["latin"]["m"].split() and shape[4] in pii.NAMES["latin"]["f"].split()
+    # The list of male names is shorter than the names to replace: some are made of syllables, with a male ending.
+    assert shape[1] in pii.NAMES["latin"]["m"].split() or shape[1].endswith("n")
+    assert shape[4] in pii.NAMES["latin"]["f"].split()
     assert shape[3] in new[2][0]
     russian = re.search(r"господин (\w+) (\w+) not", new[2][0])
     assert russian and pii.script_of(russian[1]) == pii.script_of(russian[2]) == "cyrillic" and russian[1] != "Иван"
