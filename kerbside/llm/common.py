@@ -142,7 +142,7 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(window_hashes(hashes, min(size, len(hashes))))
 
 
-_CHUNK = 1 << 12
+_CHUNK = 1 << 14
 
 
 def vector_rows(vector: np.ndarray) -> list[tuple[int, bytes]]:

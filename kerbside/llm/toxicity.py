@@ -62,7 +62,7 @@ def _sample(labels: DataFrame, rows: int) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float = 4.0, penalty: float = 1e-6) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float = 4.0, least_ratio: float = 0.5, penalty: float = 1e-6) -> Model | None:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1); None without both classes."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -71,7 +71,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last two slots count the texts of each class.
-        counts = np.zeros(2 * (1 << BITS) + (1 << 12), np.int64)
+        counts = np.zeros(2 * (1 << BITS) + (1 << 14), np.int64)
         for batch in batches:
             for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 counts[np.unique(ngrams(text)) + label * (1 << BITS)] += 1
@@ -80,7 +80,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "payload"])
 
-    counted = summed_vector(texts.mapInArrow(count, "chunk int, payload binary"), 2 * (1 << BITS) + (1 << 12))
+    counted = summed_vector(texts.mapInArrow(count, "chunk int, payload binary"), 2 * (1 << BITS) + (1 << 14))
     n = counted[2 << BITS : (2 << BITS) + 2].astype(float)
     if not n.all():
         return None
@@ -88,8 +88,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
     share, pooled = having / n[1] - without / n[0], (having + without) / n.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
         z = share / np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
-    kept = np.flatnonzero((np.abs(np.nan_to_num(z)) >= least_z) & (having + without >= 5))
-    ratio = np.log((having[kept] + 1) / (n[1] + 2)) - np.log((without[kept] + 1) / (n[0] + 2))
+    ratio = np.log((having + 1) / (n[1] + 2)) - np.log((without + 1) / (n[0] + 2))
+    kept = np.flatnonzero((np.abs(np.nan_to_num(z)) >= least_z) & (np.abs(ratio) >= least_ratio) & (having + without >= 5))
+    ratio = ratio[kept]
     position = np.full(1 << BITS, -1, np.int32)
     position[kept] = np.arange(len(kept))
 
@@ -116,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
         yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f8").tobytes()], pa.binary()), pa.array([float(b)])], ["w", "b"])
 
     selected = texts.mapInArrow(select, "label int, features binary")
-    learned = selected.coalesce(1).mapInArrow(learn, "w binary, b double").collect()  # at most 2 * sample short rows
+    learned = selected.repartition(1).mapInArrow(learn, "w binary, b double").collect()  # at most 2 * sample short rows
     return Model(kept, np.frombuffer(bytes(learned[0]["w"]), "<f8") * ratio, learned[0]["b"])
 
 
