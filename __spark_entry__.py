@@ -23,10 +23,12 @@ from kerbside.operators.dedup import latest_per_key
 from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
 from kerbside.plans import anomalies, metrics, quality, report
 from kerbside.plans.models import INTERMEDIATE, MARTS, STAGING, Models, int_bookings, int_sessions, stage
-from kerbside.session import scratch_path
+from kerbside.schemas import RAW_COLUMNS, raw_schema
+from kerbside.session import materialise, scratch_path
 from kerbside.sources.facts import FactTable
-from kerbside.sources.mapping import MAPPED_CATEGORIES, daily_rates, raw_tables, search_events, table
-from kerbside.sources.sinks import restricted
+from kerbside.sources.mapping import MAPPED_CATEGORIES, TABLES, daily_rates, raw_tables, search_events, table
+from kerbside.sources.raw import read_raw, read_tables
+from kerbside.sources.sinks import export_closed_months, export_csv, restricted
 from kerbside.streaming.jobs import bursts_from_counts, stream_burst_counts, stream_into_fact
 
 try:  # the operators for training data are a subpackage of their own, which may be absent
@@ -64,17 +66,28 @@ CASE_COLUMNS = (
 )
 
 
-_WAREHOUSES: dict[tuple[str, str], Models] = {}
+_WAREHOUSES: dict[tuple, Models] = {}
+
+
+def _models_of(raw: dict[str, DataFrame], written: bool = False) -> Models:
+    return Models(raw, written=written)
 
 
 def _models(spark: SparkSession, sf_dir: str, written: bool = False) -> Models:
-    return Models(raw_tables(spark, sf_dir), written=written)
+    return _models_of(raw_tables(spark, sf_dir), written)
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """The files of the tables that models are made of, with their sizes and times: other files, other models."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    rows = files.load([f"{sf_dir}/{name}.parquet" for name in TABLES]).select("path", "length", "modificationTime")
+    return tuple(rows.agg(F.count("*"), F.sum("length"), F.sum(F.xxhash64("path", "modificationTime") % 1_000_003)).first())
 
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> Models:
     """The written models of these tables. As in production, a session makes each model once, by the first query
     that needs it, and the metrics, reports and checks read the written tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = _models(spark, sf_dir, written=True)
     return _WAREHOUSES[key]
@@ -180,13 +193,50 @@ def fct_sessions_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams --------------------------------------------------------------------------------------------------
 def stream_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # The brackets make it a pattern, which may match one file or a folder of part files.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     searches = stage(search_events(events), "searches")
     out = scratch_path(spark, "stream-bursts")
     stream_burst_counts(searches, f"{out}/checkpoint", f"{out}/counts").awaitTermination()
     return bursts_from_counts(spark.read.parquet(f"{out}/counts"), MAPPED_BURST)
 
 
+def _booking_stream(spark: SparkSession, sf_dir: str, arrivals: list[Column], per_batch: int | None) -> DataFrame:
+    """Raw bookings that land as files in the given order, as a stream into a fact table."""
+    raw = raw_tables(spark, sf_dir)
+    partners = materialise(stage(raw["partners"], "partners"), "stream-partners")
+    landing = scratch_path(spark, "landing")
+    fact = _fact(spark, "booking_id", "booked_at")
+    for number, arrival in enumerate(arrivals):
+        raw["bookings"].filter(arrival).write.parquet(f"{landing}/in/slice={number}")
+    reader = spark.readStream.schema(raw["bookings"].schema)
+    reader = reader if per_batch is None else reader.option("maxFilesPerTrigger", per_batch)
+    staged = stage(reader.parquet(f"{landing}/in/slice=*"), "bookings")
+    stream_into_fact(
+        staged, fact, lambda batch: int_bookings(batch, partners), f"{landing}/checkpoint"
+    ).awaitTermination()
+    return fact.read()
+
+
+def stream_fct_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later bookings arrive first, in several micro-batches; none is lost."""
+    early = _before("booked_at", BOOKING_CUT)
+    return _booking_stream(spark, sf_dir, [~early, early], 4)
+
+
+def fct_lookback_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with lookback that brings older versions of stored bookings, and bookings that are late.
+
+    Every booking is loaded but those of one residue; then every booking arrives again, a day older.
+    """
+    m = _models(spark, sf_dir)
+    fact = FactTable(spark, scratch_path(spark, "fact"), "booking_id", "booked_at", grain="month", lookback="36500 days")
+    bookings = materialise(m["int_bookings"], "all-bookings")
+    fact.load(bookings.filter(_number("booking_id") % 10 != 3))
+    older = bookings.withColumn("booked_at", F.col("booked_at") - F.expr("interval 1 day")).withColumn("status", F.lit("late"))
+    return fact.load(fact.pending(older))
+
+
 def stream_fct_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of raw bookings; the stream is stopped and resumed from its checkpoint in between."""
     raw = raw_tables(spark, sf_dir)
@@ -210,7 +260,15 @@ def _parts(m: Models) -> DataFrame:
 
 
 def _report(m: Models) -> DataFrame:
-    return report.check_contract(report.revenue_by_partner(_parts(m), m["dim_partners"]))
+    return report.enforced(report.revenue_by_partner(_parts(m), m["dim_partners"]))
+
+
+def rpt_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's rules on a report that breaks them: some names are missing and one currency's rows come twice."""
+    m = _warehouse(spark, sf_dir)
+    good = report.revenue_by_partner(_parts(m), m["dim_partners"])
+    name = F.when(F.col("currency") != "USD", F.col("partner_name"))
+    return report.contract_violations(good.withColumn("partner_name", name).unionByName(good.filter("currency = 'BRL'")))
 
 
 def fx_revenue(rate_date: str) -> Query:
@@ -221,6 +279,22 @@ def fx_revenue(rate_date: str) -> Query:
     return query
 
 
+def asof_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each event the latest error at or before half a second before it; errors are doubled, so that facts tie."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts", "value")
+    points = events.select("event_id", (F.col("user_id") % 50).alias("k"), (F.col("ts") - F.expr("interval 500 milliseconds")).alias("t"))
+    errors = events.filter("event_type = 'error'").select((F.col("user_id") % 50).alias("k"), F.col("ts").alias("at"), F.col("value").alias("v"))
+    tied = errors.unionByName(errors.withColumn("v", F.col("v") / 2))
+    return asof_join(points, tied, "k", "t", "at", "v").select("event_id", F.col("v").alias("latest"))
+
+
+def fx_fine_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of ten decimals."""
+    m = _warehouse(spark, sf_dir)
+    fine = daily_rates(spark, sf_dir).withColumn("rate", (F.col("rate").cast("decimal(18,10)") / 97).cast("decimal(18,10)"))
+    return report.revenue_in_brl(m["fct_bookings"], m["int_cancellations"], fine, "booking")
+
+
 def asof_booking_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     bookings = _warehouse(spark, sf_dir)["fct_bookings"].select(
         "booking_id", "currency", F.col("booked_at").cast("date").alias("booked_date")
@@ -237,13 +311,29 @@ def _alerts(m: Models) -> DataFrame:
     return quality.alert_limits(m, MAPPED_CATEGORIES)
 
 
-def _fresh(m: Models) -> DataFrame:
-    latest = m["fct_bookings"].agg(F.max("booked_at")).scalar()
-    return quality.freshness(m["fct_bookings"], "booked_at", latest + F.expr("interval 5 hours"))
+def _loaded(spark: SparkSession, m: Models) -> DataFrame:
+    """The load times of a fact table that was loaded just now."""
+    fact = _fact(spark, "booking_id", "booked_at")
+    fact.load(m["fct_bookings"])
+    return fact.loads()
+
 
+def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact table loaded now, judged at ages of 3, 6, 9, ... hours, one for each nation."""
+    loaded = _loaded(spark, _warehouse(spark, sf_dir))
+    latest = loaded.agg(F.max("loaded_at").cast("timestamp_ntz")).first()[0]
+    ages = sorted(3 * (r[0] + 1) for r in table(spark, sf_dir, "nation").select("n_nationkey").collect())
+    judged = [quality.freshness(loaded, "loaded_at", F.lit(latest) + F.expr(f"interval {h} hours")) for h in ages]
+    return reduce(DataFrame.unionByName, judged).select("age_hours", "fresh")
 
-def _trust(m: Models) -> DataFrame:
-    return quality.verdict(m, _fresh(m), SUITE, MAPPED_CATEGORIES)
+
+def dq_trust_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict right after a load, and 30 hours later."""
+    m = _warehouse(spark, sf_dir)
+    loaded = _loaded(spark, m)
+    latest = loaded.agg(F.max("loaded_at").cast("timestamp_ntz")).first()[0]
+    fresh = [quality.freshness(loaded, "loaded_at", F.lit(latest) + F.expr(f"interval {h} hours")) for h in (0, 30)]
+    return quality.verdict(m, reduce(DataFrame.unionByName, fresh), SUITE, MAPPED_CATEGORIES)
 
 
 def dq_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,6 +397,58 @@ def price_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _six_digits(out, "q_0", "q_1", "q_2")
 
 
+def event_outliers_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a type are a group of their own."""
+    events = table(spark, sf_dir, "events").select("event_id", F.nullif("event_type", F.lit("view")).alias("event_type"), "value")
+    return _six_digits(iqr_upper_outliers(events, "event_type", "value", IQR_FACTOR, "upper_limit"), "upper_limit")
+
+
+def quantiles_infinite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles next to infinite values."""
+    price = F.when(F.col("l_quantity") > 48, float("inf")).otherwise(F.col("l_extendedprice"))
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", price.alias("price"))
+    return _six_digits(exact_quantiles(lines, "l_returnflag", "price", (0.5, 0.9, 1.0)), "q_0", "q_1", "q_2")
+
+
+# -- sources and sinks ----------------------------------------------------------------------------------------
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw tables written as CSV, read with their declared schemas and staged: bookings."""
+    folder, raw = scratch_path(spark, "raw-csv"), raw_tables(spark, sf_dir)
+    for name in RAW_COLUMNS:
+        writer = raw[name].select(*raw_schema(name).names).write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        writer.csv(f"{folder}/raw_{name}.csv", header=True)
+    return _models_of(read_raw(spark, folder))["stg_bookings"]
+
+
+def parquet_marts_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models written as tables and read by name."""
+    folder = scratch_path(spark, "marts")
+    _warehouse(spark, sf_dir).write(folder, ("dim_partners", "fct_bookings"))
+    tables = read_tables(spark, folder, ["dim_partners", "fct_bookings"])
+    return tables["fct_bookings"].join(tables["dim_partners"].select("partner_id", "partner_name"), "partner_id").select(
+        "booking_id", "partner_name", "total_amount"
+    )
+
+
+def csv_export_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sorted CSV export of every long session, read back."""
+    path, m = scratch_path(spark, "export"), _warehouse(spark, sf_dir)
+    export_csv(m["fct_bookings"].select("booking_id", "currency", "status"), path, F.asc("booking_id"))
+    return spark.read.schema("booking_id string, currency string, status string").csv(path, header=True)
+
+
+def month_close_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed months exported twice, the second time one month alone; the others stay."""
+    path, whole = scratch_path(spark, "close"), _report(_warehouse(spark, sf_dir))
+    export_closed_months(whole, path)
+    first = whole.agg(F.min("reference_month")).first()[0]
+    export_closed_months(whole.filter(F.col("reference_month") == F.lit(first)), path)
+    names = [c for c in whole.columns if c not in ("is_partial_month", "reference_month")]
+    text = ", ".join(f"{c} string" for c in names)
+    back = spark.read.schema(f"{text}, reference_month date").csv(path, header=True)
+    return back.select("partner_id", "currency", F.col("booking_count").cast("long").alias("booking_count"), "reference_month")
+
+
 def event_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed_bursts(table(spark, sf_dir, "events"), "user_id", "ts", 7 * 86400, 1)
 
@@ -320,9 +462,9 @@ def events_per_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(start).agg(F.count("*").alias("events"))
 
 
-def entry(spark: SparkSession) -> DataFrame:
-    """The contract revenue report on the smallest tables."""
-    return _plain(_report(_models(spark, "/root/testdata/sf0.001", written=True)))
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
+    """The contract revenue report, on the smallest tables unless told otherwise."""
+    return _plain(_report(_models(spark, sf_dir, written=True)))
 
 
 def _findable(run: Query) -> Query:
@@ -390,6 +532,9 @@ def _all() -> dict[str, Query]:
             lambda m: _six_digits(anomalies.amount_outliers(m["int_bookings"]), "limite_superior")
         ),
         "refund_over_total": _on_models(
+            lambda m: anomalies.refund_over_total_rows(m["stg_cancellations"], m["stg_bookings"])
+        ),
+        "refund_over_total_counted": _on_models(
             lambda m: anomalies.refunds_over_total(m["stg_cancellations"], m["stg_bookings"])
         ),
         "same_user_day": _on_models(lambda m: anomalies.same_user_day(m["int_bookings"])),
@@ -403,20 +548,25 @@ def _all() -> dict[str, Query]:
         "dq_extended": _on_models(lambda m: quality.run_checks(m, quality.EXTENDED_SUITE)),
         "dq_thresholds": _on_models(_alerts),
         "dq_null_rates": dq_null_rates,
-        "dq_freshness": _on_models(_fresh),
-        "dq_trust_gate": _on_models(_trust),
+        "dq_freshness": dq_freshness,
+        "dq_trust_gate": dq_trust_gate,
         "profile_duplicates": lambda spark, sf_dir: quality.profile_duplicates(
             raw_tables(spark, sf_dir), quality.RAW_KEYS
         ),
         "profile_case_variants": profile_case_variants,
         "rpt_revenue_by_partner": _on_models(_report),
         "completeness_index": _on_models(lambda m: report.completeness_index(_parts(m))),
+        "invalid_amount_run": _on_models(lambda m: report.invalid_amount_rate(_parts(m))),
+        "rpt_contract_violations": rpt_contract_violations,
+        "suspicious_bookings": _on_models(lambda m: report.suspicious_bookings(m["int_bookings"])),
         "suspicious_rate": _on_models(lambda m: report.suspicious_rate(m["int_bookings"])),
         "currency_domain_check": _on_models(lambda m: quality.currency_domain(m["fct_bookings"], CURRENCIES[:4])),
         "net_revenue": _on_models(lambda m: report.net_revenue(m["fct_bookings"], m["int_cancellations"])),
         "fx_revenue_asof": fx_revenue("booking"),
         "fx_revenue_month_close": fx_revenue("month_close"),
+        "fx_fine_rates": fx_fine_rates,
         "asof_booking_rate": asof_booking_rate,
+        "asof_event_times": asof_event_times,
         "avg_ticket": _on_models(lambda m: metrics.average_ticket(m["fct_bookings"])),
         "scorecards": _on_models(lambda m: metrics.scorecards(*[m[n] for n in funnel_inputs])),
         "sql_monthly_evolution": sql_monthly_evolution,
@@ -424,7 +574,16 @@ def _all() -> dict[str, Query]:
         "revenue_mom_change": _on_models(lambda m: metrics.revenue_change(_report(m))),
         "stream_burst": stream_burst,
         "stream_fct_upsert": stream_fct_upsert,
+        "stream_fct_unordered": stream_fct_unordered,
+        "fct_lookback_late": fct_lookback_late,
+        "csv_round_trip": csv_round_trip,
+        "parquet_marts_read": parquet_marts_read,
+        "csv_export_uncapped": csv_export_uncapped,
+        "month_close_export": month_close_export,
+        "event_outliers_null_group": event_outliers_null_group,
+        "quantiles_infinite": quantiles_infinite,
         "pii_masked_export": _on_models(lambda m: restricted(m["fct_bookings"])),
+        "pii_keyed_export": _on_models(lambda m: restricted(m["fct_bookings"], key="registered")),
         "pii_masked_partners": _on_models(lambda m: restricted(m["dim_partners"])),
         "pii_dropped_sessions": _on_models(lambda m: restricted(m["fct_sessions"], "drop")),
         "latest_line": latest_line,

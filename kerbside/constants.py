@@ -34,7 +34,6 @@ BURST_THRESHOLD = 50
 SIGMAS = 2.0
 IQR_FACTOR = 1.5
 LONG_SESSION_HOURS = 6
-EXPORT_ROW_CAP = 1000
 
 # --- fixed values: alert limits, per cent of the stated population ---------------------------------------------
 ALERT_LIMITS_PCT = {
@@ -47,6 +46,7 @@ ALERT_LIMITS_PCT = {
     "unknown_category": 0.0,
 }
 COMPLETENESS_LIMIT_PCT = 2.0
+CONTRACT_GRAIN = ("partner_id", "reference_month", "currency")
 SUSPICIOUS_LIMIT_PCT = 0.5
 NULL_RATE_TOLERANCE_PP = 3.0
 FRESHNESS_HOURS = 24

@@ -12,10 +12,14 @@ _WIDTH = """(extract(DAY FROM width) * 86400L + extract(HOUR FROM width) * 3600
 _SINCE = f"({_SECONDS.format(t='ts')} - {BUCKET_ORIGIN_SECONDS}L)"
 
 FUNCTIONS = {
-    # Text of a time by a pattern of %Y, %m, %d, %H, %M and %S.
-    "strftime": """(ts TIMESTAMP_NTZ, pattern STRING) RETURNS STRING RETURN date_format(ts,
-        replace(replace(replace(replace(replace(replace(pattern,
-        '%Y', 'yyyy'), '%m', 'MM'), '%d', 'dd'), '%H', 'HH'), '%M', 'mm'), '%S', 'ss'))""",
+    # Text of a time by a pattern of %Y, %m, %d, %H, %M, %S and %%; other directives fail, other letters stand for themselves.
+    "strftime": """(ts TIMESTAMP_NTZ, pattern STRING) RETURNS STRING RETURN if(
+        regexp_like(pattern, '%([^YmdHMS%]|$)') AND NOT regexp_like(pattern, '^([^%]|%[YmdHMS%])*$'),
+        raise_error(concat('unknown directive in ', pattern)),
+        array_join(transform(regexp_extract_all(pattern, '(%[YmdHMS%]|[^%]+)', 1), part -> CASE part
+          WHEN '%Y' THEN date_format(ts, 'yyyy') WHEN '%m' THEN date_format(ts, 'MM') WHEN '%d' THEN date_format(ts, 'dd')
+          WHEN '%H' THEN date_format(ts, 'HH') WHEN '%M' THEN date_format(ts, 'mm') WHEN '%S' THEN date_format(ts, 'ss')
+          WHEN '%%' THEN '%' ELSE part END), ''))""",
     # Start of the fixed bucket that holds a time.
     "time_bucket": f"""(width INTERVAL DAY TO SECOND, ts TIMESTAMP_NTZ) RETURNS TIMESTAMP_NTZ RETURN
         TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0,

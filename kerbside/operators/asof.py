@@ -14,29 +14,35 @@ def asof_lookup(
 ) -> DataFrame:
     """For each distinct (key, time) of ``points`` the value of the latest fact of that key at or before it.
 
+    Times are compared exactly, to the microsecond. Of several facts of one key and time the greatest value counts.
     Time is cut into blocks. Inside a block the value is carried forward by a window; across blocks only the last
-    value of each block is carried, one row per block. So no task holds all times of a key. Points before the
-    first fact get null.
+    value of each block is carried, one row per block. So no task holds all times of a key. Points before the first
+    fact get null.
     """
     def placed(df: DataFrame, time: str) -> DataFrame:
-        seconds = epoch_seconds(F.col(time).cast("timestamp_ntz"))
-        return df.withColumn("_s", seconds).withColumn("_block", F.floor(F.col("_s") / (block_days * 86400)))
+        at = F.col(time).cast("timestamp_ntz")
+        return df.withColumn("_at", at).withColumn("_block", F.floor(epoch_seconds(at) / (block_days * 86400)))
 
-    asked = placed(points.select(key, F.col(point_time).alias("_t")).distinct(), "_t")
-    known = placed(facts.select(key, F.col(fact_time).alias("_t"), F.col(value).alias("_v")).filter("_v is not null"), "_t")
+    known_values = facts.select(F.col(key), F.col(fact_time).alias("_t"), F.col(value).alias("_v")).filter("_v is not null and _t is not null")
+    known = placed(known_values.groupBy(key, "_t").agg(F.max("_v").alias("_v")), "_t")
+    asked = placed(points.select(F.col(key), F.col(point_time).alias("_t")).distinct(), "_t")
 
-    events = asked.select(key, "_block", "_s", F.lit(1).alias("_asks"), "_t", F.lit(None).cast(facts.schema[value].dataType).alias("_v")).unionByName(
-        known.select(key, "_block", "_s", F.lit(0).alias("_asks"), F.lit(None).cast(points.schema[point_time].dataType).alias("_t"), "_v")
+    no_value, no_time = F.lit(None).cast(facts.schema[value].dataType), F.lit(None).cast(points.schema[point_time].dataType)
+    events = asked.select(key, "_block", "_at", F.lit(1).alias("_asks"), "_t", no_value.alias("_v")).unionByName(
+        known.select(key, "_block", "_at", F.lit(0).alias("_asks"), no_time.alias("_t"), "_v")
     )
-    inside = Window.partitionBy(key, "_block").orderBy("_s", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(key, "_block").orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
     in_block = events.withColumn("_here", F.last("_v", ignorenulls=True).over(inside)).filter(F.col("_asks") == 1)
 
     last_of_block = events.groupBy(key, "_block").agg(
-        F.max_by("_v", F.when(F.col("_asks") == 0, F.col("_s"))).alias("_last")
+        F.max_by("_v", F.when(F.col("_asks") == 0, F.col("_at"))).alias("_last")
     )
     earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last_of_block.select(key, "_block", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    return in_block.join(carried, [key, "_block"]).select(
+    carried = last_of_block.select(
+        F.col(key).alias("_key"), F.col("_block").alias("_of"), F.last("_last", ignorenulls=True).over(earlier).alias("_carried")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_block").eqNullSafe(F.col("_of"))
+    return in_block.join(carried, same).select(
         key, F.col("_t").alias(point_time), F.coalesce("_here", "_carried").alias(value)
     )
 

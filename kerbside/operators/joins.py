@@ -7,20 +7,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.session import estimated_bytes
+from kerbside.session import materialise
 
-# A dimension of at most this many counted rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
 # A key is hot when it holds more than this share of the rows, so there are never more than 1 / share of them.
 HOT_SHARE = 0.01
-# Below this many rows a hot key does no harm, and below this input size there cannot be that many.
-HOT_MIN_ROWS = 1_000_000
-HOT_MIN_BYTES = 64 * 1024 * 1024
 # Number of parts a hot key is split into.
 SPREAD = 256
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """The few key values that hold more than ``share`` of all rows, found with one bounded-memory aggregate.
 
     Only the choice of join strategy depends on this list, never the result of the join.
@@ -32,32 +27,22 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
         .agg(F.expr(f"approx_top_k(k, {most}, {most * 100})").alias("top"), F.count("*").alias("n"))
         .first()
     )
-    limit = max(share * found["n"], min_rows)
-    return [entry["item"] for entry in (found["top"] or []) if entry["count"] > limit]
+    return [entry["item"] for entry in (found["top"] or []) if entry["count"] > share * found["n"]]
 
 
 def skew_safe_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str,
-    spread: int = SPREAD,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-    min_bytes: int = HOT_MIN_BYTES,
+    left: DataFrame, right: DataFrame, key: str, how: str, spread: int = SPREAD, share: float = HOT_SHARE, hot: list | None = None
 ) -> DataFrame:
     """Equi-join (inner or left semi) of a large ``left`` whose key may be hot with a ``right`` of few rows per key.
 
     Rows of a hot key are spread over ``spread`` reducers by the map task they come from, and the matching right
     rows, at most ``1 / share`` keys, are repeated once per part. The part number depends on the task and not on
     row order, so a task that runs again after a lost executor sends its rows to the same place. Without a hot
-    key, or with a ``left`` that Spark estimates below ``min_bytes``, this is a plain join.
+    key this is a plain join. ``hot`` saves the search where the hot keys are known.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    size = estimated_bytes(left)
-    small = size is not None and size < min_bytes
-    hot = [] if small else hot_keys(left, key, share, min_rows)
+    hot = hot_keys(left, key, share) if hot is None else hot
     if not hot:
         return left.join(right, key, how)
     is_hot = F.col(key).isin(hot)
@@ -73,18 +58,14 @@ def existing_only(df: DataFrame, other: DataFrame, key: str, **skew: float) -> D
     return skew_safe_join(df, other.select(key), key, "left_semi", **skew)
 
 
-def existing_in_dimension(
-    df: DataFrame, dimension: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS, **skew: float
-) -> DataFrame:
+def existing_in_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``dimension``.
 
-    The dimension rows are counted first: up to ``broadcast_rows`` of them, their keys are broadcast and ``df`` is
-    not shuffled at all; a larger dimension takes the skew-safe shuffle join on its distinct keys.
+    The distinct keys of the dimension are written first, so that Spark's own size check sees their true bytes: a
+    small dimension is broadcast and ``df`` is not shuffled; for a larger one Spark splits hot keys at run time.
     """
-    keys = dimension.select(key)
-    if keys.count() <= broadcast_rows:
-        return df.join(F.broadcast(keys), key, "left_semi")
-    return skew_safe_join(df, keys.distinct(), key, "left_semi", **skew)
+    keys = materialise(dimension.select(key).distinct(), "dimension-keys")
+    return df.join(keys, key, "left_semi")
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

@@ -50,7 +50,7 @@ def exact_quantiles(
         slices = materialise(_narrow(counts, slices, bins), "rank-slices")
         previous, largest = largest, _largest(slices)
         if largest >= previous:
-            break
+            raise RuntimeError(f"{largest} distinct values within one double step of each other")
 
     by_value = Window.partitionBy("g", "lo").orderBy("v")
     ranked = _in_slices(counts, slices).withColumn(
@@ -71,7 +71,9 @@ def exact_quantiles(
         low, high = F.floor(p).cast("long"), F.ceil(p).cast("long")
         below, above = F.element_at("at", low), F.element_at("at", high)
         weight = p - F.floor(p)
-        quantiles.append((below * (F.lit(1.0) - weight) + above * weight).alias(f"q_{i}"))
+        between = below * (F.lit(1.0) - weight) + above * weight
+        # An infinite neighbour counts only where it has weight.
+        quantiles.append(F.when((weight == 0) | (below == above), below).otherwise(between).alias(f"q_{i}"))
     return out.select(group, *quantiles)
 
 
@@ -123,9 +125,11 @@ def iqr_upper_outliers(
 ) -> DataFrame:
     """Rows whose value lies above ``q3 + factor * (q3 - q1)`` of their group, with that limit.
 
-    The limits, one row per group, are written once; their true size decides whether the join broadcasts them.
+    Rows without a group form one. The limits, one row per group, are written once; their true size decides whether
+    the join broadcasts them.
     """
     quartiles = exact_quantiles(df, group, value, (0.25, 0.75), slice_values)
     limit = F.col("q_1") + F.lit(factor) * (F.col("q_1") - F.col("q_0"))
-    limits = materialise(quartiles.select(group, limit.alias(limit_name)), "iqr-limits")
-    return df.join(limits, group).filter(F.col(value) > F.col(limit_name))
+    limits = materialise(quartiles.select(F.col(group).alias("_group"), limit.alias(limit_name)), "iqr-limits")
+    above = df.join(limits, df[group].eqNullSafe(limits["_group"])).drop("_group")
+    return above.filter(F.col(value) > F.col(limit_name)).select(group, *[c for c in df.columns if c != group], limit_name)

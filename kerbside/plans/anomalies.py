@@ -90,6 +90,13 @@ def refunds_over_total(stg_cancellations: DataFrame, stg_bookings: DataFrame) ->
     )
 
 
+def refund_over_total_rows(stg_cancellations: DataFrame, stg_bookings: DataFrame) -> DataFrame:
+    """The same violations as one row per pair of staged rows, copies included."""
+    pairs = refunds_over_total(stg_cancellations, stg_bookings)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return pairs.withColumn("_copy", each).drop("_copy", "copies")
+
+
 def same_user_day(bookings: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
     """Users with more than one booking on a day. By default bookings of any status count."""
     counted = bookings if statuses is None else bookings.filter(F.col("status").isin(*statuses))

@@ -87,8 +87,9 @@ def dim_users(sessions: DataFrame, bookings: DataFrame) -> DataFrame:
 STAGING = tuple(f"stg_{t}" for t in RAW_COLUMNS)
 INTERMEDIATE = ("int_partners", "int_sessions", "int_searches", "int_bookings", "int_cancellations")
 MARTS = ("dim_partners", "dim_users", "fct_bookings", "fct_sessions")
-# Models whose making shuffles. int_bookings is a plain filter of active_bookings.
-_WRITTEN = ("int_partners", "int_sessions", "int_searches", "active_bookings", "int_cancellations", "dim_users")
+# Models whose making shuffles, and staging, which several models and checks read. int_bookings is a plain filter of
+# active_bookings.
+_WRITTEN = (*STAGING, "int_partners", "int_sessions", "int_searches", "active_bookings", "int_cancellations", "dim_users")
 
 
 class Models:

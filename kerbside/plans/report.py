@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.constants import COMPLETENESS_LIMIT_PCT, CURRENCIES, REVENUE_STATUSES, SUSPICIOUS_LIMIT_PCT
+from kerbside.constants import COMPLETENESS_LIMIT_PCT, CONTRACT_GRAIN, CURRENCIES, REVENUE_STATUSES, SUSPICIOUS_LIMIT_PCT
 from kerbside.functions.numeric import money, ratio_pct, round2
 from kerbside.functions.time import month_start
 from kerbside.operators.asof import asof_lookup
@@ -97,18 +97,44 @@ def revenue_by_partner(parts: DataFrame, partners: DataFrame, as_of: Column | No
     )
 
 
-def check_contract(report: DataFrame) -> DataFrame:
-    """The report itself, after its columns and types are found to be those of the contract.
+class ContractBroken(ValueError):
+    """A report that is not what the contract promises."""
 
-    Nulls in the non-null columns are found by the quality checks; here only the shape is compared.
-    """
+
+def check_contract(report: DataFrame) -> DataFrame:
+    """The report itself, after its columns and types are found to be those of the contract."""
     expected = [(f.name, f.dataType) for f in REVENUE_CONTRACT]
     actual = [(f.name, f.dataType) for f in report.schema]
     if expected != actual:
-        raise ValueError(f"contract broken: expected {expected}, found {actual}")
+        raise ContractBroken(f"contract broken: expected {expected}, found {actual}")
     return report
 
 
+def contract_violations(report: DataFrame) -> DataFrame:
+    """What breaks the contract in the rows of a report: (rule, field, failing_rows), rules that hold included.
+
+    No field may be null, and partner, month and currency make a row unique. One pass for the nulls, one aggregate
+    for the grain.
+    """
+    names = [f.name for f in REVENUE_CONTRACT if not f.nullable]
+    nulls = report.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
+    listed = [F.struct(F.lit("not_null").alias("rule"), F.lit(c).alias("field"), F.col(c).alias("failing_rows")) for c in names]
+    grain = report.groupBy(*CONTRACT_GRAIN).agg(F.count("*").alias("n"))
+    repeated = grain.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failing_rows"))
+    return nulls.select(F.inline(F.array(*listed))).unionByName(
+        repeated.select(F.lit("unique").alias("rule"), F.lit(", ".join(CONTRACT_GRAIN)).alias("field"), "failing_rows")
+    )
+
+
+def enforced(report: DataFrame) -> DataFrame:
+    """The report, written once, unless its shape, its rows or its currencies break the contract, which raises."""
+    report = materialise(check_contract(report), "contract-report")
+    broken = contract_violations(report).filter("failing_rows > 0").first()  # one row per rule
+    if broken is not None:
+        raise ContractBroken(f"contract broken: {broken['rule']} of {broken['field']} fails in {broken['failing_rows']} rows")
+    return publishable(report)
+
+
 class ForeignCurrency(ValueError):
     """A currency outside the contract blocks publication."""
 
@@ -139,6 +165,29 @@ def completeness_index(parts: DataFrame, limit_pct: float = COMPLETENESS_LIMIT_P
     )
 
 
+def invalid_amount_rate(parts: DataFrame, limit_pct: float = COMPLETENESS_LIMIT_PCT) -> DataFrame:
+    """The same share over the whole run, against its limit: one row."""
+    totals = parts.agg(
+        F.coalesce(F.sum("bookings"), F.lit(0)).alias("booking_count"),
+        F.coalesce(F.sum("invalid"), F.lit(0)).alias("excluded_invalid_amount_count"),
+    )
+    rate = ratio_pct("excluded_invalid_amount_count", F.col("booking_count") + F.col("excluded_invalid_amount_count"))
+    return totals.select("*", round2(rate).alias("invalid_pct"), F.coalesce(rate > F.lit(limit_pct), F.lit(False)).alias("alert"))
+
+
+def suspicious_bookings(bookings: DataFrame) -> DataFrame:
+    """The revenue bookings of users with more than one of them on a day, with partner and month, for a separate review.
+
+    Users' days are counted first; the few crowded ones are joined back.
+    """
+    valid = revenue_bookings(bookings).filter((F.col("total_amount") > 0) & F.col("user_id").isNotNull())
+    day = F.col("booked_at").cast("date")
+    crowded = valid.groupBy("user_id", day.alias("booked_date")).agg(F.count("*").alias("bookings_on_day")).filter("bookings_on_day > 1")
+    return valid.withColumn("booked_date", day).join(crowded, ["user_id", "booked_date"]).select(
+        "partner_id", month_start("booked_at").alias("reference_month"), "booking_id", "user_id", "booked_date", "bookings_on_day", "currency", "total_amount"
+    )
+
+
 def suspicious_rate(
     bookings: DataFrame,
     limit_pct: float = SUSPICIOUS_LIMIT_PCT,
@@ -211,7 +260,7 @@ def revenue_in_brl(
     daily = materialise(daily, "daily-amounts")
     found = asof_lookup(daily, rates, "currency", "rate_day", "rate_date", "rate")
     priced = daily.join(found, ["currency", "rate_day"], "left")
-    converted = F.sum(F.col("amount").cast("decimal(20,2)") * F.col("rate").cast("decimal(16,6)"))
+    converted = F.sum(F.col("amount").cast("decimal(20,2)") * F.col("rate").cast("decimal(17,10)"))
     return priced.groupBy("reference_month").agg(
         F.sum("n").alias("booking_count"),
         round2(F.coalesce(converted, F.lit(0)).cast("double")).alias("receita_total_brl"),

@@ -59,11 +59,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's own size estimate of a frame, without running a job; None where the session does not offer it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except (AttributeError, NotImplementedError):
-        return None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -11,22 +12,38 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.session import materialise
+
 _NO_PERIOD = "none"
-_FOLDERS = "array<struct<period: string, load: string, loaded_at: timestamp>>"
-_COMMIT = f"folders {_FOLDERS}, table_schema string, commit int"
+_FOLDERS = "array<struct<period: string, load: string, loaded_at: timestamp, low: string, high: string>>"
+_COMMIT = f"folders {_FOLDERS}, table_schema string, batches map<string, bigint>, commit int"
 
 
 class FactTable:
     """A fact table of unique keys, split by the period (day or month) of its event time.
 
     Data files are written once, under ``data/load=.../period=...``, and never changed. A commit is one row that
-    lists the (period, load) folders the table consists of; readers take the newest commit. A job that dies before
-    its commit leaves the table as it was, and may simply run again. Only periods that lose a superseded row are
-    rewritten; all others are carried over by name. One job at a time may load a table.
+    lists the (period, load) folders the table consists of, with the least and greatest key of each; readers take the
+    newest commit. A job that dies before its commit leaves the table as it was, and may simply run again. Only
+    folders whose key range meets the arriving keys are searched, and only periods that lose a superseded row, or
+    have gathered more than ``most_folders`` folders, are rewritten; all others are carried over by name. One job at
+    a time may load a table: the commit of a second one fails, since its number is taken.
+
+    ``lookback`` (an interval such as ``"3 days"``) lets batch loads also admit rows that arrive late.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, ts: str, grain: str = "day"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        key: str,
+        ts: str,
+        grain: str = "day",
+        lookback: str | None = None,
+        most_folders: int = 8,
+    ):
         self.spark, self.root, self.key, self.ts = spark, root.rstrip("/"), key, ts
+        self.lookback, self.most_folders = lookback, most_folders
         self.label_format = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}[grain]
 
     # -- reading ------------------------------------------------------------------------------------------------
@@ -49,56 +66,100 @@ class FactTable:
     def loads(self) -> DataFrame:
         """The folders of the table with the time each was loaded; the freshness check reads ``loaded_at``."""
         state = self._newest()
-        folders = [] if state is None else [tuple(f) for f in state["folders"]]
+        folders = [] if state is None else [(f["period"], f["load"], f["loaded_at"]) for f in state["folders"]]
         return self.spark.createDataFrame(folders, "period string, load string, loaded_at timestamp")
 
-    def pending(self, staged: DataFrame, lookback: str | None = None) -> DataFrame:
+    def pending(self, staged: DataFrame) -> DataFrame:
         """Rows of ``staged`` that the next load could admit, to be cut before any dedup.
 
-        The latest version of a key lies above the mark exactly if some version does, so deduplicating only these
+        The latest version of a key lies above the floor exactly if some version does, so deduplicating only these
         rows gives the same batch, and the time limit reaches the scan instead of stopping at the dedup window.
         """
         mark = self.high_water_mark()
-        return staged if mark is None else self._admitted(staged, mark, "load", lookback)
+        return staged if mark is None else self._admitted(staged, mark, "load")
 
     # -- loading ------------------------------------------------------------------------------------------------
-    def load(
-        self, source: DataFrame, full_refresh: bool = False, empty_target: str = "block", lookback: str | None = None
-    ) -> DataFrame:
+    def load(self, source: DataFrame, full_refresh: bool = False, empty_target: str = "load") -> DataFrame:
         """Bring ``source`` (unique keys) into the table and return the table.
 
-        The first run and ``full_refresh`` take everything. Later runs take rows strictly after the high-water
-        mark, replace the rows of the same key and keep all others. A table that exists but is empty has no mark
-        and takes nothing, unless ``empty_target="load"``. ``lookback`` (an interval such as ``"3 days"``) also
-        admits rows that arrive late.
+        The first run and ``full_refresh`` take everything. Later runs take rows strictly after the high-water mark,
+        replace the rows of the same key and keep all others. With ``lookback`` the floor lies that much lower, and a
+        row replaces its stored version only if it is not older. A table that exists but is empty has no mark and
+        takes everything; ``empty_target="block"`` makes it take nothing.
         """
         state = self._newest()
-        number = 1 if state is None else state["commit"] + 1
-        run = f"{number:06d}-{uuid.uuid4().hex[:8]}"
         if state is None or full_refresh:
-            return self._commit(number, self._write(source, f"{run}-all"), source.schema)
+            run = self._run(state)
+            return self._commit(state, self._write(source, f"{run}-all"), source.schema)
+        admitted = self._admitted(source, self._mark(state), empty_target)
+        return self._bring(state, admitted, may_be_older=self.lookback is not None)
+
+    def merge(self, source: DataFrame, stream: str, batch: int) -> DataFrame:
+        """Bring all rows of a micro-batch (unique keys) into the table, whatever their times.
+
+        A row replaces its stored version unless that is newer. The commit notes the batch of each stream, so that a
+        replayed batch changes nothing.
+        """
+        state = self._newest()
+        done = {} if state is None else dict(state["batches"] or {})
+        if done.get(stream, -1) >= batch:
+            return self.read()
+        return self._bring(state, source, may_be_older=True, batches={**done, stream: batch})
+
+    def _run(self, state: Row | None) -> str:
+        return f"{1 if state is None else state['commit'] + 1:06d}-{uuid.uuid4().hex[:8]}"
 
-        inserted = self._write(self._admitted(source, self._mark(state), empty_target, lookback), f"{run}-new")
-        if not inserted:
-            return self._rows(state["folders"], _schema(state))
+    def _bring(
+        self, state: Row | None, source: DataFrame, may_be_older: bool, batches: dict[str, int] | None = None
+    ) -> DataFrame:
+        run, folders = self._run(state), [] if state is None else list(state["folders"])
+        if may_be_older and folders:
+            source = self._not_older(materialise(source, "arrivals"), folders)
+        inserted = self._write(source, f"{run}-new")
+        if not inserted and (state is None or batches is None):
+            return self._rows(folders, source.schema if state is None else _schema(state))
         keys = self._rows(inserted, source.schema).select(self.key)
-        touched = self._periods_with(state, keys)
-        losing = [f for f in state["folders"] if f["period"] in touched]
+        touched = self._periods_with(self._meeting(folders, inserted), keys, source.schema)
+        losing = [f for f in folders if f["period"] in touched]
         kept = []
         if losing:
             survivors = self._rows(losing, source.schema).join(keys, self.key, "left_anti")
             kept = self._write(survivors, f"{run}-old")
-        carried = [f for f in state["folders"] if f["period"] not in touched]
-        return self._commit(number, carried + kept + inserted, source.schema)
+        carried = [f for f in folders if f["period"] not in touched]
+        listed = self._compacted(carried + kept + inserted, f"{run}-compact", source.schema)
+        return self._commit(state, listed, source.schema, batches)
 
-    def _admitted(self, source: DataFrame, mark: datetime | None, empty_target: str, lookback: str | None) -> DataFrame:
+    def _admitted(self, source: DataFrame, mark: datetime | None, empty_target: str) -> DataFrame:
         if mark is None:
             return source if empty_target == "load" else source.limit(0)
         floor = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
-        if lookback:
-            floor = floor - F.expr(f"interval {lookback}")
+        if self.lookback:
+            floor = floor - F.expr(f"interval {self.lookback}")
         return source.filter(F.col(self.ts) > floor)
 
+    def _not_older(self, arrivals: DataFrame, folders: list[Row]) -> DataFrame:
+        """The arriving rows whose stored version, if any, is not newer."""
+        ends = arrivals.agg(F.min(F.col(self.key).cast("string")).alias("low"), F.max(F.col(self.key).cast("string")).alias("high"))
+        stored = self._rows(self._meeting(folders, ends.collect()), arrivals.schema)
+        stored = stored.select(F.col(self.key).alias("_key"), F.col(self.ts).alias("_stored_at"))
+        newer = arrivals.select(self.key, self.ts).join(stored, F.col(self.key) == F.col("_key"))
+        newer = newer.filter(F.col("_stored_at") > F.col(self.ts)).select(self.key)
+        return arrivals.join(newer, self.key, "left_anti")
+
+    def _compacted(self, folders: list[Row], load: str, schema: T.StructType) -> list[Row]:
+        """One folder in place of the folders of every period that has too many."""
+        many = {p for p, n in Counter(f["period"] for f in folders).items() if n > self.most_folders}
+        if not many:
+            return folders
+        merged = self._write(self._rows([f for f in folders if f["period"] in many], schema), load)
+        return [f for f in folders if f["period"] not in many] + merged
+
+    @staticmethod
+    def _meeting(folders: list[Row], arriving: list[Row]) -> list[Row]:
+        """The folders whose key range meets that of an arriving one; folders without keys meet none."""
+        ranges = [(a["low"], a["high"]) for a in arriving if a["low"] is not None]
+        return [f for f in folders if f["low"] is not None and any(f["low"] <= high and low <= f["high"] for low, high in ranges)]
+
     def _mark(self, state: Row) -> datetime | None:
         dated = [f for f in state["folders"] if f["period"] != _NO_PERIOD]
         if not dated:
@@ -107,9 +168,11 @@ class FactTable:
         rows = self._rows([f for f in dated if f["period"] == newest], _schema(state))
         return rows.agg(F.max(self.ts)).first()[0]
 
-    def _periods_with(self, state: Row, keys: DataFrame) -> set[str]:
-        """Periods that hold one of ``keys``. Reads the key column only; one row per period comes back."""
-        rows = self._rows(state["folders"], _schema(state), "period").select(self.key, "period")
+    def _periods_with(self, folders: list[Row], keys: DataFrame, schema: T.StructType) -> set[str]:
+        """Periods that hold one of ``keys`` in the given folders. Reads their key column only; periods come back."""
+        if not folders:
+            return set()
+        rows = self._rows(folders, schema, "period").select(self.key, "period")
         return {r["period"] for r in rows.join(keys, self.key, "left_semi").select("period").distinct().collect()}
 
     # -- files --------------------------------------------------------------------------------------------------
@@ -118,9 +181,11 @@ class FactTable:
         path = f"{self.root}/data/load={load}"
         label = F.coalesce(F.date_format(self.ts, self.label_format), F.lit(_NO_PERIOD))
         df.withColumn("period", label).hint("rebalance", "period").write.partitionBy("period").parquet(path)
-        periods = self.spark.read.schema("period string").parquet(path).distinct().collect()
+        written = self.spark.read.schema(T.StructType([df.schema[self.key], T.StructField("period", T.StringType())])).parquet(path)
+        text = F.col(self.key).cast("string")
+        periods = written.groupBy("period").agg(F.min(text).alias("low"), F.max(text).alias("high")).orderBy("period").collect()
         now = datetime.now()
-        return [Row(period=r["period"], load=load, loaded_at=now) for r in sorted(periods)]
+        return [Row(period=r["period"], load=load, loaded_at=now, low=r["low"], high=r["high"]) for r in periods]
 
     def _rows(self, folders: list[Row], schema: T.StructType, *extra: str) -> DataFrame:
         full = T.StructType([*schema, T.StructField("period", T.StringType())])
@@ -131,10 +196,16 @@ class FactTable:
         reader = self.spark.read.schema(full).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*names)
 
-    def _commit(self, number: int, folders: list[Row], schema: T.StructType) -> DataFrame:
-        listed = [(f["period"], f["load"], f["loaded_at"]) for f in folders]
-        row = self.spark.createDataFrame([(listed, schema.json())], f"folders {_FOLDERS}, table_schema string")
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/commit={number}")
+    def _commit(
+        self, state: Row | None, folders: list[Row], schema: T.StructType, batches: dict[str, int] | None = None
+    ) -> DataFrame:
+        number = 1 if state is None else state["commit"] + 1
+        if batches is None and state is not None:
+            batches = state["batches"]
+        listed = [(f["period"], f["load"], f["loaded_at"], f["low"], f["high"]) for f in folders]
+        kinds = f"folders {_FOLDERS}, table_schema string, batches map<string, bigint>"
+        row = self.spark.createDataFrame([(listed, schema.json(), batches)], kinds)
+        row.coalesce(1).write.mode("error").parquet(f"{self.root}/commits/commit={number}")
         return self._rows(folders, schema)
 
     def _newest(self) -> Row | None:

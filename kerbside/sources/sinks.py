@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.constants import EXPORT_ROW_CAP
 from kerbside.schemas import PII_COLUMNS
 
 
-def export_csv(df: DataFrame, path: str, *order: Column, cap: int = EXPORT_ROW_CAP) -> None:
-    """Export a result for readers: at most ``cap`` rows, one CSV file with a header.
+def export_csv(df: DataFrame, path: str, *order: Column, cap: int | None = None) -> None:
+    """Export a result for readers as CSV with a header: all rows, or the first ``cap`` where one is given.
 
-    The result is sorted by ``order``, or keeps the order it has. The cap belongs to the export format. Each task
-    keeps its own top rows, so one file is safe.
+    The result is sorted by ``order``, or keeps the order it has. Every task writes its own file; read in the order
+    of their names, the files are sorted throughout.
     """
     rows = df.orderBy(*order) if order else df
-    rows.limit(cap).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    rows = rows if cap is None else rows.limit(cap)
+    rows.write.mode("overwrite").csv(path, header=True)
 
 
 def export_closed_months(report: DataFrame, path: str) -> None:
-    """Month-close export of the revenue report: every closed month as CSV under its own folder, uncapped."""
+    """Month-close export of the revenue report: every closed month as CSV under its own folder.
+
+    Months of the report replace their folders; those of other months stay.
+    """
     closed = report.filter(~F.col("is_partial_month")).drop("is_partial_month")
-    closed.hint("rebalance", "reference_month").write.mode("overwrite").partitionBy("reference_month").csv(
-        path, header=True
-    )
+    months = closed.hint("rebalance", "reference_month").write.partitionBy("reference_month").mode("overwrite")
+    months.option("partitionOverwriteMode", "dynamic").csv(path, header=True)
 
 
 def pii_columns(df: DataFrame) -> list[str]:
@@ -32,9 +34,13 @@ def pii_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if f.metadata.get("contains_pii", f.name in PII_COLUMNS)]
 
 
-def restricted(df: DataFrame, how: str = "hash") -> DataFrame:
-    """A frame that may leave the platform: marked columns are dropped, or replaced by their SHA-256."""
+def restricted(df: DataFrame, how: str = "hash", key: str | None = None) -> DataFrame:
+    """A frame that may leave the platform: marked columns are dropped, or replaced by their SHA-256.
+
+    ``key`` is hashed along, so that short ids cannot be found by trying; keep it where the frame does not go.
+    """
     marked = pii_columns(df)
     if how == "drop":
         return df.drop(*marked)
-    return df.withColumns({c: F.sha2(F.col(c).cast("string"), 256) for c in marked})
+    salted = lambda c: F.col(c).cast("string") if key is None else F.concat(F.lit(key), F.col(c).cast("string"))
+    return df.withColumns({c: F.sha2(salted(c), 256) for c in marked})

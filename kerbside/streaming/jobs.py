@@ -66,11 +66,13 @@ def stream_into_fact(
     """Feed a stream of staged rows into a fact table, one load per micro-batch.
 
     ``prepare`` turns a micro-batch into valid rows with unique keys, with the same functions the batch job uses.
-    A replayed micro-batch finds its rows at or below the high-water mark and changes nothing.
+    All rows of a micro-batch take part, in whatever order files arrive and however many make a batch: the newest
+    version of a key stays. The fact table notes the batch of the stream, which its checkpoint names, so that a
+    replayed micro-batch changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fact.load(prepare(batch))
+        fact.merge(prepare(batch), checkpoint, batch_id)
 
     return (
         arrivals.writeStream.option("checkpointLocation", checkpoint)

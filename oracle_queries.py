@@ -430,17 +430,19 @@ RATES_TABLE = """fx AS (
   SELECT CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'BRL' WHEN '2' THEN 'USD' WHEN '3' THEN 'ARS' WHEN '4' THEN 'CLP' ELSE 'COP' END AS currency,
     CAST(o_orderdate AS DATE) AS rate_date, count(*) AS n FROM orders WHERE extract(day FROM o_orderdate) % 3 = 1 GROUP BY 1, 2),
 rates AS (
-  SELECT currency, rate_date, CAST(CASE WHEN currency = 'BRL' THEN 1 ELSE (n % 50 + 1) / 20e0 END AS DECIMAL(16,6)) AS rate FROM fx)"""
+  SELECT currency, rate_date, CASE WHEN currency = 'BRL' THEN 1 ELSE (n % 50 + 1) / 20e0 END AS rate FROM fx)"""
+FINE_RATES = RATES_TABLE.replace("END AS rate FROM fx)", "END AS coarse FROM fx)").replace("rates AS", "coarse_rates AS") + """,
+rates AS (SELECT currency, rate_date, round(coarse / 97, 10) AS rate FROM coarse_rates)"""
 
 
-def _fx(day: str) -> str:
+def _fx(day: str, rates: str = RATES_TABLE) -> str:
     return _on(
         """SELECT reference_month, CAST(sum(n) AS BIGINT) AS booking_count,
-  round(CAST(coalesce(sum(CAST(amount AS DECIMAL(20,2)) * rate), 0) AS DOUBLE), 2) AS receita_total_brl,
+  round(coalesce(sum(amount * rate), 0), 2) AS receita_total_brl,
   CAST(coalesce(sum(n) FILTER (WHERE rate IS NULL), 0) AS BIGINT) AS unconverted_bookings
 FROM (SELECT d.*, r.rate FROM daily d ASOF LEFT JOIN rates r ON d.currency = r.currency AND d.rate_day >= r.rate_date)
 GROUP BY reference_month""",
-        RATES_TABLE,
+        rates,
         f"""daily AS (
   SELECT currency, {day} AS rate_day, CAST(date_trunc('month', booked_at) AS DATE) AS reference_month,
     sum(CAST(total_amount AS DECIMAL(18,2))) AS amount, count(*) AS n FROM standing GROUP BY 1, 2, 3)""",
@@ -507,21 +509,22 @@ JOIN dim_partners USING (partner_id) ORDER BY quantidade_reservas DESC, total_br
     "click_without_result": _on(CLICKS),
     "long_sessions": _on(LONG),
     "amount_outliers_iqr": _on(IQR, IQR_BASE),
-    "refund_over_total": _on(REFUNDS),
+    "refund_over_total": _on(
+        """SELECT c.cancellation_id, c.booking_id, c.refund_amount, b.total_amount
+FROM stg_cancellations c JOIN stg_bookings b ON c.booking_id = b.booking_id WHERE c.refund_amount > b.total_amount"""
+    ),
+    "refund_over_total_counted": _on(REFUNDS),
     "same_user_day": _on(USER_DAYS),
     **{f"dq_{kind}": _on("\nUNION ALL ".join(checks)) for kind, checks in DQ.items()},
     "dq_suite": _on(SUITE_SQL, IQR_BASE),
     "dq_extended": _on(EXTENDED_SQL),
     "dq_thresholds": _on(ALERTS, IQR_BASE),
     "dq_null_rates": _on(NULL_RATES),
-    "dq_freshness": _on(
-        """SELECT max(booked_at) AS last_loaded_at, max(booked_at) + INTERVAL 5 HOUR AS as_of, 5e0 AS age_hours, true AS fresh
-FROM fct_bookings"""
-    ),
+    "dq_freshness": "SELECT 3e0 * (n_nationkey + 1) AS age_hours, 3 * (n_nationkey + 1) <= 24 AS fresh FROM nation",
     "dq_trust_gate": _on(
-        f"""SELECT true AS fresh, failed_errors, breached_limits, failed_errors = 0 AND breached_limits = 0 AS trusted
+        f"""SELECT hours <= 24 AS fresh, failed_errors, breached_limits, hours <= 24 AND failed_errors = 0 AND breached_limits = 0 AS trusted
 FROM (SELECT (SELECT count(*) FROM ({SUITE_SQL}) WHERE status = 'error') AS failed_errors,
-  (SELECT count(*) FROM ({ALERTS}) WHERE breached) AS breached_limits)""",
+  (SELECT count(*) FROM ({ALERTS}) WHERE breached) AS breached_limits), (VALUES (0), (30)) AS v(hours)""",
         IQR_BASE,
     ),
     "profile_duplicates": _on(
@@ -545,6 +548,26 @@ FROM (SELECT (SELECT count(*) FROM ({SUITE_SQL}) WHERE status = 'error') AS fail
 FROM partner_month WHERE booking_count + invalid > 0""",
         PARTS,
     ),
+    "invalid_amount_run": _on(
+        """SELECT booking_count, invalid AS excluded_invalid_amount_count,
+  round(100e0 * invalid / nullif(booking_count + invalid, 0), 2) AS invalid_pct,
+  coalesce(100e0 * invalid / nullif(booking_count + invalid, 0) > 2, false) AS alert
+FROM (SELECT CAST(coalesce(sum(booking_count), 0) AS BIGINT) AS booking_count, CAST(coalesce(sum(invalid), 0) AS BIGINT) AS invalid FROM partner_month)""",
+        PARTS,
+    ),
+    "rpt_contract_violations": _on(
+        """SELECT 'not_null' AS rule, field, CASE WHEN field = 'partner_name' THEN (SELECT count(*) FROM revenue WHERE currency = 'USD') ELSE 0 END AS failing_rows
+FROM (VALUES ('partner_id'), ('partner_name'), ('reference_month'), ('currency'), ('revenue_amount'), ('booking_count'),
+  ('excluded_invalid_amount_count'), ('flagged_suspicious_booking_count'), ('is_partial_month')) AS v(field)
+UNION ALL SELECT 'unique', 'partner_id, reference_month, currency', (SELECT 2 * count(*) FROM revenue WHERE currency = 'BRL')""",
+        PARTS,
+    ),
+    "suspicious_bookings": _on(
+        """SELECT partner_id, CAST(date_trunc('month', booked_at) AS DATE) AS reference_month, booking_id, user_id,
+  CAST(booked_at AS DATE) AS booked_date, bookings_on_day, currency, total_amount
+FROM (SELECT *, count(*) OVER (PARTITION BY user_id, CAST(booked_at AS DATE)) AS bookings_on_day FROM fct_bookings
+  WHERE status IN ('confirmed', 'completed') AND total_amount > 0 AND user_id IS NOT NULL) WHERE bookings_on_day > 1"""
+    ),
     "suspicious_rate": _on(
         """SELECT flagged_bookings, users_with_booking, round(100e0 * flagged_bookings / nullif(users_with_booking, 0), 2) AS suspicious_pct,
   coalesce(100e0 * flagged_bookings / nullif(users_with_booking, 0) > 0.5, false) AS alert
@@ -563,6 +586,33 @@ FROM (SELECT partner_id, CAST(date_trunc('month', booked_at) AS DATE) AS referen
     ),
     "fx_revenue_asof": _fx("CAST(booked_at AS DATE)"),
     "fx_revenue_month_close": _fx("last_day(CAST(booked_at AS DATE))"),
+    "fx_fine_rates": _fx("CAST(booked_at AS DATE)", FINE_RATES),
+    "asof_event_times": """SELECT event_id, v AS latest FROM (
+  SELECT event_id, user_id % 50 AS k, ts - INTERVAL 500 MILLISECOND AS t FROM events) p
+ASOF LEFT JOIN (SELECT user_id % 50 AS k, ts AS at, max(value) AS v FROM (
+  SELECT user_id, ts, value FROM events WHERE event_type = 'error'
+  UNION ALL SELECT user_id, ts, value / 2 FROM events WHERE event_type = 'error') GROUP BY 1, 2) f ON p.k = f.k AND p.t >= f.at""",
+    "stream_fct_unordered": _on("SELECT * FROM int_bookings"),
+    "fct_lookback_late": _on(
+        """SELECT * EXCLUDE (late) REPLACE (CASE WHEN late THEN booked_at - INTERVAL 1 DAY ELSE booked_at END AS booked_at,
+    CASE WHEN late THEN 'late' ELSE status END AS status)
+FROM (SELECT *, CAST(substr(booking_id, 4) AS BIGINT) % 10 = 3 AS late FROM int_bookings)"""
+    ),
+    "csv_round_trip": _on("SELECT * FROM stg_bookings"),
+    "parquet_marts_read": _on("SELECT booking_id, partner_name, total_amount FROM fct_bookings JOIN dim_partners USING (partner_id)"),
+    "csv_export_uncapped": _on("SELECT booking_id, currency, status FROM fct_bookings"),
+    "month_close_export": _on(
+        "SELECT partner_id, currency, booking_count, reference_month FROM revenue WHERE NOT is_partial_month", PARTS
+    ),
+    "event_outliers_null_group": """SELECT event_id, e.event_type, value, round(upper_limit, 6) AS upper_limit
+FROM (SELECT event_id, nullif(event_type, 'view') AS event_type, value FROM events) e JOIN (
+  SELECT event_type, q3 + 1.5 * (q3 - q1) AS upper_limit FROM (
+    SELECT nullif(event_type, 'view') AS event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)) q
+ON e.event_type IS NOT DISTINCT FROM q.event_type WHERE value > upper_limit""",
+    "quantiles_infinite": """SELECT l_returnflag, round(quantile_cont(p, 0.5), 6) AS q_0, round(quantile_cont(p, 0.9), 6) AS q_1,
+  round(quantile_cont(p, 1.0), 6) AS q_2
+FROM (SELECT l_returnflag, CASE WHEN l_quantity > 48 THEN CAST('inf' AS DOUBLE) ELSE l_extendedprice END AS p FROM lineitem) GROUP BY 1""",
+    "pii_keyed_export": _on("SELECT * REPLACE (sha256('registered' || user_id) AS user_id) FROM fct_bookings"),
     "asof_booking_rate": _on(
         """SELECT b.booking_id, b.currency, CAST(b.booked_at AS DATE) AS booked_date, CAST(r.rate AS DOUBLE) AS rate
 FROM fct_bookings b ASOF LEFT JOIN rates r ON b.currency = r.currency AND CAST(b.booked_at AS DATE) >= r.rate_date""",

@@ -42,16 +42,72 @@ def test_an_update_below_the_mark_is_not_applied_and_absent_rows_stay(spark, fac
     assert content(fact.load(rows(spark, ("a", 2, 9)))) == [("a", 1), ("b", 1)]
 
 
-def test_lookback_admits_late_rows(spark, fact):
+def test_lookback_admits_late_rows(spark, tmp_path):
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", lookback="3 days")
     fact.load(rows(spark, ("a", 1, 1), ("b", 10, 1)))
-    assert content(fact.load(rows(spark, ("late", 8, 2), ("too late", 6, 2)), lookback="3 days")) == [("a", 1), ("b", 1), ("late", 2)]
+    staged = rows(spark, ("late", 8, 2), ("too late", 6, 2))
+    assert content(fact.load(fact.pending(staged))) == [("a", 1), ("b", 1), ("late", 2)]
 
 
-def test_an_empty_table_takes_nothing_unless_told(spark, fact):
+def test_lookback_keeps_the_newer_version(spark, tmp_path):
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", lookback="30 days")
+    fact.load(rows(spark, ("a", 10, 1), ("b", 5, 1)))
+    assert content(fact.load(rows(spark, ("a", 9, 2), ("b", 5, 3)))) == [("a", 1), ("b", 3)]
+
+
+def test_an_empty_table_takes_everything_unless_told(spark, fact):
     fact.load(rows(spark, ("a", 1, 1)).limit(0))
     assert fact.exists() and fact.high_water_mark() is None
-    assert fact.load(rows(spark, ("a", 1, 1))).count() == 0
-    assert content(fact.load(rows(spark, ("a", 1, 1)), empty_target="load")) == [("a", 1)]
+    assert fact.load(rows(spark, ("a", 1, 1)), empty_target="block").count() == 0
+    assert content(fact.load(rows(spark, ("a", 1, 1)))) == [("a", 1)]
+
+
+def test_a_taken_commit_number_fails(spark, fact):
+    fact.load(rows(spark, ("a", 1, 1)))
+    state = fact._newest()
+    fact.load(rows(spark, ("b", 2, 1)))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        fact._commit(state, state["folders"], rows(spark).schema)
+    assert content(fact.read()) == [("a", 1), ("b", 1)]
+
+
+def test_only_folders_whose_keys_meet_the_arrivals_are_searched(spark, tmp_path, monkeypatch):
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "day")
+    for n in range(5):
+        fact.load(rows(spark, (f"k{n}0", n + 1, 1), (f"k{n}9", n + 1, 1)))
+    searched = []
+    find = FactTable._periods_with
+    monkeypatch.setattr(FactTable, "_periods_with", lambda self, folders, *rest: searched.extend(folders) or find(self, folders, *rest))
+    fact.load(rows(spark, ("k35", 20, 2), ("k30", 21, 2)))
+    assert [f["period"] for f in searched] == ["2024-01-05"]
+    assert fact.read().filter("id = 'k30'").first()["v"] == 2
+
+
+def test_folders_of_a_period_are_compacted(spark, tmp_path):
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "month", most_folders=3)
+    for n in range(8):
+        fact.load(rows(spark, (f"k{n}", n + 1, n)))
+    assert fact.loads().count() <= 3
+    assert content(fact.read()) == [(f"k{n}", n) for n in range(8)]
+
+
+@pytest.mark.parametrize("per_batch", [1, 2])
+def test_stream_takes_files_out_of_time_order(spark, tmp_path, per_batch):
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "month")
+    for number, data in enumerate([[("a", 9, 2), ("b", 8, 1)], [("a", 1, 1), ("c", 2, 1)], [("c", 3, 2)]]):
+        rows(spark, *data).coalesce(1).write.parquet(str(tmp_path / "in" / f"slice={number}"))
+    arrivals = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", per_batch).parquet(str(tmp_path / "in" / "slice=*"))
+    stream_into_fact(arrivals, fact, lambda batch: latest_per_key(batch, "id", "ts"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert content(fact.read()) == [("a", 2), ("b", 1), ("c", 2)]
+
+
+def test_a_replayed_batch_changes_nothing(spark, fact):
+    fact.merge(rows(spark, ("a", 5, 1)), "s", 0)
+    fact.merge(rows(spark, ("a", 5, 2)), "s", 1)
+    before = fact._newest()["commit"]
+    assert content(fact.merge(rows(spark, ("a", 5, 1)), "s", 0)) == [("a", 2)]
+    assert fact._newest()["commit"] == before
+    assert content(fact.merge(rows(spark, ("a", 5, 7)), "other", 0)) == [("a", 7)]
 
 
 def test_full_refresh_replaces_everything(spark, fact):
@@ -99,7 +155,7 @@ def test_stream_resumes_and_equals_batch(spark, tmp_path):
         rows(spark, *data).write.parquet(str(tmp_path / "in" / f"slice={number}"))
         arrivals = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in" / "slice=*"))
         stream_into_fact(arrivals, fact, lambda batch: batch, str(tmp_path / "checkpoint")).awaitTermination()
-    assert content(fact.read()) == [("a", 2), ("b", 1), ("c", 1)]
+    assert content(fact.read()) == [("a", 2), ("b", 1), ("c", 1), ("late", 1)]
 
 
 def test_stream_counts_equal_batch_counts_over_several_micro_batches(spark, tmp_path):

@@ -18,7 +18,6 @@ from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
 from kerbside.operators.sigma import with_sigma_limits
 
 NOW = datetime(2024, 1, 1)
-FORCE_SPLIT = {"min_rows": 10, "min_bytes": 0}
 
 
 def plan(df):
@@ -60,9 +59,9 @@ def skewed(spark):
 
 
 def test_hot_key_is_found_and_split(spark, skewed):
-    assert hot_keys(skewed, "k", 0.1, 10) == ["hot"]
+    assert hot_keys(skewed, "k", 0.1) == ["hot"]
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, w int")
-    joined = skew_safe_join(skewed, right.hint("merge"), "k", "inner", spread=8, share=0.1, **FORCE_SPLIT)
+    joined = skew_safe_join(skewed, right.hint("merge"), "k", "inner", spread=8, share=0.1)
     want = skewed.join(right, "k")
     assert rows(joined.select("k", "v", "w")) == rows(want.select("k", "v", "w"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -73,22 +72,28 @@ def test_hot_key_is_found_and_split(spark, skewed):
     assert spread > 1
 
 
-@pytest.mark.parametrize("split", [{}, FORCE_SPLIT])
-def test_existing_only_matches_a_set_lookup(spark, skewed, split):
+def test_existing_only_matches_a_set_lookup(spark, skewed):
     other = spark.createDataFrame([("hot",), ("k4",), ("k4",), (None,)], "k string")
     want = [tuple(r) for r in skewed.collect() if r["k"] in ("hot", "k4")]
-    assert rows(existing_only(skewed, other, "k", **split)) == sorted(want)
-    assert rows(existing_in_dimension(skewed, other, "k", **split)) == sorted(want)
-    assert rows(existing_in_dimension(skewed, other, "k", broadcast_rows=1, **split)) == sorted(want)
+    assert rows(existing_only(skewed, other, "k")) == sorted(want)
+    assert rows(existing_in_dimension(skewed, other, "k")) == sorted(want)
 
 
-def test_a_dimension_above_the_bound_is_not_hinted(spark, skewed):
+def test_a_small_compressible_hot_input_is_split(spark, tmp_path):
+    """A column of one repeated value is a few hundred bytes on disk, whatever its rows."""
+    path = f"file://{tmp_path}/hot"
+    spark.range(200_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000 + 1).alias("k")).write.parquet(path)
+    hot = spark.read.parquet(path)
+    assert "_part" in plan(skew_safe_join(hot, spark.createDataFrame([(0, "x")], "k long, w string").hint("merge"), "k", "inner"))
+
+
+def test_spark_decides_on_the_size_of_a_dimension(spark, skewed):
     other = spark.createDataFrame([("hot",), ("k4",)], "k string")
+    assert "BroadcastHashJoin" in plan(existing_in_dimension(skewed, other, "k"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert "BroadcastHashJoin" in plan(existing_in_dimension(skewed, other, "k"))
-        assert "BroadcastHashJoin" not in plan(existing_in_dimension(skewed, other, "k", broadcast_rows=1))
+        assert "BroadcastHashJoin" not in plan(existing_in_dimension(skewed, other, "k"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -184,3 +189,22 @@ def test_asof_takes_the_latest_value_at_or_before(spark):
         known = [(t, v) for c, t, v in rates if c == k and t <= d]
         assert got[k, d] == (max(known)[1] if known else None)
     assert asof_join(left, facts, "c", "day", "d", "r").count() == len(asked)
+
+
+def test_asof_compares_exact_times_and_takes_the_greatest_of_tied_facts(spark):
+    at = lambda seconds: NOW + timedelta(seconds=seconds)
+    points = spark.createDataFrame([("a", at(10.1)), ("a", at(10.9)), ("a", at(-1)), (None, at(11))], "k string, t timestamp_ntz")
+    facts = [("a", at(0), 1.0), ("a", at(10.9), 7.0), ("a", at(10.9), 9.0), ("a", at(10.5), 3.0), (None, at(5), 4.0)]
+    for seed in range(3):
+        shuffled = spark.createDataFrame(random.Random(seed).sample(facts, len(facts)), "k string, f timestamp_ntz, v double")
+        got = asof_join(points, shuffled, "k", "t", "f", "v")
+        assert {r["t"]: r["v"] for r in got.filter("k is not null").collect()} == {at(10.1): 1.0, at(10.9): 9.0, at(-1): None}
+
+
+def test_quantiles_of_infinite_values_and_of_the_null_group(spark):
+    inf = float("inf")
+    data = [(None, 1.0), (None, 2.0), (None, 3.0), (None, 100.0), ("a", 1.0), ("a", 2.0), ("a", inf), ("b", inf)]
+    df = spark.createDataFrame(data, "g string, x double")
+    got = {r["g"]: (r["q_0"], r["q_1"]) for r in exact_quantiles(df, "g", "x", (0.5, 1.0)).collect()}
+    assert got == {None: (2.5, 100.0), "a": (2.0, inf), "b": (inf, inf)}
+    assert [tuple(r)[:2] for r in iqr_upper_outliers(df.filter("g is null"), "g", "x", 1.5, "m").collect()] == [(None, 100.0)]
