@@ -361,3 +361,37 @@ def test_sql_functions(spark):
         FROM (SELECT TIMESTAMP_NTZ '2024-01-04 10:07:30' AS t)"""
     ).first()
     assert tuple(map(str, row)) == ("2024-01", "2024-01-04 10:05:00", "2024-01-01 00:00:00", "1", "1.0")
+
+
+def test_strftime_keeps_literals_and_rejects_unknown_directives(spark):
+    from kerbside.functions.sql import register_functions
+
+    register_functions(spark)
+    made = spark.sql("SELECT strftime(TIMESTAMP_NTZ '2024-01-04 10:07:30', 'day %d of %Y, 100%%') AS t").first()["t"]
+    assert made == "day 04 of 2024, 100%"
+    with pytest.raises(Exception, match="unknown directive"):
+        spark.sql("SELECT strftime(TIMESTAMP_NTZ '2024-01-04 10:07:30', '%j') AS t").collect()
+
+
+def test_a_report_with_nulls_or_a_repeated_grain_is_not_published(spark):
+    m = models(spark, bookings=[dict(booking_id="1"), dict(booking_id="2")], cancellations=[dict(booking_id="none")])
+    made = report.revenue_by_partner(report.monthly_parts(m["active_bookings"], m["int_cancellations"]), m["dim_partners"])
+    assert report.enforced(made).count() == made.count() > 0
+    with pytest.raises(report.ContractBroken, match="unique"):
+        report.enforced(made.unionByName(made))
+    with pytest.raises(report.ContractBroken, match="partner_name"):
+        report.enforced(made.withColumn("partner_name", F.lit(None).cast("string")))
+
+
+def test_month_close_keeps_other_months(spark, tmp_path):
+    bookings = [dict(booking_id=str(i), booked_at=f"2024-0{i}-01 00:00:00") for i in (1, 2, 3)]
+    made = report_of(models(spark, bookings=bookings, cancellations=[dict(booking_id="none")]))[1]
+    export_closed_months(made, str(tmp_path / "close"))
+    export_closed_months(made.filter("reference_month = DATE'2024-01-01'"), str(tmp_path / "close"))
+    assert sorted(p.name for p in (tmp_path / "close").glob("reference_month=*")) == ["reference_month=2024-01-01", "reference_month=2024-02-01"]
+
+
+def test_keyed_masks_differ_from_plain_ones(spark):
+    m = models(spark)
+    plain, keyed = (restricted(m["fct_sessions"], key=k).first()["user_id"] for k in (None, "secret"))
+    assert plain != keyed and len(keyed) == 64
