@@ -137,58 +137,36 @@ def _labels(check: Check) -> str:
     return ", ".join(f"'{name}', {_text(value)}" for name, value in named.items())
 
 
-def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row-level checks of one table in one aggregation, unpivoted to one row per check."""
-    counts, rows = [], []
-    for i, check in enumerate(checks):
-        counts.append(F.expr(f"count_if({_judged(check)} AND {_fails(check)})").alias(f"f{i}"))
-        counts.append(F.expr(f"count_if({_judged(check)})").alias(f"p{i}"))
-        measured = f"'failing_rows', f{i}, 'failing_values', CAST(NULL AS BIGINT), 'population', p{i}"
-        rows.append(f"named_struct({_labels(check)}, {measured})")
-    return df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
-
-
-def _key_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """All unique, accepted_values and relationships checks in one pass per table and one shuffle for all of them.
-
-    Every row contributes one (check, value) pair per check of its table, and a parent table marks its values as
-    known. Pairs are counted before the shuffle, so a dominant value is one row per task.
+def _counted_values(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """(id, value, n, known): how often each value that a check judges occurs, in one pass per table and one shuffle.
+
+    Every row contributes one (check, value) pair per check of its table; the value of a row-level check is whether the
+    row fails it. A parent table of a relationship marks its values as known in the same pass. Pairs are counted before
+    the shuffle, so a dominant value, and each row-level check, is a row or two per task.
     """
     pairs = []
-    for model in dict.fromkeys(c.model for c in checks):
-        own = [
-            f"named_struct('id', {i}, 'value', CAST(`{c.column}` AS STRING), "
-            f"'rows', CAST({_judged(c)} AS BIGINT), 'parent', false)"
-            for i, c in enumerate(checks)
-            if c.model == model
-        ]
-        pairs.append(models[model].selectExpr(f"inline(array({', '.join(own)}))").filter("rows > 0"))
-    for i, c in enumerate(checks):
-        if c.kind == "relationships":
-            value = f"CAST(`{c.parent_column}` AS STRING) AS value"
-            pairs.append(models[c.parent].selectExpr(f"{i} AS id", value, "0L AS rows", "true AS parent"))
-    counts = (
+    tables = [*(c.model for c in checks), *(c.parent for c in checks if c.kind == "relationships")]
+    for model in dict.fromkeys(tables):
+        own = []
+        for i, c in enumerate(checks):
+            if c.model == model:
+                value = f"CAST({_fails(c)} AS STRING)" if c.kind in _ROW_KINDS else f"CAST(`{c.column}` AS STRING)"
+                own.append(f"named_struct('id', {i}, 'value', {value}, 'rows', CAST({_judged(c)} AS BIGINT), 'parent', false)")
+            if c.kind == "relationships" and c.parent == model:
+                value = f"CAST(`{c.parent_column}` AS STRING)"
+                own.append(f"named_struct('id', {i}, 'value', {value}, 'rows', 0L, 'parent', true)")
+        pairs.append(models[model].selectExpr(f"inline(array({', '.join(own)}))").filter("rows > 0 OR parent"))
+    return (
         reduce(DataFrame.unionByName, pairs)
         .groupBy("id", "value")
         .agg(F.sum("rows").alias("n"), F.max("parent").alias("known"))
     )
-    rules = " ".join(f"WHEN id = {i} THEN {_breaks(c)}" for i, c in enumerate(checks))
-    bad = F.expr(f"value IS NOT NULL AND n > 0 AND CASE {rules} END")
-    found = counts.groupBy("id").agg(
-        F.sum(F.when(bad, F.col("n"))).alias("failing_rows"),
-        F.count_if(bad).alias("failing_values"),
-        F.sum("n").alias("population"),
-    )
-    # One row per check, so that the check of an empty table is reported too; ``found`` has no more rows than that.
-    labels = ", ".join(f"named_struct('id', {i}, {_labels(c)})" for i, c in enumerate(checks))
-    listed = counts.sparkSession.range(1).selectExpr(f"inline(array({labels}))")
-    measured = [f"coalesce({c}, 0L) AS {c}" for c in _RESULT[4:]]
-    named = [f"`{c}`" for c in _RESULT[:4]]
-    return listed.join(F.broadcast(found), "id", "left").selectExpr(*named, *measured)
 
 
 def _breaks(check: Check) -> str:
-    """SQL condition of a counted value that breaks a key-level check."""
+    """SQL condition of a counted value that breaks a check."""
+    if check.kind in _ROW_KINDS:
+        return "value = 'true'"
     if check.kind == "unique":
         return "n > 1"
     if check.kind == "accepted_values":
@@ -210,17 +188,25 @@ def _judge(results: DataFrame) -> DataFrame:
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = SUITE) -> DataFrame:
-    """One row per check. Each table is read once for all its row-level checks and once for all key-level ones."""
+    """One row per check. Each table is read once for all its checks, and all checks share one shuffle."""
     checks = tuple(checks)
-    parts = []
-    for model in dict.fromkeys(c.model for c in checks):
-        row_level = [c for c in checks if c.model == model and c.kind in _ROW_KINDS]
-        if row_level:
-            parts.append(_row_checks(models[model], row_level))
-    by_key = [c for c in checks if c.kind not in _ROW_KINDS]
-    if by_key:
-        parts.append(_key_checks(models, by_key))
-    return _judge(reduce(DataFrame.unionByName, parts))
+    counts = _counted_values(models, checks)
+    rules = " ".join(f"WHEN id = {i} THEN {_breaks(c)}" for i, c in enumerate(checks))
+    bad = F.expr(f"value IS NOT NULL AND n > 0 AND CASE {rules} END")
+    found = counts.groupBy("id").agg(
+        F.sum(F.when(bad, F.col("n"))).alias("failing_rows"),
+        F.count_if(bad).alias("failing_values"),
+        F.sum("n").alias("population"),
+    )
+    # One row per check, so that the check of an empty table is reported too; ``found`` has no more rows than that.
+    labels = ", ".join(
+        f"named_struct('id', {i}, 'by_row', {str(c.kind in _ROW_KINDS).lower()}, {_labels(c)})" for i, c in enumerate(checks)
+    )
+    listed = counts.sparkSession.range(1).selectExpr(f"inline(array({labels}))")
+    measured = [f"coalesce({c}, 0L) AS {c}" for c in _RESULT[4:] if c != "failing_values"]
+    measured.append("if(by_row, NULL, coalesce(failing_values, 0L)) AS failing_values")
+    named = [f"`{c}`" for c in _RESULT[:4]]
+    return _judge(listed.join(F.broadcast(found), "id", "left").selectExpr(*named, *measured))
 
 
 def _counted(violations: DataFrame, model: str, name: str, column: str, population: DataFrame, rows: Column | None = None) -> DataFrame:
