@@ -244,5 +244,9 @@ def one_of_each_group(df: DataFrame, size: int = 5, percent: int = 80, id_col: s
     groups = ngram_groups(df, size, percent, id_col, text_col)
     named = materialise(groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_named")).distinct(), "groups-named")
     kept = df.join(named, df[id_col] == named["_named"], "left_semi")
-    first = kept.withColumn("_nth", F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).filter("_nth = 1").drop("_nth")
+    nth = "_nth"
+    while nth in df.columns:
+        nth += "_"
+    order = Window.partitionBy(id_col).orderBy(text_col, *[c for c in df.columns if c not in (id_col, text_col)])
+    first = kept.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).drop(nth)
     return first.unionByName(df.filter(F.col(id_col).isNull()))

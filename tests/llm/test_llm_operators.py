@@ -25,7 +25,7 @@ from kerbside.llm.tokens import TextEncoder
 
 BYTE_BPE, WORD_BPE = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 # Names that operators use inside; an input may have columns of these names.
-CLASHING = ("row_key", "words", "n", "node", "shingle", "start", "spans", "row", "score", "label", "part", "windows", "_key", "_new_names")
+CLASHING = ("row_key", "words", "n", "node", "shingle", "start", "spans", "row", "score", "label", "part", "windows", "_key", "_new_names", "_nth")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in CLASHING)
 
 
