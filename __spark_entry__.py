@@ -36,7 +36,7 @@ try:  # the operators for training data are a subpackage of their own, which may
     from kerbside.llm.queries import ORACLES as LLM_ORACLES
     from kerbside.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "kerbside.llm", "kerbside.llm.queries"):
+    if error.name != "corpus_pipeline" and not error.name.startswith("kerbside.llm"):
         raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 else:
