@@ -37,7 +37,8 @@ from kerbside.session import materialise
 SKETCH = 1 << 20
 LIGHT = 100  # sets of a shingle whose pairs are listed; more are compared in blocks
 BLOCK = 256  # sets of a block, and partners that one group of checks holds
-MOST_MATCHES = 4
+MOST_MATCHES = 8
+CHANCE = 0.25  # sets that share a shingle by chance, beyond what the sketch can tell
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -58,7 +59,7 @@ def prefix(shingles: np.ndarray, counts: np.ndarray, background: float, percent:
     best, best_cost = 1, np.inf
     for matches in range(1, min(MOST_MATCHES, least) + 1):
         length = n - least + matches
-        postings = float(others[:length].sum())
+        postings = float(others[:length].sum()) + CHANCE * length
         # Pairs that share l postings are at most a l-th of all; checking a pair reads both sets.
         cost = length + postings + (n / 16) * postings / matches
         if cost < best_cost:
@@ -140,7 +141,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                 if a == b:
                     head, own = a, shingles
                     continue
-                assert head == a, "the head of a group comes first"
+                if head != a:  # its text was ruled out
+                    continue
                 common = len(np.intersect1d(own, shingles, assume_unique=True))
                 if 100 * common >= percent * (len(own) + len(shingles) - common):
                     links.append((a, b))
@@ -192,13 +194,24 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     background = float(np.median(counts)) + 3 * float(np.sqrt(np.median(counts)))
     nodes = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"))
 
-    postings = _prefixes(docs, size, percent, counts, background).distinct()
-    postings = materialise(postings, "prefixes")
-    shared = postings.groupBy("shingle").agg(F.count("*").alias("sets"), F.min(F.struct("node", "n")).alias("head")).filter("sets > 1")
-    postings = materialise(postings.join(shared, "shingle"), "postings")
+    # One shuffle by shingle serves the removal of copies and the counts.
+    postings = _prefixes(docs, size, percent, counts, background).repartition("shingle").dropDuplicates(["shingle", "node"])
+    of_shingle = Window.partitionBy("shingle")
+    postings = postings.select(
+        "*",
+        F.count("*").over(of_shingle).alias("sets"),
+        F.min("node").over(of_shingle).alias("head"),
+        F.min("matches").over(of_shingle).alias("fewest"),
+    )
+    postings = materialise(postings.filter("sets > 1"), "postings")
+    # A link needs as many shared shingles as the lesser of two sets asks for, and each of them knows the least that any
+    # of its sets asks for: a set with fewer shared shingles than that has no link.
+    able = postings.groupBy("node").agg(F.count("*").alias("shared"), F.min("fewest").alias("least")).filter("shared >= least")
+    able = materialise(able.select("node"), "able-nodes")
+    postings = materialise(postings.drop("fewest").join(able, "node", "left_semi"), "able-postings")
 
     # One text for each node with a shared shingle. Ids may repeat, so the node is computed again and compared.
-    wanted = postings.select("node").distinct().join(nodes, "node")
+    wanted = able.join(nodes, "node")
     wanted_texts = docs.join(wanted, F.col("doc_id") == F.col("least_id")).select("node", "text")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,12 +220,13 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
             same = [_node(shingle_set(hashes, size)) == n for n, hashes in zip(batch.column("node").to_pylist(), texts, strict=True)]
             yield batch.filter(pa.array(same, pa.bool_()))
 
-    texts = wanted_texts.mapInArrow(own, "node bigint, text string").dropDuplicates(["node"])
-    texts = materialise(texts, "shared-texts")
+    # Rows equal in id and set give their text twice; that only repeats checks.
+    texts = materialise(wanted_texts.mapInArrow(own, "node bigint, text string"), "able-texts")
 
-    first = postings.filter((F.col("node") != F.col("head.node")) & _lengths_fit("n", "head.n", percent))
-    first = first.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_verified(first, texts, size, percent), "links")
+    first = postings.filter("node != head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(
+        F.count("*").alias("shared"), F.min("matches").alias("matches")
+    )
+    links = materialise(_verified(first.filter("shared >= matches").select("a", "b"), texts, size, percent), "links")
     found = materialise(components(links), "components")
 
     placed = postings.join(found, "node", "left").select("shingle", "node", "n", "matches", "sets", F.coalesce("component", "node").alias("component"))
