@@ -162,9 +162,9 @@ def _add_chunks(frame: pd.DataFrame) -> pd.DataFrame:
 def summed_vector(rows: DataFrame, size: int) -> np.ndarray:
     """The sum of the vectors in ``rows`` (chunk, payload); ``size`` is fixed, so is what the driver receives.
 
-    Chunks are added in two steps, first those of 32 groups of tasks each, so that no task gets a chunk from every task.
+    Chunks are added in two steps, first those of 16 groups of tasks each, so that no task gets a chunk from every task.
     """
-    parts = rows.withColumn("_group", F.spark_partition_id() % 32)
+    parts = rows.withColumn("_group", F.spark_partition_id() % 16)
     parts = parts.groupBy("chunk", "_group").applyInPandas(_add_chunks, "chunk int, payload binary")
     out = np.zeros(size, np.int64)
     for chunk, payload in parts.groupBy("chunk").applyInPandas(_add_chunks, "chunk int, payload binary").collect():
