@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,8 +33,8 @@ def local_session(app: str = "kerbside", cores: str = "8", **conf: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster a missing setting is an
-    error, because a machine-local folder would be lost with its machine.
+    Only a local session without that setting gets a temporary folder, removed when the process ends; on a cluster
+    a missing setting is an error, because a machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -42,6 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="kerbside-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[application], ignore_errors=True)
     return _LOCAL_FOLDERS[application]
 
 
