@@ -34,6 +34,8 @@ SKETCH = 1 << 20
 RUN = 8  # words of an anchor
 SHARD_WORDS = 150_000
 SEGMENTS = 1000  # segments of one anchor in a shard
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 class SuffixAutomaton:
@@ -145,14 +147,11 @@ def _anchors(docs: DataFrame, counts: np.ndarray, background: float, size: int)
                 if not len(at):
                     continue
                 length = last - first + size
-                # A hash of the words of a segment, from prefix sums of word hashes weighted by a power of their place.
-                with np.errstate(over="ignore"):
-                    powers = np.cumprod(np.full(2 * size, 0x9E3779B97F4A7C15, np.uint64))
-                    segment = np.zeros(len(at), np.uint64)
-                    for k in range(int(length.max())):
-                        inside = k < length
-                        segment[inside] += mix(own[first[inside] + k]) * powers[k]
-                    segment = mix(segment ^ length.astype(np.uint64))
+                # The hash of a segment: its words' hashes weighted by powers of their place, from sums over the text.
+                weights = np.cumprod(np.full(len(own), _BASE, np.uint64))
+                back = np.cumprod(np.full(len(own) + 1, _INVERSE, np.uint64))
+                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(own) * weights, dtype=np.uint64)))
+                segment = mix((sums[first + length] - sums[first]) * back[first] ^ length.astype(np.uint64))
                 rows.append(np.full(len(at), i))
                 parts.append((runs[at].view(np.int64), first, length, segment.view(np.int64)))
             if rows:
