@@ -221,7 +221,9 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
     background = float(np.median(counts)) + 6 * float(np.sqrt(np.median(counts))) + 2
     anchors = materialise(_anchors(docs.filter("doc_id is not null"), counts, background, size), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    anchors = materialise(anchors.join(shared.select("anchor"), "anchor", "left_semi"), "shared-anchors")
+    # Written first, so that the join is a stage of its own and Spark can split an anchor with very many rows.
+    shared = materialise(shared.select("anchor"), "anchors-shared")
+    anchors = materialise(anchors.join(shared, "anchor", "left_semi"), "shared-anchors")
     wanted = anchors.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "row_key", "start", "length")).alias("at"))
     cuts = materialise(_cut(docs, wanted.select("anchor", "segment", "at.*")), "segments")
     matches = materialise(_matches(cuts, size), "matches")
