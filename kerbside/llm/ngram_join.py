@@ -10,7 +10,7 @@ Links are looked for in two rounds, so that a large group costs as many checks a
 * first each prefix shingle links the sets that hold it to the least of them, and the found links are joined to components;
 * then only shingles whose sets are still in several components are left. Pairs across components with enough matches
   are verified; a shingle of more than ``LIGHT`` sets is instead split into blocks, and block against block is compared by
-  the matrix product of the sets, which emits a link for each two components at most, never all pairs.
+  the matrix product of the sets, which emits one edge for each component that its links join, never all pairs.
 
 No link between different components can be missed, so the components are exact; no cap is set on partners.
 
@@ -178,9 +178,19 @@ def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int)
         alike = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
         component, node = frame["component"].to_numpy(), frame["node"].to_numpy()
         alike &= component[:, None] != component[None, :]
-        x, y = np.nonzero(np.triu(alike, 1))
-        links = pd.DataFrame({"a": node[x], "b": node[y], "p": np.minimum(component[x], component[y]), "q": np.maximum(component[x], component[y])})
-        return links.drop_duplicates(["p", "q"])[["a", "b"]]
+        # Components that the block's links join, by spreading the least label; one edge for each component joined.
+        _, label = np.unique(component, return_inverse=True)
+        while True:
+            spread = np.minimum(label, np.where(alike, label[None, :], len(label)).min(axis=1))
+            of_component = np.full(len(label), len(label))
+            np.minimum.at(of_component, np.unique(component, return_inverse=True)[1], spread)
+            spread = of_component[np.unique(component, return_inverse=True)[1]]
+            if (spread == label).all():
+                break
+            label = spread
+        links = pd.DataFrame({"a": node, "joined": label, "component": component}).drop_duplicates("component")
+        links["b"] = links.groupby("joined")["a"].transform("first")
+        return links.loc[links["a"] != links["b"], ["a", "b"]]
 
     return rows.groupBy("shingle", "i", "j").applyInPandas(run, "a bigint, b bigint")
 
