@@ -129,7 +129,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     dealt = pairs.join(groups, "a").select("a", F.pmod(F.hash("b"), F.col("groups")).alias("part"), "b")
     dealt = materialise(dealt, "pairs")
     heads = dealt.select("a", "part").distinct().select("a", "part", F.col("a").alias("b"))
-    rows = dealt.unionByName(heads).join(texts, F.col("b") == F.col("node")).select("a", "part", "b", "text")
+    rows = dealt.unionByName(heads).join(texts.hint("merge"), F.col("b") == F.col("node")).select("a", "part", "b", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.empty(0, np.uint64)
@@ -160,7 +160,7 @@ def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     placed = placed.select("shingle", "node", "component", "block", other)
     placed = placed.select("shingle", "node", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
-    rows = placed.join(texts, "node").select("shingle", "i", "j", "block", "node", "component", "text")
+    rows = placed.join(texts.hint("merge"), "node").select("shingle", "i", "j", "block", "node", "component", "text")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         sets = [shingle_set(hashes, size) for hashes in word_hashes(pa.array(frame["text"], pa.string()), lower=True)]
@@ -222,7 +222,8 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
 
     # One text for each node with a shared shingle. Ids may repeat, so the node is computed again and compared.
     wanted = able.join(nodes, "node")
-    wanted_texts = docs.join(wanted, F.col("doc_id") == F.col("least_id")).select("node", "text")
+    # Joins with texts are never broadcasts: the lists of nodes and pairs grow with the corpus and have no bound.
+    wanted_texts = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("least_id")).select("node", "text")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
