@@ -33,44 +33,61 @@ def initial(frequency: np.ndarray, hidden: int, per_class: int, seed: int = 0) -
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def states(p: Parameters, ids: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = False, table: np.ndarray | None = None) -> tuple:
     """States after reading ``ids`` (steps, lanes) from ``state``; a lane starts anew where ``fresh`` is 1."""
     hidden = p["u"].shape[0]
     x = table[ids] if table is not None else p["embed"][ids] @ p["w"] + p["b"]
     out = np.empty((*ids.shape, hidden), np.float32)
-    kept = []
-    for t in range(len(ids)):
-        before = state * (1 - fresh[t])[:, None]
-        a = before @ p["u"]
-        gates = _sigmoid(x[t, :, : 2 * hidden] + a[:, : 2 * hidden])
-        z, r = gates[:, :hidden], gates[:, hidden:]
-        n = np.tanh(x[t, :, 2 * hidden :] + r * a[:, 2 * hidden :])
-        state = n + z * (before - n)
-        out[t] = state
-        if keep:
-            kept.append((before, z, r, n, a[:, 2 * hidden :]))
+    kept, starting = [], fresh.any(axis=1)
+    with np.errstate(over="ignore"):  # a gate far below zero is zero
+        for t in range(len(ids)):
+            before = state * (1 - fresh[t])[:, None] if starting[t] else state
+            a = before @ p["u"]
+            gates = x[t, :, : 2 * hidden] + a[:, : 2 * hidden]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            z, r = gates[:, :hidden], gates[:, hidden:]
+            n = r * a[:, 2 * hidden :]
+            n += x[t, :, 2 * hidden :]
+            np.tanh(n, out=n)
+            state = before - n
+            state *= z
+            state += n
+            out[t] = state
+            if keep:
+                kept.append((before, z, r, n, a[:, 2 * hidden :]))
     return out, state, kept
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def _log_probability(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax at the chosen column of each row; overwrites ``logits``."""
+    logits -= logits.max(axis=-1, keepdims=True)
+    picked = logits[np.arange(len(logits)), chosen]
+    np.exp(logits, out=logits)
+    return picked - np.log(logits.sum(axis=-1))
+
+
+def _error(logits: np.ndarray, chosen: np.ndarray, total: int) -> np.ndarray:
+    """Gradient of the mean negative log-probability of the chosen columns; overwrites ``logits``."""
+    logits -= logits.max(axis=-1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=-1, keepdims=True) * total
+    logits[np.arange(len(logits)), chosen] -= np.asarray(1 / total, logits.dtype)
+    return logits
 
 
 def log_probabilities(p: Parameters, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target after its state; tokens of a class are computed together."""
     per_class = p["word_b"].shape[1]
     cls, word = targets // per_class, targets % per_class
-    out = _log_softmax(h @ p["class_w"] + p["class_b"])[np.arange(len(h)), cls]
+    out = _log_probability(h @ p["class_w"] + p["class_b"], cls)
     order = np.argsort(cls, kind="stable")
     for rows in np.split(order, np.flatnonzero(np.diff(cls[order])) + 1):
         if len(rows):
             c = cls[rows[0]]
-            out[rows] += _log_softmax(h[rows] @ p["word_w"][c] + p["word_b"][c])[np.arange(len(rows)), word[rows]]
+            out[rows] += _log_probability(h[rows] @ p["word_w"][c] + p["word_b"][c], word[rows])
     return out
 
 
@@ -82,17 +99,13 @@ def gradients(p: Parameters, ids: np.ndarray, targets: np.ndarray, fresh: np.nda
     flat, goal = h.reshape(total, hidden), targets.reshape(total)
     g = {k: np.zeros_like(v) for k, v in p.items() if k in ("word_w", "word_b")}
     cls, word = goal // per_class, goal % per_class
-    d = np.exp(_log_softmax(flat @ p["class_w"] + p["class_b"]))
-    d[np.arange(total), cls] -= 1
-    d /= total
+    d = _error(flat @ p["class_w"] + p["class_b"], cls, total)
     g["class_w"], g["class_b"] = flat.T @ d, d.sum(axis=0)
     dh = d @ p["class_w"].T
     order = np.argsort(cls, kind="stable")
     for rows in np.split(order, np.flatnonzero(np.diff(cls[order])) + 1):
         c = cls[rows[0]]
-        d = np.exp(_log_softmax(flat[rows] @ p["word_w"][c] + p["word_b"][c]))
-        d[np.arange(len(rows)), word[rows]] -= 1
-        d /= total
+        d = _error(flat[rows] @ p["word_w"][c] + p["word_b"][c], word[rows], total)
         g["word_w"][c], g["word_b"][c] = flat[rows].T @ d, d.sum(axis=0)
         dh[rows] += d @ p["word_w"][c].T
     dh = dh.reshape(steps, lanes, hidden)
@@ -146,14 +159,23 @@ class Trainer:
 
     def _step(self, g: Parameters) -> None:
         self.updates += 1
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-        scale, t = min(1.0, 1.0 / (norm + 1e-12)), self.updates
+        norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
+        scale, t = np.float32(min(1.0, 1.0 / (norm + 1e-12))), self.updates
+        step = np.float32(self._rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
         for k, x in g.items():
-            x = x * np.float32(scale)
-            self._m[k] += np.float32(0.1) * (x - self._m[k])
-            self._v[k] += np.float32(0.01) * (x * x - self._v[k])
-            step = self._rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
-            self.p[k] -= np.float32(step) * self._m[k] / (np.sqrt(self._v[k]) + np.float32(1e-8))
+            x *= scale
+            m, v = self._m[k], self._v[k]
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * x
+            v *= np.float32(0.99)
+            x *= x
+            x *= np.float32(0.01)
+            v += x
+            np.sqrt(v, out=x)
+            x += np.float32(1e-8)
+            np.divide(m, x, out=x)
+            x *= step
+            self.p[k] -= x
 
 
 def score(p: Parameters, documents: list[np.ndarray], end: int, lanes: int = 128, steps: int = 64) -> np.ndarray:
