@@ -137,7 +137,9 @@ def lm_scores(
     learned = documents(df.filter(train) if train is not None else df, id_col, text_col)
     counts = materialise(token_counts(learned), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.filter(F.col("word") != END.decode()).orderBy(F.desc("n"), "word").limit(dictionary - 1).collect()
+    # Chosen in the cluster and written; the driver gets the dictionary alone, not the candidates of every task.
+    frequent = counts.filter((F.col("word") != END.decode()) & (F.col("n") > 1)).orderBy(F.desc("n"), "word")
+    top = materialise(frequent.limit(dictionary - 1), "dictionary").orderBy(F.desc("n"), "word").collect()
     ends = counts.filter(F.col("word") == END.decode()).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     words = Dictionary([END, *(r["word"].encode() for r in top)], [ends, *(r["n"] for r in top)], total, distinct, vocabulary)
 
