@@ -2,8 +2,8 @@
 
 Token counts cover all training documents. The most frequent words are the model's vocabulary; all others are one unknown
 token, whose probability is shared among them by their counts, so that the model is a distribution over all texts. Training
-is data-parallel: in each round every task trains a copy of the weights on its share of the training documents, and the
-copies are averaged by their tokens. Words outside the bounded ``dictionary`` that tasks hold in memory get their counts
+is data-parallel: the training documents are dealt into parts by hashed id, and each part is one round, in which every task
+trains a copy of the weights on its documents and the copies are averaged by their tokens; the rounds cover all parts. Words outside the bounded ``dictionary`` that tasks hold in memory get their counts
 by a join, so no count is left out.
 
 Defined results: null and empty texts are the end token alone; without training documents the score is the base score;
@@ -125,13 +125,14 @@ def lm_scores(
     dictionary: int = 200_000,
     hidden: int = 32,
     share: int = 8,
-    rounds: int = 2,
+    rounds: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10); learns from rows for which ``train`` holds.
 
-    Counts cover all training rows; the weights are trained on ``rounds`` of ``share`` parts of them, chosen by hashed id.
+    Counts cover all training rows. So do the weights: they are averaged after each of ``share`` parts of the rows, dealt by
+    hashed id, and every row is learnt from ``rounds`` times.
     """
     docs = documents(df, id_col, text_col)
     learned = documents(df.filter(train) if train is not None else df, id_col, text_col)
@@ -147,8 +148,8 @@ def lm_scores(
     if total:
         weights = lm.initial(words.frequency, hidden, max(2, round(len(words.frequency) ** 0.5)))
         part = F.pmod(F.xxhash64("doc_id", F.lit("training")), F.lit(share))
-        for i in range(rounds):
-            weights = _train_round(learned.filter(part == i), words, weights)
+        for i in range(rounds * share):
+            weights = _train_round(learned.filter(part == i % share), words, weights)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
 

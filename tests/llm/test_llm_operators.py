@@ -470,6 +470,18 @@ def test_lm_scores(spark, rows):
     assert lm_scoring.lm_scores(table(spark, [])).count() == 0
 
 
+def test_language_model_learns_from_every_training_row(spark, rows, monkeypatch):
+    seen, train = Counter(), crc32_mod("doc_id") != 1
+
+    def spy(docs, words, p):
+        seen.update((r["doc_id"], r["text"]) for r in docs.collect())
+        return p
+
+    monkeypatch.setattr(lm_scoring, "_train_round", spy)
+    lm_scoring.lm_scores(table(spark, rows), train)
+    assert seen == Counter((i, t) for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1)
+
+
 def test_surrogates_are_permutations():
     s = pii.Surrogates(b"key")
     assert sorted(s.permute("d", i, 997) for i in range(997)) == list(range(997))
