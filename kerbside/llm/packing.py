@@ -7,8 +7,11 @@ from counts per write task, so that a length which holds a third of all pieces i
 
 The search follows bin completion: take the largest length left, enumerate fillings of the rest of its sequence, leave
 out dominated ones (two pieces where one unused piece of their sum would do), start from the best-fit filling as
-incumbent and stop at a filling without waste. Small inputs are searched with backtracking, pruned by the waste that the
-incumbent solution leaves; large ones use each filling as often as the counts allow.
+incumbent and stop at a filling without waste. Using each filling as often as the counts allow gives the first packing.
+Unless it meets the lower bound, branch and bound over whole packings follows at every size: a branch is a filling and the
+times it is used, and it is cut off where the lower bound of the pieces left reaches the incumbent. The search takes the
+branches with the fewest departures from the first choice first and ends after ``_NODES`` nodes, which is a bound by number
+of nodes alone, not of pieces.
 
 Defined results: a null or empty text is one piece, the end id; repeated rows are packed each; other columns are never
 read; an empty table gives no pieces.
@@ -16,6 +19,7 @@ read; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -30,10 +34,11 @@ from kerbside.llm.tokens import encoder
 from kerbside.session import materialise
 
 Pattern = tuple[tuple[int, ...], int]
+_NODES = 4000
 
 
 def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` by lengths up to ``largest``, least waste first; ends at one without waste."""
+    """Undominated fillings of ``room`` by lengths up to ``largest``, least waste first; ends at ``most`` without waste."""
     sizes = [int(s) for s in np.flatnonzero(counts[: min(room, largest) + 1])[::-1]]
     best_fit, left = [], room
     for s in sizes:  # best-fit decreasing: the incumbent
@@ -41,10 +46,12 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
         best_fit += [s] * take
         left -= s * take
     found: dict[tuple[int, ...], int] = {tuple(best_fit): left}
-    if left == 0 or not sizes:
+    if not sizes or (left == 0 and most == 1):
         return list(found)
     waste, budget = left, nodes
     used: dict[int, int] = {}
+    # What the lengths from each place on can fill at most: a branch that must waste more than is listed is cut off.
+    fill = np.cumsum([s * int(counts[s]) for s in sizes[::-1]])[::-1].tolist()
 
     def free(s: int) -> bool:
         return s < len(counts) and counts[s] > used.get(s, 0)
@@ -54,7 +61,8 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
         if left <= largest and left and free(left) and (not chosen or left <= chosen[-1]) and not any(free(c + left) and c + left <= largest for c in chosen):
             found[(*chosen, left)] = 0
             waste = 0
-            return True
+            if sum(w == 0 for w in found.values()) >= most:
+                return True
         if left < sizes[-1] and chosen:
             if left < waste:
                 waste = left
@@ -63,6 +71,8 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
             return False
         for i in range(at, len(sizes)):
             s = sizes[i]
+            if left - fill[i] > waste + 8:
+                return False
             if s > left or not free(s):
                 continue
             budget -= 1
@@ -85,16 +95,14 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
     """Sequences that any packing needs: by total length, and by pieces that cannot share with each other."""
-    lengths = np.arange(len(counts))
-    best = -(-int((counts * lengths).sum()) // capacity)
-    for k in range(0, capacity // 2 + 1, max(1, capacity // 64)):
-        big = lengths > capacity - k
-        half = (lengths <= capacity - k) & (lengths > capacity // 2)
-        small = (lengths >= k) & (lengths <= capacity // 2)
-        spare = int(capacity * counts[half].sum() - (counts * lengths)[half].sum())
-        more = max(0, -(-(int((counts * lengths)[small].sum()) - spare) // capacity))
-        best = max(best, int(counts[big].sum() + counts[half].sum()) + more)
-    return best
+    pieces = np.concatenate(([0], np.cumsum(counts)))  # up to each length, without it
+    tokens = np.concatenate(([0], np.cumsum(counts * np.arange(len(counts)))))
+    k = np.arange(0, capacity // 2 + 1, max(1, capacity // 64))
+    middle, end = min(capacity // 2 + 1, len(counts)), len(counts)
+    high, low = np.minimum(capacity - k + 1, end), np.minimum(k, end)
+    spare = capacity * (pieces[high] - pieces[middle]) - (tokens[high] - tokens[middle])
+    more = np.maximum(0, -(-(tokens[middle] - np.minimum(tokens[low], tokens[middle]) - spare) // capacity))
+    return max(-(-int(tokens[-1]) // capacity), int((pieces[-1] - pieces[middle] + more).max()))
 
 
 def _greedy(counts: np.ndarray, capacity: int, nodes: int) -> list[Pattern]:
@@ -114,37 +122,54 @@ def _greedy(counts: np.ndarray, capacity: int, nodes: int) -> list[Pattern]:
         out.append((filling, times))
 
 
-def _exact(counts: np.ndarray, capacity: int, best: list[Pattern], bound: int, nodes: int) -> list[Pattern]:
-    """Branch and bound over whole packings; ``best`` is the incumbent."""
-    fewest = sum(n for _, n in best)
-    left, chosen = counts.copy(), []
-
-    def search() -> bool:
-        nonlocal best, fewest, nodes
-        top = np.flatnonzero(left)
-        if not len(top):
-            if len(chosen) < fewest:
-                best, fewest = [(f, 1) for f in chosen], len(chosen)
-            return fewest <= bound
-        if len(chosen) + lower_bound(left, capacity) >= fewest or nodes <= 0:
-            return False
-        nodes -= 1
-        s = int(top[-1])
-        left[s] -= 1
-        for filling in _completions(left, capacity - s, s, 500, 4):
-            for x in filling:
-                left[x] -= 1
-            chosen.append((s, *filling))
-            done = search()
-            chosen.pop()
-            for x in filling:
-                left[x] += 1
-            if done:
-                return True
-        left[s] += 1
-        return False
+def _times_used(left: np.ndarray, filling: tuple[int, ...]) -> int:
+    kinds, uses = np.unique(filling, return_counts=True)
+    return int((left[kinds] // uses).min())
+
+
+def _branches(left: np.ndarray, capacity: int) -> list[Pattern]:
+    """Fillings of the sequence of the largest length left, each with the times it is used: all it can be, half, or once."""
+    s = int(np.flatnonzero(left)[-1])
+    left[s] -= 1
+    fillings = [(s, *f) for f in _completions(left, capacity - s, s, 500, 4)]
+    left[s] += 1
+    most = [_times_used(left, f) for f in fillings]
+    out = list(zip(fillings, most, strict=True))
+    out += [(f, n // 2) for f, n in zip(fillings, most, strict=True) if n > 3]
+    return out + [(f, 1) for f, n in zip(fillings, most, strict=True) if n > 1]
+
 
-    search()
+def _branch_and_bound(counts: np.ndarray, capacity: int, best: list[Pattern], bound: int, nodes: int) -> list[Pattern]:
+    """Branch and bound over whole packings; ``best`` is the incumbent.
+
+    An open branch holds the path to it as links to the branch before: (link, filling, times).
+    """
+    fewest = sum(n for _, n in best)
+    opened: list[tuple] = [(0, 0, 0, None)]  # departures from the first choice, depth, order of coming, path
+    number = 0
+    while opened and nodes > 0 and fewest > bound:
+        departures, depth, _, path = heapq.heappop(opened)
+        left, used, link = counts.copy(), 0, path
+        while link is not None:
+            link, filling, times = link
+            np.subtract.at(left, list(filling), times)
+            used += times
+        while nodes > 0:  # down along the first choices
+            if used + lower_bound(left, capacity) >= fewest:
+                break
+            if not left.any():
+                best, fewest, link = [], used, path
+                while link is not None:
+                    link, filling, times = link
+                    best.append((filling, times))
+                break
+            nodes -= 1
+            first, *others = _branches(left, capacity)
+            for i, (filling, times) in enumerate(others, 1):
+                number += 1
+                heapq.heappush(opened, (departures + i, depth + 1, number, (path, filling, times)))
+            path, depth, used = (path, *first), depth + 1, used + first[1]
+            np.subtract.at(left, list(first[0]), first[1])
     return best
 
 
@@ -153,9 +178,7 @@ def best_packing(counts: np.ndarray, capacity: int, nodes: int = 2000) -> list[P
     counts = np.asarray(counts, np.int64)
     bound = lower_bound(counts, capacity)
     best = min((_greedy(counts, capacity, n) for n in (nodes, 0)), key=lambda p: sum(n for _, n in p))
-    if sum(n for _, n in best) > bound and counts.sum() <= 300:
-        best = _exact(counts, capacity, best, bound, 400)
-    return best
+    return _branch_and_bound(counts, capacity, best, bound, _NODES)
 
 
 def _places(patterns: list[Pattern], capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -237,6 +237,21 @@ def test_packing_of_many_pieces_meets_the_bound():
     assert used <= packing.lower_bound(counts, 2048) * 1.001 + 1
 
 
+@pytest.mark.parametrize("n", [10, 1000, 1_000_000])
+def test_packing_searches_whole_packings_at_every_size(n):
+    # 1045 + 512 + 491, 984 + 2 * 532 and 799 + 778 + 471 fill sequences; the first choice, 1045 + 532 + 471, spoils two
+    counts = np.zeros(2049, np.int64)
+    counts[[1045, 512, 491, 984, 471, 799, 778]] = n
+    counts[532] = 2 * n
+    patterns = packing.best_packing(counts, 2048)
+    assert sum(times for _, times in patterns) == packing.lower_bound(counts, 2048) == 3 * n
+    placed = np.zeros(2049, np.int64)
+    for lengths, times in patterns:
+        assert sum(lengths) <= 2048
+        np.add.at(placed, list(lengths), times)
+    assert (placed == counts).all()
+
+
 def shingles(text, size):
     own = lower_words(text)
     return frozenset(zip(*[own[i:] for i in range(size)], strict=False)) if len(own) >= size else frozenset([tuple(own)] if own else [])
