@@ -423,6 +423,35 @@ def test_cotraining_on_held_out_rows(spark, rows):
     assert cotraining.quality_classifier(table(spark, []), labels).count() == 0
 
 
+def test_cotraining_finds_the_surest_of_all_unlabelled_rows(spark):
+    class Sizes:
+        def log_odds(self, view, statistics, meta):
+            return statistics[:, 0] - 500
+
+    # a hot text in 300 rows with metadata of its own each, and 1000 others; odds -500 to 499
+    pool = [(-1, np.r_[1e3, np.zeros(13)].tobytes(), f"s{i}", 10_000 + i) for i in range(300)]
+    pool += [(i, np.r_[float(i), np.zeros(13)].tobytes(), "s", i) for i in range(1000)]
+    pool = spark.createDataFrame(pool, "text_hash bigint, statistics binary, m0 string, key bigint").repartition(5)
+    found = cotraining._surest(pool, ["m0"], Sizes(), 0, {0, 999}, (3, 4), 2.0)
+    assert [k for k, label, _, _ in found if label == 0] == [1, 2, 3]
+    assert [k for k, label, _, _ in found if label == 1] == [996, 997, 998, 10_000]
+
+
+def test_cotraining_scores_the_whole_pool(spark, rows, monkeypatch):
+    docs, marks = labelled(rows, random.Random(19))
+    labels = spark.createDataFrame(marks[:200], "doc_id bigint, quality int, toxic int")
+    seen, real = [], cotraining._surest
+
+    def spy(pool, *rest):
+        seen.append({r["text_hash"] for r in pool.select("text_hash").collect()})
+        return real(pool, *rest)
+
+    monkeypatch.setattr(cotraining, "_surest", spy)
+    assert cotraining.quality_classifier(table(spark, docs), labels, pool=40, rounds=1).count() == len(docs)
+    want = {r[0] for r in table(spark, docs[200:]).select(F.xxhash64("text")).collect()}
+    assert seen == [want] * 2 and len(want) > 40
+
+
 def test_language_model_gradients():
     rng = np.random.default_rng(1)
     p = {k: v.astype(np.float64) for k, v in lm.initial(np.arange(1.0, 11.0), 3, 4).items()}
