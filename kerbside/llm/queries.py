@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.llm.clustering import clusters
 from kerbside.llm.common import crc32_mod
+from kerbside.llm.conversation_repair import damage, repair
 from kerbside.llm.cotraining import quality_classifier
 from kerbside.llm.decontamination import contamination
 from kerbside.llm.lm_scoring import lm_scores
@@ -15,6 +17,7 @@ from kerbside.llm.oracles import ORACLES
 from kerbside.llm.packing import pack
 from kerbside.llm.pii import KINDS, anonymise
 from kerbside.llm.quality_rules import quality_rules
+from kerbside.llm.secret_scan import BASE, count_of, listed, scan_secrets
 from kerbside.llm.substring_dedup import remove_repeats
 from kerbside.llm.token_output import checksums, read_tokens, write_tokens
 from kerbside.llm.toxicity import toxicity
@@ -80,6 +83,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_groups(_read(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_read(spark, sf_dir, "documents"))
+    counts = [count_of(kind).alias(f"n_{kind}") for kind in BASE]
+    return found.select("doc_id", *counts, F.sha2(listed(BASE), 256).alias("base_sha256"), listed().alias("spans"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damage(_read(spark, sf_dir, "conversations")), dropped_col="dropped")
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(_read(spark, sf_dir, "embeddings"), k=40, rounds=5, size=64, scale=256, salt="2:")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +108,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_clustering": op13_clustering,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
