@@ -30,6 +30,20 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``size`` bytes, one row at least, so that a task holds few texts at a time."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
+            if part.num_rows > 1 and part.nbytes > 2 * size:  # a few long texts among short ones
+                yield from sliced(iter((part,)), size)
+            else:
+                yield part
+        if not batch.num_rows:
+            yield batch
+
+
 def word_array(text: Column, blanks: str = BLANKS) -> Column:
     """The words of a text as an array; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), blanks), "")

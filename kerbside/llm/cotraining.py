@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import logistic_regression
@@ -271,7 +271,9 @@ def quality_classifier(
 
     described = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(describe, f"doc_id {id_type}, text_hash bigint, statistics binary{types}")
     described = materialise(described, "text-statistics")
-    sampled = described.join(chosen, "doc_id").select("label", "statistics", *metas).toPandas()  # at most 2 * sample short rows
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text_hash", "statistics", *metas))
+    sampled = described.join(chosen, "doc_id").withColumn("nth", first).filter("nth = 1")  # one row of each id, whatever repeats
+    sampled = sampled.select("label", "statistics", *metas).toPandas()  # at most 2 * sample short rows
     label = sampled["label"].to_numpy()
     model = None
     if (label == 0).sum() > 4 and (label == 1).sum() > 4:

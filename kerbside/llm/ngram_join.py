@@ -15,8 +15,8 @@ Links are looked for in two rounds, so that a large group costs as many checks a
 No link between different components can be missed, so the components are exact; no cap is set on partners.
 
 Defined results: null or empty texts have no set and form groups of their own; a text of fewer words than a shingle is one
-shingle; rows with equal ids belong to one group if one of them does, and each is returned; a null id is never a group's
-name unless its group has no other; other columns are never read; an empty table gives no rows.
+shingle; each row is returned, rows of one id by their own texts; a null id is never a group's name unless its group has no
+other; very long texts are compared whole; other columns are never read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import documents, shingle_set, summed_vector, vector_rows, word_hashes
+from kerbside.llm.common import documents, shingle_set, sliced, summed_vector, vector_rows, with_row_key, word_hashes
 from kerbside.llm.components import components
 from kerbside.session import materialise
 
@@ -68,14 +68,14 @@ def prefix(shingles: np.ndarray, counts: np.ndarray, background: float, percent:
 
 
 def _prints(docs: DataFrame, size: int) -> DataFrame:
-    """A row (doc_id, n, node) for every document, and rows (chunk, payload) of the sketch."""
+    """A row (doc_id, row_key, n, node) for every document, and rows (chunk, payload) of the sketch."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "n", "node", "chunk", "payload"]
+        names = ["doc_id", "row_key", "n", "node", "chunk", "payload"]
         id_arrow = None
-        for batch in batches:
+        for batch in sliced(batches):
             id_arrow = batch.column("doc_id").type
             sizes, nodes = [], []
             for hashes in word_hashes(batch.column("text"), lower=True):
@@ -84,13 +84,13 @@ def _prints(docs: DataFrame, size: int) -> DataFrame:
                 nodes.append(_node(shingles))
                 np.add.at(sketch, _slots(shingles), 1)
             empty = [pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *empty], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *empty], names)
         rows = vector_rows(sketch)
         if rows:
-            empty = [pa.nulls(len(rows), id_arrow), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())]
+            empty = [pa.nulls(len(rows), id_arrow), *[pa.nulls(len(rows), pa.int64())] * 3]
             yield pa.RecordBatch.from_arrays([*empty, pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names)
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, n bigint, node bigint, chunk int, payload binary")
+    return docs.mapInArrow(run, f"doc_id {id_type}, row_key bigint, n bigint, node bigint, chunk int, payload binary")
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray, background: float) -> DataFrame:
@@ -98,7 +98,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, counts: np.ndarray, back
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
-        for batch in batches:
+        for batch in sliced(batches):
             parts, nodes, sizes, matches = [], [], [], []
             for hashes in word_hashes(batch.column("text"), lower=True):
                 shingles = shingle_set(hashes, size)
@@ -133,7 +133,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in sliced(batches):
             links = []
             texts = word_hashes(batch.column("text"), lower=True)
             for a, b, hashes in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), texts, strict=True):
@@ -195,14 +195,13 @@ def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int)
     return rows.groupBy("shingle", "i", "j").applyInPandas(run, "a bigint, b bigint")
 
 
-def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles and component_id, the least id reachable by links of Jaccard >= percent / 100."""
-    docs = documents(df, id_col, text_col)
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text, row_key): doc_id, row_key, n, and the component of its set; null without a set."""
     prints = materialise(_prints(docs, size), "shingle-prints")
-    members = prints.filter("n is not null").select("doc_id", "n", "node")
+    members = prints.filter("n is not null").select("doc_id", "row_key", "n", "node")
     counts = summed_vector(prints.filter("chunk is not null").select("chunk", "payload"), SKETCH).astype(np.int32)
     background = float(np.median(counts)) + 3 * float(np.sqrt(np.median(counts)))
-    nodes = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"))
+    nodes = members.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("text_key"))
 
     # One shuffle by shingle serves the removal of copies and the counts.
     postings = _prefixes(docs, size, percent, counts, background).repartition("shingle").dropDuplicates(["shingle", "node"])
@@ -220,13 +219,13 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     able = materialise(able.select("node"), "able-nodes")
     postings = materialise(postings.drop("fewest").join(able, "node", "left_semi"), "able-postings")
 
-    # One text for each node with a shared shingle. Ids may repeat, so the node is computed again and compared.
+    # One text for each node with a shared shingle, found by a key that is never null; the node is computed again and compared.
     wanted = able.join(nodes, "node")
     # Joins with texts are never broadcasts: the lists of nodes and pairs grow with the corpus and have no bound.
-    wanted_texts = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("least_id")).select("node", "text")
+    wanted_texts = docs.join(wanted.hint("merge"), F.col("row_key") == F.col("text_key")).select("node", "text")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = word_hashes(batch.column("text"), lower=True)
             same = [_node(shingle_set(hashes, size)) == n for n, hashes in zip(batch.column("node").to_pylist(), texts, strict=True)]
             yield batch.filter(pa.array(same, pa.bool_()))
@@ -257,21 +256,36 @@ def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     links = links.unionByName(more).unionByName(blocks)
     groups = components(materialise(links, "links"))
 
-    named = nodes.join(groups, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "component").select(F.col("node").alias("of"), "component_id")
-    out = members.join(named, (F.col("node") == F.col("of")) & (F.col("n") > 0), "left")
+    groups = groups.select(F.col("node").alias("of"), "component")
+    out = members.join(groups, (F.col("node") == F.col("of")) & (F.col("n") > 0), "left")
+    return out.select("doc_id", "row_key", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("component"))
+
+
+def ngram_groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles and component_id, the least id reachable by links of Jaccard >= percent / 100."""
+    grouped = materialise(_grouped(with_row_key(documents(df, id_col, text_col)), size, percent), "grouped")
+    least = grouped.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = least.select(F.col("component").alias("of"), "component_id")
+    out = grouped.join(least, F.col("component") == F.col("of"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each_group(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id names their group, one row for an id; rows without an id cannot be named and stay."""
-    groups = ngram_groups(df, size, percent, id_col, text_col)
-    named = materialise(groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_named")).distinct(), "groups-named")
-    kept = df.join(named, df[id_col] == named["_named"], "left_semi")
-    nth = "_nth"
-    while nth in df.columns:
-        nth += "_"
-    order = Window.partitionBy(id_col).orderBy(text_col, *[c for c in df.columns if c not in (id_col, text_col)])
-    first = kept.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).drop(nth)
-    return first.unionByName(df.filter(F.col(id_col).isNull()))
+    """One row of each group of ``df``: that of the least id; a row without an id only where no row of its group has one.
+
+    Unlike texts of one id are groups of their own and stay. Rows without a set stay, but of rows equal in id and text one
+    does: the first by its other columns.
+    """
+    names = ["_row_key", "_nth"]
+    while set(names) & set(df.columns):
+        names = [n + "_" for n in names]
+    key, nth = names
+    keyed = df.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col).cast("string")))
+    docs = keyed.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(key).alias("row_key"))
+    grouped = materialise(_grouped(docs, size, percent), "grouped")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("best")
+    kept = grouped.filter("n > 0").groupBy("component").agg(best).select(F.col("best.row_key").alias("kept"))
+    kept = materialise(kept.unionByName(grouped.filter("n = 0").select(F.col("row_key").alias("kept"))).distinct(), "groups-kept")
+    order = Window.partitionBy(key).orderBy(text_col, *[c for c in df.columns if c != text_col])
+    single = keyed.join(kept, keyed[key] == kept["kept"], "left_semi").withColumn(nth, F.row_number().over(order))
+    return single.filter(F.col(nth) == 1).drop(key, nth)

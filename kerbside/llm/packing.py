@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import documents
+from kerbside.llm.common import documents, sliced
 from kerbside.llm.tokens import encoder
 from kerbside.session import materialise
 
@@ -57,13 +57,14 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
         return s < len(counts) and counts[s] > used.get(s, 0)
 
     def search(at: int, left: int, chosen: list[int]) -> bool:
+        # One level for each distinct length, so at most some 60 levels whatever the number of pieces in a filling.
         nonlocal waste, budget
-        if left <= largest and left and free(left) and (not chosen or left <= chosen[-1]) and not any(free(c + left) and c + left <= largest for c in chosen):
+        if left <= largest and left and free(left) and (not chosen or left <= chosen[-1]) and not any(free(c + left) and c + left <= largest for c in set(chosen)):
             found[(*chosen, left)] = 0
             waste = 0
             if sum(w == 0 for w in found.values()) >= most:
                 return True
-        if left < sizes[-1] and chosen:
+        if (left < sizes[-1] or at == len(sizes)) and chosen:
             if left < waste:
                 waste = left
             if left <= waste + 8:
@@ -75,18 +76,20 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
                 return False
             if s > left or not free(s):
                 continue
-            budget -= 1
-            if budget < 0:
-                return False
-            if any(c + s <= largest and free(c + s) for c in chosen):
+            if any(c + s <= largest and free(c + s) for c in set(chosen)):
                 continue  # dominated by the longer piece
-            used[s] = used.get(s, 0) + 1
-            chosen.append(s)
-            done = search(i, left - s, chosen)
-            chosen.pop()
-            used[s] -= 1
-            if done:
-                return True
+            most_times = 1 if 2 * s <= largest and free(2 * s) else min(left // s, int(counts[s]) - used.get(s, 0))
+            for times in range(most_times, 0, -1):
+                budget -= 1
+                if budget < 0:
+                    return False
+                used[s] = used.get(s, 0) + times
+                chosen.extend([s] * times)
+                done = search(i + 1, left - s * times, chosen)
+                del chosen[-times:]
+                used[s] -= times
+                if done:
+                    return True
         return False
 
     search(0, room, [])
@@ -206,7 +209,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_text, block = encoder(tokenizer), TaskContext.get().partitionId()
         end, seen = np.asarray([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             rows, out = [], []
             for i, text in enumerate(batch.column("text")):
                 ids = memoryview(encode_text(text.as_py()) + end)
@@ -246,7 +249,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
     id_type = pieces.schema["doc_id"].dataType.simpleString()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             key = (batch.column("length").to_numpy() << 44) + batch.column("rank").to_numpy()
             run = np.searchsorted(keys, key, side="right") - 1
             yield pa.RecordBatch.from_arrays(

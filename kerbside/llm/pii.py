@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.llm.common import sliced
 from kerbside.session import materialise
 
 # Alphabets of the scripts whose letters are replaced.
@@ -67,7 +68,7 @@ _SYLLABLES = {
 _ENDINGS = {"latin": {"m": "n", "f": "a", "n": "e", "s": "r"}, "cyrillic": {"m": "н", "f": "а", "n": "й", "s": "ко"}, "greek": {"m": "ς", "f": "α", "n": "ο", "s": "ου"}}
 
 _PATTERNS = {
-    "email": r"[\w.+-]+@(?:[\w-]+\.)+[^\W\d_]{2,}",
+    "email": r"(?<![\w.+-])[\w.+-]++@(?:[\w-]++\.)+[^\W\d_]{2,}",
     "secret": r"(?i:(?:token|secret|password|passwd|api[_-]?key)\s*[:=]\s*[\"']?)(?P<value>[A-Za-z0-9_\-/+]{12,})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
@@ -79,6 +80,7 @@ _ENTITY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PAT
 _MAYBE = re.compile(r"[0-9@]|(?i:token|secret|passw|api.?key)")
 _NAME = re.compile(rf"\b({'|'.join(ADDRESS)})(\.?\s+)([^\W\d_][\w'-]+(?:[ ][^\W\d_][\w'-]+){{0,2}})")
 KINDS = (*_PATTERNS, "name")
+_BLOCK = 64  # signs that are permuted as one number
 
 
 class Surrogates:
@@ -110,6 +112,13 @@ class Surrogates:
 
     def shaped(self, domain: str, text: str, alphabets: tuple[str, ...] = ALPHABETS) -> str:
         """Permutes the texts of one shape: letters and digits within their alphabets, case and other signs in place."""
+        if len(text) > _BLOCK:  # block by block, each under what stood before it: still one to one, and in linear time
+            out, before = [], hashlib.sha256(str(len(text)).encode())
+            for at in range(0, len(text), _BLOCK):
+                block = text[at : at + _BLOCK]
+                out.append(self.shaped(f"{domain}|{before.hexdigest()}", block, alphabets))
+                before.update(block.encode("utf-8", "surrogatepass"))
+            return "".join(out)
         places = [(i, a) for i, c in enumerate(text) for a in alphabets if c.lower() in a and len(c.lower()) == 1]
         value, size, shape = 0, 1, list(text)
         for i, a in places:
@@ -233,7 +242,7 @@ def _assigned_names(parts: DataFrame, key: bytes) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], attempt: int = attempt) -> Iterator[pa.RecordBatch]:
             surrogates, columns = Surrogates(key), ["kind", "script", "name"]
-            for batch in batches:
+            for batch in sliced(batches):
                 given = [batch.column(c) for c in columns]
                 new = [surrogates.draw(*entity, attempt) for entity in zip(*(c.to_pylist() for c in given), strict=True)]
                 yield pa.RecordBatch.from_arrays([*given, pa.array(new, pa.string())], [*columns, "new"])
@@ -255,7 +264,7 @@ def anonymise(df: DataFrame, key: bytes, text_col: str = "text", counts_col: str
     schema, at = df.schema, df.columns.index(text_col)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [(t, *p) for t in batch.column(0).to_pylist() if t for p in _name_parts(t)]
             if found:
                 keys = [hashlib.sha256(x[0].encode("utf-8", "surrogatepass")).hexdigest() for x in found]
@@ -282,7 +291,7 @@ def anonymise(df: DataFrame, key: bytes, text_col: str = "text", counts_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surrogates = Surrogates(key)
-        for batch in batches:
+        for batch in sliced(batches):
             texts, counted = [], []
             for text, names in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 counts: dict[str, int] = {}

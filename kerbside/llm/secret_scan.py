@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import documents
+from kerbside.llm.common import documents, sliced
 
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
 BASE = KINDS[:3]
@@ -134,7 +134,7 @@ def scan_secrets(df: DataFrame, reach: int = REACH, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.name for f in _FOUND.value_type]
-        for batch in batches:
+        for batch in sliced(batches):
             found = [[dict(zip(names, s, strict=True)) for s in scan(text.as_py() or "", reach)] for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, _FOUND)], ["doc_id", "found"])
 

@@ -4,10 +4,11 @@ A text's features are the distinct n-grams it holds, hashed to a fixed number of
 differ clearly between the classes are kept, each has the value log(share in toxic / share in other texts), and a
 logistic regression learns their weights. Only the text is an input of a score.
 
-The model is fitted on a bounded sample of labelled rows: per class the ``sample`` rows whose ids hash lowest. All texts
-are scored whole. Defined results: null and empty texts have no features and get the prior; ids labelled twice count as
+The model is fitted on a bounded sample of labelled rows: per class the ``sample`` ids that hash lowest, each with one of
+its texts. All texts are scored whole, very long ones too. Defined results: null and empty texts have no features and get the prior; ids labelled twice count as
 toxic if one label says so; null labels and ids are left out; without both classes in the labels every score is 0;
-repeated rows are scored each; other columns are never read.
+repeated rows are scored each; other columns are never read;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import documents, logistic_regression, summed_vector, vector_rows
+from kerbside.llm.common import documents, logistic_regression, sliced, summed_vector, vector_rows
 from kerbside.session import materialise
 
 ORDERS = (3, 4, 5, 6)
@@ -67,12 +68,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = materialise(_sample(known, sample), "toxicity-sample")
-    texts = materialise(docs.join(chosen, "doc_id").select(F.col("label").cast("int").alias("label"), "text"), "toxicity-texts")
+    # One text of each chosen id, that of the least hash, so that at most 2 * sample rows are learnt from whatever repeats.
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    one = docs.join(chosen, "doc_id").withColumn("nth", first).filter("nth = 1")
+    texts = materialise(one.select(F.col("label").cast("int").alias("label"), "text"), "toxicity-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last two slots count the texts of each class.
         counts = np.zeros(2 * (1 << BITS) + (1 << 14), np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 counts[np.unique(ngrams(text)) + label * (1 << BITS)] += 1
                 counts[2 * (1 << BITS) + label] += 1
@@ -95,7 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
     position[kept] = np.arange(len(kept))
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [position[np.unique(ngrams(text))] for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array([f[f >= 0].astype("<i4").tobytes() for f in found], pa.binary())], ["label", "features"]
@@ -103,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, least_z: float =
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, features = [], []
-        for batch in batches:
+        for batch in sliced(batches):
             labels += batch.column("label").to_pylist()
             features += [np.frombuffer(f, "<i4") for f in batch.column("features").to_pylist()]
         if not labels:
@@ -138,7 +142,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table() if model else None
-        for batch in batches:
+        for batch in sliced(batches):
             scores = _scores(batch.column("text"), model, table)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"]
@@ -154,7 +158,7 @@ def without_toxic(df: DataFrame, labels: DataFrame, sample: int = 8000, id_col:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table() if model else None
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array(_scores(batch.column(at), model, table) < 0.5))
 
     return df.mapInArrow(keep, df.schema)
