@@ -50,25 +50,33 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
         return list(found)
     waste, budget = left, nodes
     used: dict[int, int] = {}
+    perfect = int(left == 0)
     # What the lengths from each place on can fill at most: a branch that must waste more than is listed is cut off.
     fill = np.cumsum([s * int(counts[s]) for s in sizes[::-1]])[::-1].tolist()
 
     def free(s: int) -> bool:
         return s < len(counts) and counts[s] > used.get(s, 0)
 
-    def search(at: int, left: int, chosen: list[int]) -> bool:
-        # One level for each distinct length, so at most some 60 levels whatever the number of pieces in a filling.
-        nonlocal waste, budget
-        if left <= largest and left and free(left) and (not chosen or left <= chosen[-1]) and not any(free(c + left) and c + left <= largest for c in set(chosen)):
-            found[(*chosen, left)] = 0
+    def listed(kinds: list[int]) -> tuple[int, ...]:
+        return tuple(s for s in kinds for _ in range(used[s]))
+
+    def search(at: int, left: int, kinds: list[int]) -> bool:
+        # ``kinds`` are the lengths chosen, each ``used`` times. One level for each, so some 60 levels at most.
+        nonlocal waste, budget, perfect
+        if left <= largest and left and free(left) and (not kinds or left <= kinds[-1]) and not any(free(c + left) and c + left <= largest for c in kinds):
+            filling = (*listed(kinds), left)
+            perfect += found.get(filling) != 0
+            found[filling] = 0
             waste = 0
-            if sum(w == 0 for w in found.values()) >= most:
+            if perfect >= most:
                 return True
-        if (left < sizes[-1] or at == len(sizes)) and chosen:
+        if (left < sizes[-1] or at == len(sizes)) and kinds:
             if left < waste:
                 waste = left
             if left <= waste + 8:
-                found[tuple(chosen)] = left
+                filling = listed(kinds)
+                perfect += left == 0 and found.get(filling) != 0
+                found[filling] = left
             return False
         for i in range(at, len(sizes)):
             s = sizes[i]
@@ -76,20 +84,22 @@ def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most:
                 return False
             if s > left or not free(s):
                 continue
-            if any(c + s <= largest and free(c + s) for c in set(chosen)):
+            budget -= 1
+            if budget < 0:
+                return False
+            if any(c + s <= largest and free(c + s) for c in kinds):
                 continue  # dominated by the longer piece
-            most_times = 1 if 2 * s <= largest and free(2 * s) else min(left // s, int(counts[s]) - used.get(s, 0))
+            most_times = 1 if 2 * s <= largest and free(2 * s) else min(left // s, int(counts[s]))
+            kinds.append(s)
             for times in range(most_times, 0, -1):
-                budget -= 1
-                if budget < 0:
-                    return False
-                used[s] = used.get(s, 0) + times
-                chosen.extend([s] * times)
-                done = search(i + 1, left - s * times, chosen)
-                del chosen[-times:]
-                used[s] -= times
-                if done:
-                    return True
+                budget -= times < most_times
+                used[s] = times
+                if budget < 0 or search(i + 1, left - s * times, kinds):
+                    break
+            used[s] = 0
+            kinds.pop()
+            if budget < 0 or perfect >= most:
+                return perfect >= most
         return False
 
     search(0, room, [])
