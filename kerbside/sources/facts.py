@@ -7,27 +7,28 @@ import uuid
 from collections import Counter
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.bloom import FILTER_SCHEMA, buckets_for, groups_holding, key_filters
 from kerbside.session import materialise
+from kerbside.sources.files import delete_folder, names_in, read_small, write_new
 
 _NO_PERIOD = "none"
-_FOLDERS = "array<struct<period: string, load: string, loaded_at: timestamp, low: string, high: string>>"
-_COMMIT = f"folders {_FOLDERS}, table_schema string, batches map<string, bigint>, commit int"
+_PLACE = ("period", "load", "loaded_at", "low", "high", "buckets")
 
 
 class FactTable:
     """A fact table of unique keys, split by the period (day or month) of its event time.
 
-    Data files are written once, under ``data/load=.../period=...``, and never changed. A commit is one row that
+    Data files are written once, under ``data/load=.../period=...``, and never changed. A commit is one small file that
     lists the (period, load) folders the table consists of, with the least and greatest key of each; readers take the
-    newest commit. A job that dies before its commit leaves the table as it was, and may simply run again. Only
-    folders whose key range meets the arriving keys are searched, and only periods that lose a superseded row, or
+    newest commit. Beside each load lie the Bloom filters of its folders' keys, under ``keys/load=...``. A job that dies before its commit leaves the table as it was, and may simply run again. Only
+    folders whose key range and Bloom filter meet an arriving key are searched, and only periods that lose a superseded row, or
     have gathered more than ``most_folders`` folders, are rewritten; all others are carried over by name. One job at
-    a time may load a table: the commit of a second one fails, since its number is taken.
+    a time may load a table: the commit of a second one fails, since its number is taken. The newest
+    ``keep_commits`` commits stay and can be compared by ``changes``; older ones go, with the folders only they list.
 
     ``lookback`` (an interval such as ``"3 days"``) lets batch loads also admit rows that arrive late.
     """
@@ -41,9 +42,10 @@ class FactTable:
         grain: str = "day",
         lookback: str | None = None,
         most_folders: int = 8,
+        keep_commits: int = 20,
     ):
         self.spark, self.root, self.key, self.ts = spark, root.rstrip("/"), key, ts
-        self.lookback, self.most_folders = lookback, most_folders
+        self.lookback, self.most_folders, self.keep_commits = lookback, most_folders, max(1, keep_commits)
         self.label_format = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}[grain]
 
     # -- reading ------------------------------------------------------------------------------------------------
@@ -69,6 +71,30 @@ class FactTable:
         folders = [] if state is None else [(f["period"], f["load"], f["loaded_at"]) for f in state["folders"]]
         return self.spark.createDataFrame(folders, "period string, load string, loaded_at timestamp")
 
+    def version(self) -> int:
+        """The number of the newest commit; 0 before the first."""
+        return max(self._commits(), default=0)
+
+    def changes(self, since: int, until: int | None = None) -> DataFrame:
+        """What the commits after ``since``, up to ``until`` (the newest), did to the table.
+
+        One row for each key that came, went or got another row: the columns of the table as they are afterwards (as they
+        were, for a removed key), ``change`` (inserted, updated or removed) and ``was``, the event time before. Folders
+        that both commits list hold the same rows and are not read; rows that were only moved by a rewrite are no change.
+        """
+        after = self._state(self.version() if until is None else until)
+        before = self._state(since)["folders"] if since else []
+        schema = _schema(after)
+        listed, had = ({(f["period"], f["load"]) for f in folders} for folders in (after["folders"], before))
+        now = self._rows([f for f in after["folders"] if (f["period"], f["load"]) not in had], schema)
+        old = self._rows([f for f in before if (f["period"], f["load"]) not in listed], schema)
+        new = now.select(F.col(self.key).alias("_key"), F.struct(*schema.names).alias("_now"))
+        gone = old.select(F.col(self.key).alias("_old_key"), F.struct(*schema.names).alias("_was"))
+        both = new.join(gone, F.col("_key").eqNullSafe(F.col("_old_key")), "full").filter(~F.col("_now").eqNullSafe(F.col("_was")))
+        kind = F.when(F.col("_was").isNull(), "inserted").when(F.col("_now").isNull(), "removed").otherwise("updated")
+        row = F.coalesce("_now", "_was")
+        return both.select(*[row[c].alias(c) for c in schema.names], kind.alias("change"), F.col("_was")[self.ts].alias("was"))
+
     def pending(self, staged: DataFrame) -> DataFrame:
         """Rows of ``staged`` that the next load could admit, to be cut before any dedup.
 
@@ -119,7 +145,7 @@ class FactTable:
         if not inserted and (state is None or batches is None):
             return self._rows(folders, source.schema if state is None else _schema(state))
         keys = self._rows(inserted, source.schema).select(self.key)
-        touched = self._periods_with(self._meeting(folders, inserted), keys, source.schema)
+        touched = self._periods_with(self._maybe_holding(self._meeting(folders, inserted), keys), keys, source.schema)
         losing = [f for f in folders if f["period"] in touched]
         kept = []
         if losing:
@@ -160,6 +186,17 @@ class FactTable:
         ranges = [(a["low"], a["high"]) for a in arriving if a["low"] is not None]
         return [f for f in folders if f["low"] is not None and any(f["low"] <= high and low <= f["high"] for low, high in ranges)]
 
+    def _maybe_holding(self, folders: list[Row], keys: DataFrame) -> list[Row]:
+        """The folders whose Bloom filter lets one of ``keys`` through. The filters are about a byte a key."""
+        if not folders:
+            return []
+        paths = sorted({f"{self.root}/keys/load={f['load']}" for f in folders})
+        filters = self.spark.read.schema(f"period string, {FILTER_SCHEMA}, load string").option("basePath", f"{self.root}/keys").parquet(*paths)
+        filters = filters.filter(F.concat_ws("/", "load", "period").isin([f"{f['load']}/{f['period']}" for f in folders]))
+        found = groups_holding(filters, ["load", "period"], [f["buckets"] for f in folders], keys, self.key)
+        held = {(r["load"], r["period"]) for r in found.collect()}
+        return [f for f in folders if (f["load"], f["period"]) in held]
+
     def _mark(self, state: Row) -> datetime | None:
         dated = [f for f in state["folders"] if f["period"] != _NO_PERIOD]
         if not dated:
@@ -183,9 +220,12 @@ class FactTable:
         df.withColumn("period", label).hint("rebalance", "period").write.partitionBy("period").parquet(path)
         written = self.spark.read.schema(T.StructType([df.schema[self.key], T.StructField("period", T.StringType())])).parquet(path)
         text = F.col(self.key).cast("string")
-        periods = written.groupBy("period").agg(F.min(text).alias("low"), F.max(text).alias("high")).orderBy("period").collect()
-        now = datetime.now()
-        return [Row(period=r["period"], load=load, loaded_at=now, low=r["low"], high=r["high"]) for r in periods]
+        ends = written.groupBy("period").agg(F.min(text).alias("low"), F.max(text).alias("high"), F.count(self.key).alias("n"))
+        periods, now = ends.orderBy("period").collect(), datetime.now()
+        if periods:
+            filters = key_filters(written, self.key, "period", {r["period"]: r["n"] for r in periods})
+            filters.write.parquet(f"{self.root}/keys/load={load}")
+        return [Row(period=r["period"], load=load, loaded_at=now, low=r["low"], high=r["high"], buckets=buckets_for(r["n"])) for r in periods]
 
     def _rows(self, folders: list[Row], schema: T.StructType, *extra: str) -> DataFrame:
         full = T.StructType([*schema, T.StructField("period", T.StringType())])
@@ -202,21 +242,36 @@ class FactTable:
         number = 1 if state is None else state["commit"] + 1
         if batches is None and state is not None:
             batches = state["batches"]
-        listed = [(f["period"], f["load"], f["loaded_at"], f["low"], f["high"]) for f in folders]
-        kinds = f"folders {_FOLDERS}, table_schema string, batches map<string, bigint>"
-        row = self.spark.createDataFrame([(listed, schema.json(), batches)], kinds)
-        row.coalesce(1).write.mode("error").parquet(f"{self.root}/commits/commit={number}")
+        listed = [{**{c: f[c] for c in _PLACE}, "loaded_at": f["loaded_at"].isoformat()} for f in folders]
+        text = json.dumps({"folders": listed, "table_schema": schema.json(), "batches": batches})
+        write_new(self.spark, f"{self.root}/commits/{number:09d}.json", text)
+        self._prune(number)
         return self._rows(folders, schema)
 
+    def _prune(self, newest: int) -> None:
+        """Drop commits that are no longer kept, and the folders that no kept one lists."""
+        numbers = self._commits()
+        dropped = [n for n in numbers if n <= newest - self.keep_commits]
+        if not dropped:
+            return
+        listed, gone = ({(f["load"], f["period"]) for n in kept for f in self._state(n)["folders"]} for kept in ([n for n in numbers if n not in dropped], dropped))
+        for load, period in gone - listed:
+            delete_folder(self.spark, f"{self.root}/data/load={load}/period={period}")
+        for n in dropped:
+            delete_folder(self.spark, f"{self.root}/commits/{n:09d}.json")
+
+    def _commits(self) -> list[int]:
+        """Numbers of the commits, by a listing."""
+        return sorted(int(n.removesuffix(".json")) for n in names_in(self.spark, f"{self.root}/commits") if n.endswith(".json"))
+
+    def _state(self, number: int) -> Row:
+        state = json.loads(read_small(self.spark, f"{self.root}/commits/{number:09d}.json"))
+        folders = [Row(**{**f, "loaded_at": datetime.fromisoformat(f["loaded_at"])}) for f in state["folders"]]
+        return Row(folders=folders, table_schema=state["table_schema"], batches=state["batches"], commit=number)
+
     def _newest(self) -> Row | None:
-        try:
-            commits = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        number = commits.agg(F.max("commit")).first()[0]
-        return None if number is None else commits.filter(F.col("commit") == number).first()
+        number = self.version()
+        return self._state(number) if number else None
 
 
 def _schema(state: Row) -> T.StructType:
