@@ -20,9 +20,10 @@ from kerbside.functions.time import bucket_start, day_label
 from kerbside.operators.asof import asof_join
 from kerbside.operators.bursts import fixed_bursts, sliding_bursts
 from kerbside.operators.dedup import latest_per_key
+from kerbside.operators.inequality import pairs_above
 from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
 from kerbside.plans import anomalies, metrics, quality, report
-from kerbside.plans.models import INTERMEDIATE, MARTS, STAGING, Models, int_bookings, int_sessions, stage
+from kerbside.plans.models import INTERMEDIATE, MARTS, STAGING, Models, int_bookings, int_sessions, stage, valid_amounts
 from kerbside.schemas import RAW_COLUMNS, raw_schema
 from kerbside.session import materialise, scratch_path
 from kerbside.sources.facts import FactTable
@@ -30,6 +31,7 @@ from kerbside.sources.mapping import MAPPED_CATEGORIES, TABLES, daily_rates, raw
 from kerbside.sources.raw import read_raw, read_tables
 from kerbside.sources.sinks import export_closed_months, export_csv, restricted
 from kerbside.streaming.jobs import bursts_from_counts, stream_burst_counts, stream_into_fact
+from kerbside.streaming.stateful import peaks, stream_newest, stream_searches_of_sessions, stream_sliding_peaks
 
 try:  # the operators for training data are a subpackage of their own, which may be absent
     import corpus_pipeline
@@ -224,6 +226,47 @@ def stream_fct_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _booking_stream(spark, sf_dir, [~early, early], 4)
 
 
+_ALL_TIME = "36500 days"  # the tables are read as one backlog: nothing counts as late
+
+
+def stream_burst_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact sliding bursts of a stream, beside the bot mark that the sessions carry."""
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
+    fact = FactTable(spark, scratch_path(spark, "fact"), "burst_key", "block_start", grain="month")
+    checkpoint = scratch_path(spark, "stream-sliding")
+    stream_sliding_peaks(stage(search_events(events), "searches"), fact, checkpoint, threshold=MAPPED_BURST, delay=_ALL_TIME).awaitTermination()
+    return peaks(fact.read())
+
+
+def stream_newest_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later bookings arrive first, in several micro-batches, with every third one a second time after a restart."""
+    raw = raw_tables(spark, sf_dir)
+    partners = materialise(stage(raw["partners"], "partners"), "stream-partners")
+    landing, fact = scratch_path(spark, "landing"), _fact(spark, "booking_id", "booked_at")
+    early = _before("booked_at", BOOKING_CUT)
+    again = raw["bookings"].filter(_number("booking_id") % 3 == 0)
+    for number, arrival in enumerate((raw["bookings"].filter(~early), raw["bookings"].filter(early), again)):
+        arrival.write.parquet(f"{landing}/in/slice={number}")
+        reader = spark.readStream.schema(raw["bookings"].schema).option("maxFilesPerTrigger", 4)
+        staged = stage(reader.parquet(f"{landing}/in/slice=*"), "bookings")
+        known = staged.join(partners.filter("status = 'active'").select("partner_id").distinct(), "partner_id", "left_semi").select(*staged.columns)
+        stream_newest(known, fact, f"{landing}/checkpoint", delay=_ALL_TIME).awaitTermination()
+    return valid_amounts(fact.read())
+
+
+def stream_int_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches and sessions as two streams."""
+    raw, landing = raw_tables(spark, sf_dir), scratch_path(spark, "landing")
+    raw["sessions"].write.parquet(f"{landing}/sessions")
+    sessions = stage(spark.readStream.schema(raw["sessions"].schema).parquet(f"{landing}/sessions"), "sessions")
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
+    searches = stage(search_events(events), "searches")
+    fact = FactTable(spark, scratch_path(spark, "fact"), "search_id", "searched_at", grain="month")
+    newest = lambda rows: latest_per_key(rows, "search_id", "searched_at").select(*searches.columns)
+    stream_searches_of_sessions(searches, sessions, fact, f"{landing}/checkpoint", newest, _ALL_TIME, _ALL_TIME).awaitTermination()
+    return fact.read()
+
+
 def fct_lookback_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load with lookback that brings older versions of stored bookings, and bookings that are late.
 
@@ -271,6 +314,55 @@ def rpt_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.contract_violations(good.withColumn("partner_name", name).unionByName(good.filter("currency = 'BRL'")))
 
 
+def _refresh(spark: SparkSession, sf_dir: str) -> tuple:
+    """Bookings and cancellations loaded in two steps: the second brings late bookings, newer versions and late
+    cancellations, all in every third month. Gives the fact tables and the versions after the first step."""
+    m = _warehouse(spark, sf_dir)
+    third = F.month("booked_at") % 3 == 0
+    late, updated = third & (_number("booking_id") % 10 == 3), third & (_number("booking_id") % 20 == 7)
+    active = m["active_bookings"]
+    older = active.withColumn("status", F.when(updated, F.lit("pending")).otherwise(F.col("status")))
+    older = older.withColumn("booked_at", F.when(updated, F.col("booked_at") - F.expr("interval 1 hour")).otherwise(F.col("booked_at")))
+    bookings = FactTable(spark, scratch_path(spark, "fact"), "booking_id", "booked_at", grain="month", lookback="36500 days")
+    bookings.load(older.filter(~late))
+    in_third = active.filter(third & (_number("booking_id") % 4 == 1)).select("booking_id")
+    cancelled = FactTable(spark, scratch_path(spark, "fact"), "cancellation_id", "cancelled_at", grain="month", lookback="36500 days")
+    cancelled.load(m["int_cancellations"].join(in_third, "booking_id", "left_anti").select(*m["int_cancellations"].columns))
+    return m, bookings, cancelled, active.filter(late | updated), m["int_cancellations"].join(in_third, "booking_id", "left_semi")
+
+
+def rpt_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue report after late, updated and cancelled bookings: only the months these touch are made anew."""
+    m, bookings, cancelled, new_bookings, new_cancelled = _refresh(spark, sf_dir)
+    parts = report.monthly_parts(bookings.read(), cancelled.read())
+    seen = bookings.version(), cancelled.version()
+    bookings.load(new_bookings)
+    cancelled.load(new_cancelled.select(*m["int_cancellations"].columns))
+    months = report.changed_months(bookings.changes(seen[0])).unionByName(report.months_of(bookings.read(), cancelled.changes(seen[1]))).distinct()
+    parts = report.refreshed_parts(parts, bookings, cancelled.read(), months)
+    return report.enforced(report.revenue_by_partner(parts, m["dim_partners"]))
+
+
+def fct_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second load did to the bookings, key by key."""
+    _, bookings, _, new_bookings, _ = _refresh(spark, sf_dir)
+    seen = bookings.version()
+    bookings.load(new_bookings)
+    return bookings.changes(seen).select("booking_id", "status", "booked_at", "change", "was")
+
+
+def fct_random_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings under keys without any order, loaded by halves; the second half brings some stored keys again."""
+    m = _warehouse(spark, sf_dir)
+    keyed = m["int_bookings"].select(F.sha2("booking_id", 256).alias("booking_key"), "booking_id", "booked_at", "status")
+    fact = _fact(spark, "booking_key", "booked_at")
+    early = _before("booked_at", BOOKING_CUT)
+    fact.load(keyed.filter(early))
+    again = early & (_number("booking_id") % 50 == 1)
+    moved = F.when(again, F.lit(MOVED_TO).cast("timestamp_ntz")).otherwise(F.col("booked_at"))
+    return fact.load(fact.pending(keyed.withColumn("booked_at", moved).filter(~early | again)))
+
+
 def fx_revenue(rate_date: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = _warehouse(spark, sf_dir)
@@ -288,6 +380,23 @@ def asof_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(points, tied, "k", "t", "at", "v").select("event_id", F.col("v").alias("latest"))
 
 
+def asof_skewed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lookup with a third of all rows under one key and all times squeezed into a few seconds."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts", "value")
+    k = F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id") % 50).alias("k")
+    squeezed = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (event_id % 4000000) / 1000000.0)")
+    points = events.select("event_id", k, squeezed.alias("t"))
+    errors = events.filter("event_type = 'error'").select(k, squeezed.alias("at"), F.col("value").alias("v"))
+    return asof_join(points, errors, "k", "t", "at", "v").select("event_id", F.col("v").alias("latest"))
+
+
+def lines_above_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many pairs of a line and a cheaper order there are, under three keys that are all hot."""
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 3).alias("k"), "l_extendedprice")
+    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("k"), "o_totalprice")
+    return pairs_above(lines, orders, "k", "l_extendedprice", "o_totalprice").select("k", F.col("pairs").cast("long").alias("pairs"))
+
+
 def fx_fine_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates of ten decimals."""
     m = _warehouse(spark, sf_dir)
@@ -431,7 +540,7 @@ def parquet_marts_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_export_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sorted CSV export of every long session, read back."""
+    """A sorted CSV export of every booking, read back."""
     path, m = scratch_path(spark, "export"), _warehouse(spark, sf_dir)
     export_csv(m["fct_bookings"].select("booking_id", "currency", "status"), path, F.asc("booking_id"))
     return spark.read.schema("booking_id string, currency string, status string").csv(path, header=True)
@@ -490,6 +599,9 @@ def _all() -> dict[str, Query]:
         "fct_bookings_late_rows": fct_bookings_late_rows,
         "fct_bookings_updated_rows": fct_bookings_updated_rows,
         "fct_sessions_incremental": fct_sessions_incremental,
+        "fct_random_keys": fct_random_keys,
+        "fct_changes": fct_changes,
+        "rpt_refreshed": rpt_refreshed,
         "funnel_by_segment": _on_models(lambda m: metrics.funnel_by_segment(*[m[n] for n in funnel_inputs])),
         "funnel_by_segment_confirmed": _on_models(
             lambda m: metrics.funnel_by_segment(*[m[n] for n in funnel_inputs], statuses=("confirmed", "completed"))
@@ -537,6 +649,10 @@ def _all() -> dict[str, Query]:
         "refund_over_total_counted": _on_models(
             lambda m: anomalies.refunds_over_total(m["stg_cancellations"], m["stg_bookings"])
         ),
+        "refund_over_total_by_booking": _on_models(
+            lambda m: anomalies.refunds_over_total_counted(m["stg_cancellations"], m["stg_bookings"]).withColumn("pairs", F.col("pairs").cast("long"))
+        ),
+        "lines_above_orders": lines_above_orders,
         "same_user_day": _on_models(lambda m: anomalies.same_user_day(m["int_bookings"])),
         "dq_not_null": _dq("not_null"),
         "dq_unique": _dq("unique"),
@@ -567,6 +683,7 @@ def _all() -> dict[str, Query]:
         "fx_fine_rates": fx_fine_rates,
         "asof_booking_rate": asof_booking_rate,
         "asof_event_times": asof_event_times,
+        "asof_skewed_times": asof_skewed_times,
         "avg_ticket": _on_models(lambda m: metrics.average_ticket(m["fct_bookings"])),
         "scorecards": _on_models(lambda m: metrics.scorecards(*[m[n] for n in funnel_inputs])),
         "sql_monthly_evolution": sql_monthly_evolution,
@@ -575,6 +692,9 @@ def _all() -> dict[str, Query]:
         "stream_burst": stream_burst,
         "stream_fct_upsert": stream_fct_upsert,
         "stream_fct_unordered": stream_fct_unordered,
+        "stream_burst_sliding": stream_burst_sliding,
+        "stream_newest_bookings": stream_newest_bookings,
+        "stream_int_searches": stream_int_searches,
         "fct_lookback_late": fct_lookback_late,
         "csv_round_trip": csv_round_trip,
         "parquet_marts_read": parquet_marts_read,

@@ -18,6 +18,7 @@ from kerbside.constants import (
 )
 from kerbside.functions.time import hour_boundaries
 from kerbside.operators.bursts import fixed_bursts, sliding_bursts
+from kerbside.operators.inequality import pairs_above
 from kerbside.operators.quantiles import SLICE_VALUES, iqr_upper_outliers
 from kerbside.plans.metrics import revenue_bookings
 from kerbside.session import materialise
@@ -90,11 +91,18 @@ def refunds_over_total(stg_cancellations: DataFrame, stg_bookings: DataFrame) ->
     )
 
 
+def refunds_over_total_counted(stg_cancellations: DataFrame, stg_bookings: DataFrame) -> DataFrame:
+    """Per booking how many pairs of staged rows violate the rule, without listing a pair: (booking_id, pairs)."""
+    return pairs_above(stg_cancellations, stg_bookings, "booking_id", "refund_amount", "total_amount")
+
+
 def refund_over_total_rows(stg_cancellations: DataFrame, stg_bookings: DataFrame) -> DataFrame:
     """The same violations as one row per pair of staged rows, copies included."""
     pairs = refunds_over_total(stg_cancellations, stg_bookings)
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return pairs.withColumn("_copy", each).drop("_copy", "copies")
+    # Many copies become chunks first, so that no row holds an array of all of them.
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(1024).cast("long")))
+    each = F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + 1023, F.col("copies") - 1)))
+    return pairs.withColumn("_from", chunk).withColumn("_copy", each).drop("_from", "_copy", "copies")
 
 
 def same_user_day(bookings: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:

@@ -229,7 +229,7 @@ def singular_findings(models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "click_without_result": anomalies.clicks_without_result(models["int_searches"]),
         "long_sessions": anomalies.long_sessions(models["int_sessions"]),
         "amount_outliers": materialise(anomalies.amount_outliers(models["int_bookings"]), "amount-outliers"),
-        "refund_over_total": anomalies.refunds_over_total(models["stg_cancellations"], models["stg_bookings"]),
+        "refund_over_total": anomalies.refunds_over_total_counted(models["stg_cancellations"], models["stg_bookings"]),
         "same_user_day": anomalies.same_user_day(models["int_bookings"]),
     }
 
@@ -244,7 +244,7 @@ def run_singular(models: Mapping[str, DataFrame], found: Mapping[str, DataFrame]
         "click_without_result": ("int_searches", "partner_id_clicked", models["int_searches"], None),
         "long_sessions": ("int_sessions", "ended_at", models["int_sessions"], None),
         "amount_outliers": ("int_bookings", "total_amount", revenue, None),
-        "refund_over_total": ("stg_cancellations", "refund_amount", models["stg_cancellations"], F.col("copies")),
+        "refund_over_total": ("stg_cancellations", "refund_amount", models["stg_cancellations"], F.col("pairs").cast("long")),
         "same_user_day": ("int_bookings", "user_id", users, None),
     }
     parts = [

@@ -15,6 +15,7 @@ from kerbside.operators.joins import with_presence
 from kerbside.plans.metrics import revenue_bookings, standing_revenue
 from kerbside.schemas import REVENUE_CONTRACT
 from kerbside.session import materialise
+from kerbside.sources.facts import FactTable
 
 
 def monthly_parts(active: DataFrame, cancellations: DataFrame) -> DataFrame:
@@ -69,6 +70,31 @@ def monthly_parts(active: DataFrame, cancellations: DataFrame) -> DataFrame:
     return materialise(parts, "monthly-parts")
 
 
+def changed_months(changes: DataFrame, ts: str = "booked_at") -> DataFrame:
+    """The months (reference_month) that changed bookings lie in now or lay in before, one row each."""
+    months = F.explode(F.array(month_start(ts), month_start("was"))).alias("reference_month")
+    return changes.select(months).filter("reference_month is not null").distinct()
+
+
+def months_of(bookings: DataFrame, booking_ids: DataFrame) -> DataFrame:
+    """The months of the bookings with the given ids, as when cancellations of theirs came or went."""
+    hit = bookings.join(booking_ids.select("booking_id").distinct(), "booking_id", "left_semi")
+    return hit.select(month_start("booked_at").alias("reference_month")).filter("reference_month is not null").distinct()
+
+
+def refreshed_parts(parts: DataFrame, bookings: FactTable, cancellations: DataFrame, months: DataFrame) -> DataFrame:
+    """Monthly parts after a change: those of ``months`` are made anew, from these months' folders alone; the others stay.
+
+    All that a part holds comes from bookings of its own month, so an untouched month cannot change. ``bookings`` is a fact
+    table of active bookings before the amount rule."""
+    months = materialise(months, "touched-months")
+    labels = {r["reference_month"].strftime("%Y-%m") for r in months.collect()}  # one row per month
+    if not labels:
+        return parts
+    again = monthly_parts(bookings.read(months=labels), cancellations)
+    return materialise(parts.join(months, "reference_month", "left_anti").unionByName(again), "monthly-parts")
+
+
 def revenue_by_partner(parts: DataFrame, partners: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The contract report from the monthly parts: one row per partner, month and currency with revenue.
 

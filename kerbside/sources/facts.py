@@ -52,12 +52,14 @@ class FactTable:
     def exists(self) -> bool:
         return self._newest() is not None
 
-    def read(self, since: str | None = None) -> DataFrame:
-        """The current rows; ``since`` (a period label) leaves older periods unread."""
+    def read(self, since: str | None = None, months: set[str] | None = None) -> DataFrame:
+        """The current rows; ``since`` (a period label) leaves older periods unread, ``months`` (as yyyy-MM) all others."""
         state = self._newest()
         if state is None:
             raise FileNotFoundError(f"no committed fact table at {self.root}")
         folders = [f for f in state["folders"] if since is None or f["period"] >= since]
+        if months is not None:
+            folders = [f for f in folders if f["period"][:7] in months]
         return self._rows(folders, _schema(state))
 
     def high_water_mark(self) -> datetime | None:

@@ -592,7 +592,30 @@ FROM (SELECT partner_id, CAST(date_trunc('month', booked_at) AS DATE) AS referen
 ASOF LEFT JOIN (SELECT user_id % 50 AS k, ts AS at, max(value) AS v FROM (
   SELECT user_id, ts, value FROM events WHERE event_type = 'error'
   UNION ALL SELECT user_id, ts, value / 2 FROM events WHERE event_type = 'error') GROUP BY 1, 2) f ON p.k = f.k AND p.t >= f.at""",
+    "asof_skewed_times": """SELECT event_id, v AS latest FROM (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id % 50 END AS k, TIMESTAMP '2024-01-01' + to_microseconds(event_id % 4000000) AS t FROM events) p
+ASOF LEFT JOIN (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id % 50 END AS k, TIMESTAMP '2024-01-01' + to_microseconds(event_id % 4000000) AS at, max(value) AS v
+  FROM events WHERE event_type = 'error' GROUP BY 1, 2) f ON p.k = f.k AND p.t >= f.at""",
+    "lines_above_orders": """WITH l AS (SELECT l_orderkey % 3 AS k, l_extendedprice AS v, 1 AS l, 0 AS r FROM lineitem
+  UNION ALL SELECT o_orderkey % 3, o_totalprice, 0, 1 FROM orders)
+SELECT k, sum(l * below)::BIGINT AS pairs FROM (
+  SELECT k, l, coalesce(sum(r) OVER (PARTITION BY k ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS below FROM l)
+GROUP BY k HAVING sum(l * below) > 0""",
+    "refund_over_total_by_booking": _on(f"SELECT booking_id, {_big('sum(copies)')} AS pairs FROM ({REFUNDS}) GROUP BY booking_id"),
+    "rpt_refreshed": _on("SELECT * FROM revenue", PARTS),
+    "fct_changes": _on(
+        f"""SELECT booking_id, status, booked_at, CASE WHEN {_NUMBER} % 10 = 3 THEN 'inserted' ELSE 'updated' END AS change,
+  CASE WHEN {_NUMBER} % 10 <> 3 THEN booked_at - INTERVAL 1 HOUR END AS was
+FROM active_bookings WHERE month(booked_at) % 3 = 0 AND ({_NUMBER} % 10 = 3 OR {_NUMBER} % 20 = 7)"""
+    ),
+    "fct_random_keys": _on(
+        f"""SELECT sha256(booking_id) AS booking_key, booking_id,
+  CASE WHEN booked_at < TIMESTAMP '{BOOKING_CUT}' AND {_NUMBER} % 50 = 1 THEN TIMESTAMP '{MOVED_TO}' ELSE booked_at END AS booked_at, status FROM int_bookings"""
+    ),
     "stream_fct_unordered": _on("SELECT * FROM int_bookings"),
+    "stream_burst_sliding": _on("SELECT session_id, peak FROM peaks", SLIDING_PEAKS),
+    "stream_newest_bookings": _on("SELECT * FROM int_bookings"),
+    "stream_int_searches": _on("SELECT * FROM int_searches"),
     "fct_lookback_late": _on(
         """SELECT * EXCLUDE (late) REPLACE (CASE WHEN late THEN booked_at - INTERVAL 1 DAY ELSE booked_at END AS booked_at,
     CASE WHEN late THEN 'late' ELSE status END AS status)

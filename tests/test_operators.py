@@ -184,7 +184,7 @@ def test_asof_takes_the_latest_value_at_or_before(spark):
     facts = spark.createDataFrame(rates, "c string, d date, r double")
     asked = [(k, d) for d in days[::7] for k in ("x", "y", "z")] * 2
     left = spark.createDataFrame(asked, "c string, day date")
-    got = {(r["c"], r["day"]): r["r"] for r in asof_join(left, facts, "c", "day", "d", "r", block_days=5).collect()}
+    got = {(r["c"], r["day"]): r["r"] for r in asof_join(left, facts, "c", "day", "d", "r", ranges=5).collect()}
     for k, d in asked:
         known = [(t, v) for c, t, v in rates if c == k and t <= d]
         assert got[k, d] == (max(known)[1] if known else None)
