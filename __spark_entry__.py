@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
+from collections import ChainMap
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -239,15 +241,15 @@ def stream_burst_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_newest_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later bookings arrive first, in several micro-batches, with every third one a second time after a restart."""
+    """Later bookings arrive first; after a restart the early ones come, and every third one a second time."""
     raw = raw_tables(spark, sf_dir)
     partners = materialise(stage(raw["partners"], "partners"), "stream-partners")
     landing, fact = scratch_path(spark, "landing"), _fact(spark, "booking_id", "booked_at")
     early = _before("booked_at", BOOKING_CUT)
     again = raw["bookings"].filter(_number("booking_id") % 3 == 0)
-    for number, arrival in enumerate((raw["bookings"].filter(~early), raw["bookings"].filter(early), again)):
+    for number, arrival in enumerate((raw["bookings"].filter(~early), raw["bookings"].filter(early).unionByName(again))):
         arrival.write.parquet(f"{landing}/in/slice={number}")
-        reader = spark.readStream.schema(raw["bookings"].schema).option("maxFilesPerTrigger", 4)
+        reader = spark.readStream.schema(raw["bookings"].schema)
         staged = stage(reader.parquet(f"{landing}/in/slice=*"), "bookings")
         known = staged.join(partners.filter("status = 'active'").select("partner_id").distinct(), "partner_id", "left_semi").select(*staged.columns)
         stream_newest(known, fact, f"{landing}/checkpoint", delay=_ALL_TIME).awaitTermination()
@@ -445,6 +447,28 @@ def dq_trust_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdict(m, reduce(DataFrame.unionByName, fresh), SUITE, MAPPED_CATEGORIES)
 
 
+def dq_trust_gate_untrusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load noted at one clock and judged at two others, with partners that come twice and fail an error check."""
+    m = _warehouse(spark, sf_dir)
+    fact = FactTable(spark, scratch_path(spark, "fact"), "booking_id", "booked_at", grain="month", clock=lambda: datetime(2024, 3, 1, 6))
+    fact.load(m["fct_bookings"])
+    at = [F.lit(t).cast("timestamp_ntz") for t in ("2024-03-02 05:30:00", "2024-03-02 06:15:00")]
+    fresh = reduce(DataFrame.unionByName, [quality.freshness(fact.loads(), "loaded_at", t) for t in at])
+    twice = m["dim_partners"].unionByName(m["dim_partners"])
+    return quality.verdict(ChainMap({"dim_partners": twice}, _AllModels(m)), fresh, SUITE, MAPPED_CATEGORIES)
+
+
+class _AllModels(dict):
+    """Models as a mapping that makes each when asked for."""
+
+    def __init__(self, models: Models) -> None:
+        super().__init__()
+        self._models = models
+
+    def __missing__(self, name: str) -> DataFrame:
+        return self._models[name]
+
+
 def dq_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _warehouse(spark, sf_dir)
     parts = [quality.null_rates(m[name], name, expected) for name, expected in EXPECTED_NULLS.items()]
@@ -666,6 +690,7 @@ def _all() -> dict[str, Query]:
         "dq_null_rates": dq_null_rates,
         "dq_freshness": dq_freshness,
         "dq_trust_gate": dq_trust_gate,
+        "dq_trust_gate_untrusted": dq_trust_gate_untrusted,
         "profile_duplicates": lambda spark, sf_dir: quality.profile_duplicates(
             raw_tables(spark, sf_dir), quality.RAW_KEYS
         ),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections import Counter
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -28,7 +29,8 @@ class FactTable:
     folders whose key range and Bloom filter meet an arriving key are searched, and only periods that lose a superseded row, or
     have gathered more than ``most_folders`` folders, are rewritten; all others are carried over by name. One job at
     a time may load a table: the commit of a second one fails, since its number is taken. The newest
-    ``keep_commits`` commits stay and can be compared by ``changes``; older ones go, with the folders only they list.
+    ``keep_commits`` commits stay and can be compared by ``changes``; older ones go, with the folders only they list. ``clock`` tells the
+    time that a load notes for the freshness check.
 
     ``lookback`` (an interval such as ``"3 days"``) lets batch loads also admit rows that arrive late.
     """
@@ -43,9 +45,11 @@ class FactTable:
         lookback: str | None = None,
         most_folders: int = 8,
         keep_commits: int = 20,
+        clock: Callable[[], datetime] = datetime.now,
     ):
         self.spark, self.root, self.key, self.ts = spark, root.rstrip("/"), key, ts
         self.lookback, self.most_folders, self.keep_commits = lookback, most_folders, max(1, keep_commits)
+        self.clock = clock
         self.label_format = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}[grain]
 
     # -- reading ------------------------------------------------------------------------------------------------
@@ -223,7 +227,7 @@ class FactTable:
         written = self.spark.read.schema(T.StructType([df.schema[self.key], T.StructField("period", T.StringType())])).parquet(path)
         text = F.col(self.key).cast("string")
         ends = written.groupBy("period").agg(F.min(text).alias("low"), F.max(text).alias("high"), F.count(self.key).alias("n"))
-        periods, now = ends.orderBy("period").collect(), datetime.now()
+        periods, now = ends.orderBy("period").collect(), self.clock()
         if periods:
             filters = key_filters(written, self.key, "period", {r["period"]: r["n"] for r in periods})
             filters.write.parquet(f"{self.root}/keys/load={load}")

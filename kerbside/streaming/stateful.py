@@ -132,6 +132,8 @@ def peaks(blocks: DataFrame) -> DataFrame:
 
 
 def _newest_version(schema: str, columns: list[str], order: list[str], keep_ms: int) -> StatefulProcessor:
+    places = [columns.index(c) for c in order]
+
     class NewestVersion(StatefulProcessor):
         """The newest row of one key so far; a newer one is kept and handed on."""
 
@@ -140,25 +142,31 @@ def _newest_version(schema: str, columns: list[str], order: list[str], keep_ms:
             self.newest = handle.getValueState("newest", schema)
 
         def handleInputRows(self, key, rows, timerValues):
-            stored = pd.DataFrame([self.newest.get()], columns=columns).assign(_new=0) if self.newest.exists() else None
-            best = stored
+            stored = tuple(self.newest.get()) if self.newest.exists() else None
+            best, rank = stored, None if stored is None else self.rank(stored)
             for frame in rows:
-                frame = frame.iloc[:, : len(columns)].set_axis(columns, axis=1).assign(_new=1)
-                frame = frame if best is None else pd.concat([best.astype(object), frame.astype(object)])
-                # As in the batch: greatest first, missing last; of equal rows the stored one, which comes first, stays.
-                best = frame.sort_values(order, ascending=False, na_position="last", kind="stable").head(1)
-            if best is not None and best["_new"].iloc[0] == 1:
-                row = tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in (best[c].iloc[0] for c in columns))
-                self.newest.update(row)
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-                at = row[-1]
-                if at is not None:
-                    self.handle.registerTimer(int(at) + keep_ms)
-                yield pd.DataFrame([row], columns=columns)
+                for row in frame.iloc[:, : len(columns)].itertuples(index=False, name=None):
+                    own = self.rank(row)
+                    if rank is None or own > rank:
+                        best, rank = row, own
+            if best is not stored:
+                best = tuple(None if v is None or v != v else v for v in best)
+                self.newest.update(best)
+                if stored is None and best[-1] is not None:
+                    self.handle.registerTimer(int(best[-1]) + keep_ms)
+                yield pd.DataFrame([best], columns=columns)
+
+        def rank(self, row) -> tuple:
+            """As in the batch: the greatest first, missing values last; of equal rows the stored one stays."""
+            return tuple((False,) if row[i] is None or row[i] != row[i] else (True, row[i]) for i in places)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            self.newest.clear()
+            # One timer for a key: it moves on if a newer version came meanwhile.
+            until = int(self.newest.get()[-1]) + keep_ms if self.newest.exists() else 0
+            if until > expiredTimerInfo.getExpiryTimeInMs():
+                self.handle.registerTimer(until)
+            else:
+                self.newest.clear()
             return iter(())
 
         def close(self) -> None:

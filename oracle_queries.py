@@ -438,7 +438,7 @@ rates AS (SELECT currency, rate_date, round(coarse / 97, 10) AS rate FROM coarse
 def _fx(day: str, rates: str = RATES_TABLE) -> str:
     return _on(
         """SELECT reference_month, CAST(sum(n) AS BIGINT) AS booking_count,
-  round(coalesce(sum(amount * rate), 0), 2) AS receita_total_brl,
+  CAST(round(coalesce(sum(CAST(amount AS DECIMAL(22,2)) * CAST(rate AS DECIMAL(16,10))), 0), 2) AS DOUBLE) AS receita_total_brl,
   CAST(coalesce(sum(n) FILTER (WHERE rate IS NULL), 0) AS BIGINT) AS unconverted_bookings
 FROM (SELECT d.*, r.rate FROM daily d ASOF LEFT JOIN rates r ON d.currency = r.currency AND d.rate_day >= r.rate_date)
 GROUP BY reference_month""",
@@ -527,6 +527,12 @@ FROM (SELECT (SELECT count(*) FROM ({SUITE_SQL}) WHERE status = 'error') AS fail
   (SELECT count(*) FROM ({ALERTS}) WHERE breached) AS breached_limits), (VALUES (0), (30)) AS v(hours)""",
         IQR_BASE,
     ),
+    "dq_trust_gate_untrusted": _on(
+        f"""SELECT hours <= 24 AS fresh, failed_errors, breached_limits, hours <= 24 AND failed_errors = 0 AND breached_limits = 0 AS trusted
+FROM (SELECT (SELECT count(*) FROM ({SUITE_SQL}) WHERE status = 'error') AS failed_errors,
+  (SELECT count(*) FROM ({ALERTS}) WHERE breached) AS breached_limits), (VALUES (23.5), (24.25)) AS v(hours)""",
+        IQR_BASE,
+    ).replace("dim_partners AS (SELECT * FROM int_partners)", "dim_partners AS (SELECT * FROM int_partners UNION ALL SELECT * FROM int_partners)"),
     "profile_duplicates": _on(
         "\nUNION ALL ".join(
             _profile(t, k)
