@@ -6,11 +6,25 @@ two small softmaxes in place of one over the vocabulary.
 
 from __future__ import annotations
 
+import ctypes
+from functools import cache
+from pathlib import Path
+
 import numpy as np
 
 Parameters = dict[str, np.ndarray]
 
 
+@cache
+def one_thread() -> None:
+    """Keep numpy's products in the calling thread: a task has one core, and a second thread only waits for the first."""
+    for path in Path(np.__file__).parent.with_name("numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("openblas_set_num_threads", "openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "scipy_openblas_set_num_threads64_"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def initial(frequency: np.ndarray, hidden: int, per_class: int, seed: int = 0) -> Parameters:
     """Small random weights; the output biases alone give each word its frequency."""
     size, rng = len(frequency), np.random.default_rng(seed)
@@ -140,20 +154,21 @@ class Trainer:
         self._lanes, self._steps, self._rate, self.updates, self.tokens = lanes, steps, rate, 0, 0
 
     def learn(self, documents: list[np.ndarray], end: int) -> None:
-        """One pass over documents, each a sequence of ids that ends with ``end``."""
+        """One pass over documents, each a sequence of ids that ends with ``end``; every token is learnt."""
+        one_thread()
         stream = np.concatenate(documents)
         starts = np.zeros(len(stream), np.float32)
         starts[np.concatenate(([0], np.cumsum([len(d) for d in documents[:-1]], dtype=np.int64)))] = 1
         before = np.concatenate(([end], stream[:-1]))
         before[starts == 1] = end
         lanes = min(self._lanes, max(1, len(stream) // self._steps))
-        length = len(stream) // lanes
-        cut = lambda x: x[: lanes * length].reshape(lanes, length).T
-        ids, targets, fresh = cut(before), cut(stream), cut(starts).copy()
+        length, longer = divmod(len(stream), lanes)  # the first lanes have one token more
+        first = np.arange(lanes) * length + np.minimum(np.arange(lanes), longer)
         state = np.zeros((lanes, self.p["u"].shape[0]), np.float32)
-        for at in range(0, length, self._steps):
-            window = slice(at, at + self._steps)
-            g, state = gradients(self.p, ids[window], targets[window], fresh[window], state)
+        windows = [(at, min(self._steps, length - at), lanes) for at in range(0, length, self._steps)]
+        for at, steps, busy in [*windows, *([(length, 1, longer)] if longer else [])]:
+            at = first[:busy] + np.arange(at, at + steps)[:, None]
+            g, state = gradients(self.p, before[at], stream[at], starts[at], state[:busy])
             self._step(g)
         self.tokens += len(stream)
 
@@ -180,7 +195,9 @@ class Trainer:
 
 def score(p: Parameters, documents: list[np.ndarray], end: int, lanes: int = 128, steps: int = 64) -> np.ndarray:
     """Natural log-likelihood of each whole document. Documents are laid out in lanes of like length, one after the other;
-    the state runs on over windows within a document and starts anew with the next."""
+    the state runs on over windows within a document and starts anew with the next. Besides the ids, only a window of
+    ``steps`` tokens a lane is held, however long a document is."""
+    one_thread()
     out = np.zeros(len(documents))
     if not documents:
         return out
@@ -192,25 +209,24 @@ def score(p: Parameters, documents: list[np.ndarray], end: int, lanes: int = 128
         queues[lane].append(i)
         load[lane] += sizes[i]
     order = np.argsort(-load, kind="stable")
-    load, queues = load[order], [queues[i] for i in order]
-    length = int(load[0])
-    targets, owner = np.full((length, lanes), end, np.int64), np.zeros((length, lanes), np.int64)
-    before, fresh = np.full((length, lanes), end, np.int64), np.zeros((length, lanes), np.float32)
-    for lane, queue in enumerate(queues):
-        at = 0
-        for i in queue:
-            n = sizes[i]
-            targets[at : at + n, lane], owner[at : at + n, lane] = documents[i], i
-            before[at + 1 : at + n, lane] = documents[i][:-1]
-            fresh[at, lane] = 1
-            at += n
+    load, placed = load[order], np.asarray([i for lane in order for i in queues[lane]])
+    # Lanes lie behind each other; a window takes the same stretch of each.
+    stream = np.concatenate([documents[i] for i in placed])
+    owner = np.repeat(placed, sizes[placed])
+    fresh = np.zeros(len(stream), np.float32)
+    fresh[np.cumsum(sizes[placed]) - sizes[placed]] = 1
+    first = np.cumsum(load) - load
     table = p["embed"] @ p["w"] + p["b"]
     state = np.zeros((lanes, p["u"].shape[0]), np.float32)
-    for at in range(0, length, steps):
+    for at in range(0, int(load[0]), steps):
         busy = int((load > at).sum())  # lanes are sorted by load
-        window = slice(at, min(at + steps, length))
-        h, state, _ = states(p, before[window, :busy], fresh[window, :busy], state[:busy], table=table)
-        inside = (np.arange(at, window.stop)[:, None] < load[None, :busy]).reshape(-1)
-        logs = log_probabilities(p, h.reshape(-1, h.shape[-1])[inside], targets[window, :busy].reshape(-1)[inside])
-        out += np.bincount(owner[window, :busy].reshape(-1)[inside], logs, len(documents))
+        place = np.arange(at, min(at + steps, int(load[0])))[:, None]
+        inside = (place < load[:busy]).reshape(-1)
+        place = np.minimum(first[:busy] + place, len(stream) - 1)
+        anew = fresh[place]
+        before = np.where(anew == 1, end, stream[place - 1])
+        h, state, _ = states(p, before, anew, state[:busy], table=table)
+        place = place.reshape(-1)[inside]
+        logs = log_probabilities(p, h.reshape(-1, h.shape[-1])[inside], stream[place])
+        out += np.bincount(owner[place], logs, len(documents))
     return out

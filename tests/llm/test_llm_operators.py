@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -517,13 +518,85 @@ def test_lm_scores(spark, rows):
 def test_language_model_learns_from_every_training_row(spark, rows, monkeypatch):
     seen, train = Counter(), crc32_mod("doc_id") != 1
 
-    def spy(docs, words, p):
-        seen.update((r["doc_id"], r["text"]) for r in docs.collect())
+    def spy(encoded, words, p):
+        seen.update((r["doc_id"], tuple(r["ids"])) for r in encoded.collect())
+        spied.append(words)
         return p
 
+    spied = []
     monkeypatch.setattr(lm_scoring, "_train_round", spy)
     lm_scoring.lm_scores(table(spark, rows), train)
-    assert seen == Counter((i, t) for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1)
+    encode = lambda t: tuple(spied[0].encode([w.encode() for w in lower_words(t)]))
+    assert len(spied) == 8
+    assert seen == Counter((i, encode(t)) for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1)
+
+
+@pytest.mark.parametrize("sizes", [[1], [31, 2], [700, 1, 64], [2111], [5000, 3, 90]])
+def test_language_model_learns_from_every_token(monkeypatch, sizes):
+    learnt, plain = [], lm.gradients
+    rng = np.random.default_rng(5)
+    texts = [np.append(rng.integers(1, 9, n - 1), 0) for n in sizes]
+
+    def spy(p, ids, targets, fresh, state):
+        assert ids.shape == targets.shape == fresh.shape and ids.shape[1] == len(state)
+        learnt.extend(zip(ids.ravel().tolist(), targets.ravel().tolist(), fresh.ravel().tolist(), strict=True))
+        return plain(p, ids, targets, fresh, state)
+
+    monkeypatch.setattr(lm, "gradients", spy)
+    trainer = lm.Trainer(lm.initial(np.arange(1.0, 10.0), 3, 3))
+    trainer.learn(texts, 0)
+    pairs = [(b, w, float(i == 0)) for t in texts for i, (b, w) in enumerate(zip([0, *t[:-1].tolist()], t.tolist(), strict=True))]
+    assert Counter(learnt) == Counter(pairs) and trainer.tokens == sum(sizes)
+
+
+def plain_score(p, ids):
+    """The model's definition, one token at a time."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    n, per_class = p["u"].shape[0], p["word_b"].shape[1]
+    h, before, total = np.zeros(n), 0, 0.0
+    for token in ids:
+        x, a = p["embed"][before] @ p["w"] + p["b"], h @ p["u"]
+        z, r = sigmoid(x[:n] + a[:n]), sigmoid(x[n : 2 * n] + a[n : 2 * n])
+        h = z * h + (1 - z) * np.tanh(x[2 * n :] + r * a[2 * n :])
+        c, w = divmod(int(token), per_class)
+        total += np.log(softmax(h @ p["class_w"] + p["class_b"])[c]) + np.log(softmax(h @ p["word_w"][c] + p["word_b"][c])[w])
+        before = token
+    return total
+
+
+def test_scores_of_held_out_texts_equal_a_plain_loop_and_beat_the_untrained_model():
+    rng = np.random.default_rng(6)
+    step = np.array([3, 7, 1, 5, 2, 8, 4, 9, 6, 10, 0])  # each word is mostly followed by one other
+
+    def text(n):
+        out = [int(rng.integers(1, 11))]
+        while len(out) < n:
+            out.append(int(step[out[-1]]) if rng.random() < 0.9 else int(rng.integers(1, 11)))
+        return np.array([*out, 0])
+
+    start = lm.initial(np.ones(11), 8, 4)
+    trainer = lm.Trainer(start)
+    for _ in range(40):
+        trainer.learn([text(int(n)) for n in rng.integers(5, 300, 60)], 0)
+    held_out = [text(int(n)) for n in (1, 2, 40, 63, 64, 65, 400)]
+    got = lm.score(trainer.p, held_out, 0, lanes=3)
+    assert np.allclose(got, [plain_score(trainer.p, t) for t in held_out], rtol=1e-4, atol=1e-3)
+    assert got.sum() > lm.score(start, held_out, 0).sum() * 0.8
+
+
+def test_a_very_long_text_is_scored_in_windows():
+    rng = np.random.default_rng(7)
+    p = lm.initial(np.arange(1.0, 12.0), 4, 4)
+    texts = [rng.integers(0, 11, n) for n in (300_000, *rng.integers(1, 60, 300))]
+    tracemalloc.start()
+    got = lm.score(p, texts, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20  # a matrix of the longest text by 128 lanes takes 300 MB
+    assert np.allclose(got[1:], lm.score(p, texts[1:], 0), atol=1e-2)
+    assert np.isclose(got[0], lm.score(p, texts[:1], 0)[0], rtol=1e-4)
 
 
 def test_surrogates_are_permutations():
