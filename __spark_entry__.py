@@ -18,13 +18,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from kerbside.constants import CURRENCIES, IQR_FACTOR
 from kerbside.functions.numeric import sums_by_value
 from kerbside.functions.sql import register_functions
-from kerbside.functions.time import bucket_start, day_label
+from kerbside.functions.time import bucket_start, day_label, month_label
 from kerbside.operators.asof import asof_join
 from kerbside.operators.bursts import fixed_bursts, sliding_bursts
 from kerbside.operators.dedup import latest_per_key
+from kerbside.operators.distinct import distinct_counts, key_bitmaps, numbered
 from kerbside.operators.inequality import pairs_above
 from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
+from kerbside.operators.sketches import SIZE, rank_distance, rank_error, sketched_quantiles, value_sketches
 from kerbside.plans import anomalies, metrics, quality, report
+from kerbside.plans.check_states import CheckStates
 from kerbside.plans.models import INTERMEDIATE, MARTS, STAGING, Models, int_bookings, int_sessions, stage, valid_amounts
 from kerbside.schemas import RAW_COLUMNS, raw_schema
 from kerbside.session import materialise, scratch_path
@@ -582,6 +585,45 @@ def month_close_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("partner_id", "currency", F.col("booking_count").cast("long").alias("booking_count"), "reference_month")
 
 
+def _session_bitmaps(m: Models) -> DataFrame:
+    """Bitmaps of the funnel's sessions from two loads, days before the middle one and the others; the second load numbers
+    its new sessions only."""
+    activity = materialise(metrics.funnel_activity(*[m[n] for n in ("int_sessions", "int_searches", "fct_bookings", "int_cancellations")]), "funnel-days")
+    middle = activity.agg(F.expr("date_add(min(dia), CAST(datediff(max(dia), min(dia)) / 2 AS INT))")).first()[0]
+    early = F.coalesce(F.col("dia") < F.lit(middle), F.lit(False))
+    numbers, loads = None, []
+    for rows in (activity.filter(early), activity.filter(~early)):
+        numbers = numbered(rows, "session_id", "dia", numbers)
+        loads.append(materialise(key_bitmaps(rows, metrics.FUNNEL_GROUPS, "session_id", numbers), "session-bitmaps"))
+    return reduce(DataFrame.unionByName, loads)
+
+
+def _active_by_month(m: Models) -> DataFrame:
+    months = _session_bitmaps(m).withColumn("mes", month_label("dia"))
+    return distinct_counts(months, ("mes", "etapa"), "sessoes")
+
+
+def _sketched_amounts(m: Models) -> DataFrame:
+    """Quartiles per category from summaries of months, with whether their ranks, counted exactly, lie within the stated
+    error; twice that error leaves room for the one case in a hundred."""
+    base = anomalies.amounts_by_category(m["int_bookings"]).withColumn("mes", month_label("booked_at"))
+    months = materialise(value_sketches(base, ("car_category", "mes"), "total_amount"), "month-sketches")
+    quartiles = materialise(sketched_quantiles(months, ("car_category",), (0.25, 0.75)), "quartiles")
+    far = rank_distance(base, "car_category", "total_amount", quartiles, (0.25, 0.75))
+    return far.join(quartiles.select("car_category", F.col("n").alias("summarised")), "car_category").select(
+        "car_category", "n", "summarised", *[(F.col(f"d_{i}") <= 2 * rank_error(SIZE)).alias(f"q{q}_within") for i, q in ((0, 1), (1, 3))]
+    )
+
+
+def dq_suite_by_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite from three loads of every table, one of them judged twice."""
+    m, states = _warehouse(spark, sf_dir), CheckStates(spark, scratch_path(spark, "check-states"), SUITE)
+    names = {name for c in SUITE for name in (c.model, c.parent) if name}
+    for load in (0, 1, 2, 1):
+        states.judge(f"load {load}", {n: m[n].filter(F.pmod(F.xxhash64(m[n].columns[0]), F.lit(3)) == load) for n in names})
+    return states.results().unionByName(quality.run_singular(m))
+
+
 def event_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed_bursts(table(spark, sf_dir, "events"), "user_id", "ts", 7 * 86400, 1)
 
@@ -631,6 +673,8 @@ def _all() -> dict[str, Query]:
             lambda m: metrics.funnel_by_segment(*[m[n] for n in funnel_inputs], statuses=("confirmed", "completed"))
         ),
         "funnel_stages_long": _on_models(lambda m: metrics.funnel_stages(*[m[n] for n in funnel_inputs])),
+        "funnel_from_bitmaps": _on_models(lambda m: metrics.funnel_from_bitmaps(_session_bitmaps(m))),
+        "sessions_active_by_month": _on_models(_active_by_month),
         "top_partners_90d": _on_models(
             lambda m: metrics.top_partners(m["fct_bookings"], m["int_cancellations"], m["dim_partners"])
         ),
@@ -667,6 +711,7 @@ def _all() -> dict[str, Query]:
         "amount_outliers_iqr": _on_models(
             lambda m: _six_digits(anomalies.amount_outliers(m["int_bookings"]), "limite_superior")
         ),
+        "amount_quartiles_sketched": _on_models(_sketched_amounts),
         "refund_over_total": _on_models(
             lambda m: anomalies.refund_over_total_rows(m["stg_cancellations"], m["stg_bookings"])
         ),
@@ -685,6 +730,7 @@ def _all() -> dict[str, Query]:
         "dq_between": _dq("between"),
         "dq_pair_greater": _dq("pair_greater"),
         "dq_suite": _on_models(lambda m: quality.run_suite(m, SUITE)),
+        "dq_suite_by_loads": dq_suite_by_loads,
         "dq_extended": _on_models(lambda m: quality.run_checks(m, quality.EXTENDED_SUITE)),
         "dq_thresholds": _on_models(_alerts),
         "dq_null_rates": dq_null_rates,

@@ -121,14 +121,21 @@ def _narrow(counts: DataFrame, slices: DataFrame, bins: int) -> DataFrame:
 
 
 def iqr_upper_outliers(
-    df: DataFrame, group: str, value: str, factor: float, limit_name: str, slice_values: int = SLICE_VALUES
+    df: DataFrame,
+    group: str,
+    value: str,
+    factor: float,
+    limit_name: str,
+    slice_values: int = SLICE_VALUES,
+    quartiles: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose value lies above ``q3 + factor * (q3 - q1)`` of their group, with that limit.
 
     Rows without a group form one. The limits, one row per group, are written once; their true size decides whether
-    the join broadcasts them.
+    the join broadcasts them. ``quartiles`` (group, q_0, q_1) takes the place of the exact ones, for instance from summaries.
     """
-    quartiles = exact_quantiles(df, group, value, (0.25, 0.75), slice_values)
+    if quartiles is None:
+        quartiles = exact_quantiles(df, group, value, (0.25, 0.75), slice_values)
     limit = F.col("q_1") + F.lit(factor) * (F.col("q_1") - F.col("q_0"))
     limits = materialise(quartiles.select(F.col(group).alias("_group"), limit.alias(limit_name)), "iqr-limits")
     above = df.join(limits, df[group].eqNullSafe(limits["_group"])).drop("_group")

@@ -64,12 +64,19 @@ def long_sessions(sessions: DataFrame, hours: int = LONG_SESSION_HOURS) -> DataF
     )
 
 
-def amount_outliers(bookings: DataFrame, factor: float = IQR_FACTOR, slice_values: int = SLICE_VALUES) -> DataFrame:
-    """Revenue bookings far above the interquartile range of their category; no category is a category too."""
-    base = revenue_bookings(bookings).filter(F.col("total_amount") > 0).select(
-        "booking_id", F.coalesce("car_category", F.lit(NULL_CATEGORY_LABEL)).alias("car_category"), "total_amount"
-    )
-    found = iqr_upper_outliers(base, "car_category", "total_amount", factor, "limite_superior", slice_values)
+def amounts_by_category(bookings: DataFrame) -> DataFrame:
+    """Revenue bookings with a positive amount; no category is a category too."""
+    category = F.coalesce("car_category", F.lit(NULL_CATEGORY_LABEL))
+    return revenue_bookings(bookings).filter(F.col("total_amount") > 0).withColumn("car_category", category)
+
+
+def amount_outliers(
+    bookings: DataFrame, factor: float = IQR_FACTOR, slice_values: int = SLICE_VALUES, quartiles: DataFrame | None = None
+) -> DataFrame:
+    """Revenue bookings far above the interquartile range of their category. ``quartiles`` (car_category, q_0, q_1), for
+    instance from summaries of earlier loads, take the place of exact ones."""
+    base = amounts_by_category(bookings).select("booking_id", "car_category", "total_amount")
+    found = iqr_upper_outliers(base, "car_category", "total_amount", factor, "limite_superior", slice_values, quartiles)
     return found.select("booking_id", "car_category", "total_amount", "limite_superior")
 
 

@@ -19,6 +19,7 @@ from kerbside.constants import (
 from kerbside.functions.numeric import money, ratio_pct, round2, sums_by_value
 from kerbside.functions.text import blank_as
 from kerbside.functions.time import month_label
+from kerbside.operators.distinct import distinct_counts
 from kerbside.operators.joins import not_in, with_presence
 from kerbside.operators.periods import ordered, trailing_period
 from kerbside.operators.sigma import with_sigma_limits
@@ -63,6 +64,10 @@ def funnel_by_segment(
         F.count_if("searched").alias("sessoes_com_busca"),
         F.count_if("booked").alias("sessoes_com_reserva"),
     )
+    return _funnel_rates(counts)
+
+
+def _funnel_rates(counts: DataFrame) -> DataFrame:
     rates = counts.withColumns(
         {
             "taxa_sessao_para_busca_pct": round2(ratio_pct("sessoes_com_busca", "total_sessoes")),
@@ -73,6 +78,33 @@ def funnel_by_segment(
     return ordered(rates, F.desc_nulls_last("total_sessoes"), F.asc("pais"), F.asc("dispositivo"))
 
 
+def funnel_activity(sessions: DataFrame, searches: DataFrame, bookings: DataFrame, cancellations: DataFrame) -> DataFrame:
+    """(pais, dispositivo, etapa, dia, session_id): on which days each session started, searched, or made a standing booking.
+
+    Days of a session are made distinct before they meet the unique sessions, so a busy session is a row per day.
+    """
+    people = sessions.select(
+        F.col("session_id").alias("_session"), blank_as("country", UNKNOWN_LABEL).alias("pais"), blank_as("device", UNKNOWN_LABEL).alias("dispositivo")
+    )
+    days = None
+    standing = not_in(bookings, cancellations, "booking_id")
+    for stage, (rows, ts) in zip(FUNNEL_STAGES, ((sessions, "started_at"), (searches, "searched_at"), (standing, "booked_at")), strict=True):
+        own = rows.select("session_id", F.lit(stage).alias("etapa"), F.col(ts).cast("date").alias("dia"))
+        days = own if days is None else days.unionByName(own)
+    return days.distinct().join(people, F.col("session_id") == F.col("_session")).drop("_session")
+
+
+FUNNEL_GROUPS = ("pais", "dispositivo", "etapa", "dia")
+
+
+def funnel_from_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """``funnel_by_segment`` from bitmaps of sessions by ``FUNNEL_GROUPS``, of any days and loads."""
+    counts = distinct_counts(bitmaps, ("pais", "dispositivo", "etapa"), "sessoes")
+    names = ("total_sessoes", "sessoes_com_busca", "sessoes_com_reserva")
+    sums = [F.coalesce(F.sum(F.when(F.col("etapa") == stage, F.col("sessoes"))), F.lit(0)).alias(name) for stage, name in zip(FUNNEL_STAGES, names, strict=True)]
+    return _funnel_rates(counts.groupBy("pais", "dispositivo").agg(*sums))
+
+
 def funnel_stages(
     sessions: DataFrame,
     searches: DataFrame,

@@ -137,16 +137,17 @@ def _labels(check: Check) -> str:
     return ", ".join(f"'{name}', {_text(value)}" for name, value in named.items())
 
 
-def _counted_values(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def counted_values(models: Mapping[str, DataFrame], checks: Sequence[Check], partly: bool = False) -> DataFrame:
     """(id, value, n, known): how often each value that a check judges occurs, in one pass per table and one shuffle.
 
     Every row contributes one (check, value) pair per check of its table; the value of a row-level check is whether the
     row fails it. A parent table of a relationship marks its values as known in the same pass. Pairs are counted before
-    the shuffle, so a dominant value, and each row-level check, is a row or two per task.
+    the shuffle, so a dominant value, and each row-level check, is a row or two per task. With ``partly`` tables that
+    ``models`` does not hold are left out.
     """
     pairs = []
     tables = [*(c.model for c in checks), *(c.parent for c in checks if c.kind == "relationships")]
-    for model in dict.fromkeys(tables):
+    for model in dict.fromkeys(t for t in tables if not partly or t in models):
         own = []
         for i, c in enumerate(checks):
             if c.model == model:
@@ -190,7 +191,11 @@ def _judge(results: DataFrame) -> DataFrame:
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = SUITE) -> DataFrame:
     """One row per check. Each table is read once for all its checks, and all checks share one shuffle."""
     checks = tuple(checks)
-    counts = _counted_values(models, checks)
+    return evaluated(counted_values(models, checks), checks)
+
+
+def evaluated(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The results of the checks from their counted values, each (id, value) one row."""
     rules = " ".join(f"WHEN id = {i} THEN {_breaks(c)}" for i, c in enumerate(checks))
     bad = F.expr(f"value IS NOT NULL AND n > 0 AND CASE {rules} END")
     found = counts.groupBy("id").agg(

@@ -489,6 +489,15 @@ ORACLES: dict[str, str] = {
     "stream_burst": _on("SELECT session_id, peak AS pico_buscas_5min FROM peaks", FIXED_PEAKS),
     "funnel_by_segment": _on(FUNNEL, _flags()),
     "funnel_by_segment_confirmed": _on(FUNNEL, _flags("AND status IN ('confirmed', 'completed')")),
+    "funnel_from_bitmaps": _on(FUNNEL, _flags()),
+    "sessions_active_by_month": _on(
+        """SELECT mes, etapa, count(DISTINCT session_id) AS sessoes FROM (
+  SELECT session_id, strftime(started_at, '%Y-%m') AS mes, 'Sessões' AS etapa FROM int_sessions
+  UNION ALL SELECT session_id, strftime(searched_at, '%Y-%m'), 'Buscas' FROM int_searches
+  UNION ALL SELECT session_id, strftime(booked_at, '%Y-%m'), 'Reservas' FROM fct_bookings b
+  WHERE NOT EXISTS (SELECT 1 FROM int_cancellations c WHERE c.booking_id = b.booking_id))
+WHERE session_id IN (SELECT session_id FROM int_sessions) GROUP BY ALL"""
+    ),
     "funnel_stages_long": _on(STAGES, _flags()),
     "top_partners_90d": _on(
         f"""SELECT partner_name AS parceiro, quantidade_reservas, total_brl, total_usd, total_ars, total_clp, total_cop
@@ -509,6 +518,10 @@ JOIN dim_partners USING (partner_id) ORDER BY quantidade_reservas DESC, total_br
     "click_without_result": _on(CLICKS),
     "long_sessions": _on(LONG),
     "amount_outliers_iqr": _on(IQR, IQR_BASE),
+    "amount_quartiles_sketched": _on(
+        """SELECT car_category, count(*) AS n, count(*) AS summarised, true AS q1_within, true AS q3_within
+FROM iqr_base GROUP BY car_category""", IQR_BASE
+    ),
     "refund_over_total": _on(
         """SELECT c.cancellation_id, c.booking_id, c.refund_amount, b.total_amount
 FROM stg_cancellations c JOIN stg_bookings b ON c.booking_id = b.booking_id WHERE c.refund_amount > b.total_amount"""
@@ -517,6 +530,7 @@ FROM stg_cancellations c JOIN stg_bookings b ON c.booking_id = b.booking_id WHER
     "same_user_day": _on(USER_DAYS),
     **{f"dq_{kind}": _on("\nUNION ALL ".join(checks)) for kind, checks in DQ.items()},
     "dq_suite": _on(SUITE_SQL, IQR_BASE),
+    "dq_suite_by_loads": _on(SUITE_SQL, IQR_BASE),
     "dq_extended": _on(EXTENDED_SQL),
     "dq_thresholds": _on(ALERTS, IQR_BASE),
     "dq_null_rates": _on(NULL_RATES),
