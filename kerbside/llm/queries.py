@@ -33,7 +33,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_read(spark, sf_dir, "documents"))
+    out = quality_rules(_read(spark, sf_dir, "documents"))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return out.select(*first, *[c for c in out.columns if c not in first])
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,3 +279,10 @@ def test_registered_queries(spark, name):
             counts = [sum(s[0] == k for s in base) for k in BASE]
             want.append((i, *counts, hashlib.sha256(listed_base.encode()).hexdigest(), ",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
         assert rows == sorted(want, key=str)
+
+
+def test_the_columns_of_op1_come_in_order(spark):
+    out = QUERIES["op1_quality_rules"](spark, "/root/testdata/sf0.001")
+    longs = [(c, "bigint") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    assert out.dtypes[:8] == [("doc_id", "bigint"), *longs, ("base_failed", "boolean"), ("kept", "boolean")]
+    assert {"n_lines", "n_stop_words"} <= set(out.columns[8:])
