@@ -28,12 +28,13 @@ from kerbside.operators.quantiles import exact_quantiles, iqr_upper_outliers
 from kerbside.operators.sketches import SIZE, rank_distance, rank_error, sketched_quantiles, value_sketches
 from kerbside.plans import anomalies, metrics, quality, report
 from kerbside.plans.check_states import CheckStates
+from kerbside.plans.exports import EXPORTS, export_results
 from kerbside.plans.models import INTERMEDIATE, MARTS, STAGING, Models, int_bookings, int_sessions, stage, valid_amounts
 from kerbside.schemas import RAW_COLUMNS, raw_schema
 from kerbside.session import materialise, scratch_path
 from kerbside.sources.facts import FactTable
 from kerbside.sources.mapping import MAPPED_CATEGORIES, TABLES, daily_rates, raw_tables, search_events, table
-from kerbside.sources.raw import read_raw, read_tables
+from kerbside.sources.raw import read_csv, read_tables
 from kerbside.sources.sinks import export_closed_months, export_csv, restricted
 from kerbside.streaming.jobs import bursts_from_counts, stream_burst_counts, stream_into_fact
 from kerbside.streaming.stateful import peaks, stream_newest, stream_searches_of_sessions, stream_sliding_peaks
@@ -547,13 +548,28 @@ def quantiles_infinite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- sources and sinks ----------------------------------------------------------------------------------------
-def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw tables written as CSV, read with their declared schemas and staged: bookings."""
-    folder, raw = scratch_path(spark, "raw-csv"), raw_tables(spark, sf_dir)
-    for name in RAW_COLUMNS:
-        writer = raw[name].select(*raw_schema(name).names).write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        writer.csv(f"{folder}/raw_{name}.csv", header=True)
-    return _models_of(read_raw(spark, folder))["stg_bookings"]
+def csv_round_trip(name: str) -> Query:
+    """A raw table written as CSV, read with its declared schema and staged."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, raw = scratch_path(spark, "raw-csv"), raw_tables(spark, sf_dir)[name]
+        writer = raw.select(*raw_schema(name).names).write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        # Blanks stay, so that a blank value does not come back as null.
+        writer.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        return stage(read_csv(spark, path, name), name)
+
+    return query
+
+
+def exported(name: str) -> Query:
+    """A reader export written as CSV and read back with the types of its result."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, m = scratch_path(spark, "exports"), _warehouse(spark, sf_dir)
+        export_results(m, folder, [name])
+        return spark.read.schema(EXPORTS[name](m).schema).csv(f"{folder}/{name}", header=True, mode="FAILFAST")
+
+    return query
 
 
 def parquet_marts_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -767,7 +783,9 @@ def _all() -> dict[str, Query]:
         "stream_newest_bookings": stream_newest_bookings,
         "stream_int_searches": stream_int_searches,
         "fct_lookback_late": fct_lookback_late,
-        "csv_round_trip": csv_round_trip,
+        "csv_round_trip": csv_round_trip("bookings"),
+        **{f"csv_round_trip_{t}": csv_round_trip(t) for t in RAW_COLUMNS if t != "bookings"},
+        **{f"export_{name}": exported(name) for name in EXPORTS if name != "search_bursts"},  # no session is over its limit
         "parquet_marts_read": parquet_marts_read,
         "csv_export_uncapped": csv_export_uncapped,
         "month_close_export": month_close_export,

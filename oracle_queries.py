@@ -642,6 +642,7 @@ FROM active_bookings WHERE month(booked_at) % 3 = 0 AND ({_NUMBER} % 10 = 3 OR {
 FROM (SELECT *, CAST(substr(booking_id, 4) AS BIGINT) % 10 = 3 AS late FROM int_bookings)"""
     ),
     "csv_round_trip": _on("SELECT * FROM stg_bookings"),
+    **{f"csv_round_trip_{t}": _on(f"SELECT * FROM stg_{t}") for t in ("partners", "sessions", "searches", "cancellations")},
     "parquet_marts_read": _on("SELECT booking_id, partner_name, total_amount FROM fct_bookings JOIN dim_partners USING (partner_id)"),
     "csv_export_uncapped": _on("SELECT booking_id, currency, status FROM fct_bookings"),
     "month_close_export": _on(
@@ -715,3 +716,13 @@ FROM lineitem GROUP BY l_returnflag""",
     RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW) AS n FROM events) GROUP BY 1 HAVING max(n) > 1""",
     "events_per_bucket": "SELECT time_bucket(INTERVAL 7 MINUTE, ts) AS bucket_start, count(*) AS events FROM events GROUP BY 1",
 }
+
+# A reader export holds what its query gives.
+ORACLES |= {
+    "export_funnel_by_segment": ORACLES["funnel_by_segment"],
+    "export_funnel_stages": ORACLES["funnel_stages_long"],
+    "export_top_partners": ORACLES["top_partners_90d"],
+    "export_ltv_cohort": ORACLES["ltv_cohort_month"],
+    "export_cancellation_outliers": _outliers("2"),
+    "export_monthly_evolution": ORACLES["monthly_evolution"],
+}
