@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 # "trim" clean text. Raw timestamps and dates are declared as text so that a malformed value meets the cast.
 _S, _D, _I, _B = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
 
+# --- fixed values: the columns of the raw tables, in their order ----------------------------------------------
 RAW_COLUMNS: dict[str, list[tuple[str, T.DataType, str]]] = {
     "partners": [
         ("partner_id", _S, "keep"),

@@ -22,7 +22,8 @@ def export_csv(df: DataFrame, path: str, *order: Column, cap: int | None = None)
 def export_closed_months(report: DataFrame, path: str) -> None:
     """Month-close export of the revenue report: every closed month as CSV under its own folder.
 
-    Months of the report replace their folders; those of other months stay.
+    Months of the report replace their folders; those of other months stay. The months are switched one after the other
+    at the end, so after a failed run some may be new and others old: run it again before the folder is read.
     """
     closed = report.filter(~F.col("is_partial_month")).drop("is_partial_month")
     months = closed.hint("rebalance", "reference_month").write.partitionBy("reference_month").mode("overwrite")
