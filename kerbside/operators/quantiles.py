@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -12,6 +13,7 @@ from kerbside.session import materialise
 BINS = 4096
 # A slice of at most this many distinct values may be ranked inside one task.
 SLICE_VALUES = 1_000_000
+_LARGEST = sys.float_info.max
 
 
 def exact_quantiles(
@@ -89,12 +91,18 @@ def _in_slices(counts: DataFrame, slices: DataFrame) -> DataFrame:
 
 
 def _narrow(counts: DataFrame, slices: DataFrame, bins: int) -> DataFrame:
-    """Cut every slice into ``bins`` equal widths and keep the bins that hold a wanted rank."""
-    width = F.col("hi") / 2 - F.col("lo") / 2
-    share = F.when(width == 0, F.lit(0.0)).otherwise((F.col("v") / 2 - F.col("lo") / 2) / F.nullif(width, F.lit(0.0)))
+    """Cut every slice into ``bins`` equal widths and keep the bins that hold a wanted rank.
+
+    Infinite values and NaN have bins of their own at the ends, so that the widths are those of finite numbers.
+    """
+    finite = lambda c: F.greatest(F.least(F.col(c), F.lit(_LARGEST)), F.lit(-_LARGEST)) / 2
+    width = finite("hi") - finite("lo")
+    share = F.when(width == 0, F.lit(0.0)).otherwise((finite("v") - finite("lo")) / F.nullif(width, F.lit(0.0)))
+    inner = F.least(F.floor(share * bins), F.lit(bins - 1))
+    place = F.when(F.isnan("v"), bins + 1).when(F.col("v") > _LARGEST, bins).when(F.col("v") < -_LARGEST, -1).otherwise(inner)
     histogram = (
         _in_slices(counts, slices)
-        .withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
+        .withColumn("bin", place)
         .groupBy("g", "lo", "before", "ranks", "bin")
         .agg(
             F.sum("n").alias("n"),

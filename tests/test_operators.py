@@ -140,6 +140,19 @@ def test_quantiles_of_a_heavy_group_with_an_outlier(spark):
         assert (row[g]["q_0"], row[g]["q_1"]) == pytest.approx(tuple(np.quantile(values, [0.25, 0.75])))
 
 
+def test_quantiles_narrow_down_beside_infinite_values(spark):
+    ends = {0: float("inf"), 1: float("-inf"), 2: float("nan")}
+    values = [ends.get(i % 20, float(i * 7919 % 10007)) for i in range(4000)]
+    df = spark.createDataFrame([("a", x) for x in values] + [("b", float("inf")), ("c", float("nan"))], "g string, x double")
+    row = {r["g"]: r for r in exact_quantiles(df, "g", "x", (0.0, 0.3, 0.5, 0.92, 1.0), slice_values=50, bins=16).collect()}
+    ranked = sorted(values, key=lambda x: (x != x, x))
+    at = lambda p: np.interp(p * 3999, range(3800), ranked[:3800])
+    assert (row["a"]["q_0"], row["a"]["q_3"]) == (float("-inf"), float("inf"))
+    assert (row["a"]["q_1"], row["a"]["q_2"]) == pytest.approx((at(0.3), at(0.5)))
+    assert row["a"]["q_4"] != row["a"]["q_4"] and row["c"]["q_0"] != row["c"]["q_0"]
+    assert row["b"]["q_2"] == float("inf")
+
+
 def test_iqr_outliers_are_strictly_above_the_limit(spark):
     data = [("a", float(x)) for x in (1, 2, 3, 4, 7, 8)] + [("b", 5.0)]
     df = spark.createDataFrame(data, "g string, x double")
