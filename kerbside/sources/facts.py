@@ -126,27 +126,27 @@ class FactTable:
         admitted = self._admitted(source, self._mark(state), empty_target)
         return self._bring(state, admitted, may_be_older=self.lookback is not None)
 
-    def merge(self, source: DataFrame, stream: str, batch: int) -> DataFrame:
+    def merge(self, source: DataFrame, stream: str, batch: int, timeless_is_oldest: bool = False) -> DataFrame:
         """Bring all rows of a micro-batch (unique keys) into the table, whatever their times.
 
-        A row replaces its stored version unless that is newer. The commit notes the batch of each stream, so that a
-        replayed batch changes nothing.
+        A row replaces its stored version unless that is newer; with ``timeless_is_oldest`` a row without a time replaces
+        only such a row. The commit notes the batch of each stream, so that a replayed batch changes nothing.
         """
         state = self._newest()
         done = {} if state is None else dict(state["batches"] or {})
         if done.get(stream, -1) >= batch:
             return self.read()
-        return self._bring(state, source, may_be_older=True, batches={**done, stream: batch})
+        return self._bring(state, source, may_be_older=True, batches={**done, stream: batch}, timeless_is_oldest=timeless_is_oldest)
 
     def _run(self, state: Row | None) -> str:
         return f"{1 if state is None else state['commit'] + 1:06d}-{uuid.uuid4().hex[:8]}"
 
     def _bring(
-        self, state: Row | None, source: DataFrame, may_be_older: bool, batches: dict[str, int] | None = None
+        self, state: Row | None, source: DataFrame, may_be_older: bool, batches: dict[str, int] | None = None, timeless_is_oldest: bool = False
     ) -> DataFrame:
         run, folders = self._run(state), [] if state is None else list(state["folders"])
         if may_be_older and folders:
-            source = self._not_older(materialise(source, "arrivals"), folders)
+            source = self._not_older(materialise(source, "arrivals"), folders, timeless_is_oldest)
         inserted = self._write(source, f"{run}-new")
         if not inserted and (state is None or batches is None):
             return self._rows(folders, source.schema if state is None else _schema(state))
@@ -169,13 +169,14 @@ class FactTable:
             floor = floor - F.expr(f"interval {self.lookback}")
         return source.filter(F.col(self.ts) > floor)
 
-    def _not_older(self, arrivals: DataFrame, folders: list[Row]) -> DataFrame:
+    def _not_older(self, arrivals: DataFrame, folders: list[Row], timeless_is_oldest: bool) -> DataFrame:
         """The arriving rows whose stored version, if any, is not newer."""
         ends = arrivals.agg(F.min(F.col(self.key).cast("string")).alias("low"), F.max(F.col(self.key).cast("string")).alias("high"))
         stored = self._rows(self._meeting(folders, ends.collect()), arrivals.schema)
         stored = stored.select(F.col(self.key).alias("_key"), F.col(self.ts).alias("_stored_at"))
         newer = arrivals.select(self.key, self.ts).join(stored, F.col(self.key) == F.col("_key"))
-        newer = newer.filter(F.col("_stored_at") > F.col(self.ts)).select(self.key)
+        above = F.col("_stored_at") > F.col(self.ts)
+        newer = newer.filter(above | (F.col(self.ts).isNull() & F.col("_stored_at").isNotNull()) if timeless_is_oldest else above).select(self.key)
         return arrivals.join(newer, self.key, "left_anti")
 
     def _compacted(self, folders: list[Row], load: str, schema: T.StructType) -> list[Row]:

@@ -37,9 +37,9 @@ def _rocks_state(spark: SparkSession):
             spark.conf.set(_PROVIDER, before)
 
 
-def _into(rows: DataFrame, fact: FactTable, checkpoint: str, mode: str, prepare: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def _into(rows: DataFrame, fact: FactTable, checkpoint: str, mode: str, prepare: Callable[[DataFrame], DataFrame], **merging: bool) -> StreamingQuery:
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fact.merge(prepare(batch), checkpoint, batch_id)
+        fact.merge(prepare(batch), checkpoint, batch_id, **merging)
 
     with _rocks_state(rows.sparkSession):
         writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -131,72 +131,33 @@ def peaks(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("session_id").agg(F.max("peak").alias("peak"))
 
 
-def _newest_version(schema: str, columns: list[str], order: list[str], keep_ms: int) -> StatefulProcessor:
-    places = [columns.index(c) for c in order]
-
-    class NewestVersion(StatefulProcessor):
-        """The newest row of one key so far; a newer one is kept and handed on."""
-
-        def init(self, handle) -> None:
-            self.handle = handle
-            self.newest = handle.getValueState("newest", schema)
-
-        def handleInputRows(self, key, rows, timerValues):
-            stored = tuple(self.newest.get()) if self.newest.exists() else None
-            best, rank = stored, None if stored is None else self.rank(stored)
-            for frame in rows:
-                for row in frame.iloc[:, : len(columns)].itertuples(index=False, name=None):
-                    own = self.rank(row)
-                    if rank is None or own > rank:
-                        best, rank = row, own
-            if best is not stored:
-                best = tuple(None if v is None or v != v else v for v in best)
-                self.newest.update(best)
-                if stored is None and best[-1] is not None:
-                    self.handle.registerTimer(int(best[-1]) + keep_ms)
-                yield pd.DataFrame([best], columns=columns)
-
-        def rank(self, row) -> tuple:
-            """As in the batch: the greatest first, missing values last; of equal rows the stored one stays."""
-            return tuple((False,) if row[i] is None or row[i] != row[i] else (True, row[i]) for i in places)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            # One timer for a key: it moves on if a newer version came meanwhile.
-            until = int(self.newest.get()[-1]) + keep_ms if self.newest.exists() else 0
-            if until > expiredTimerInfo.getExpiryTimeInMs():
-                self.handle.registerTimer(until)
-            else:
-                self.newest.clear()
-            return iter(())
-
-        def close(self) -> None:
-            pass
-
-    return NewestVersion()
-
-
 def stream_newest(
     staged: DataFrame, fact: FactTable, checkpoint: str, delay: str = "10 minutes", keep_days: int = 30, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows
 ) -> StreamingQuery:
     """Only new keys and newer versions reach the fact table, in whatever order files arrive.
 
-    State holds the newest row of each key for ``keep_days`` after its time; ties follow the columns as in the batch.
-    Copies and older versions end there and cost the table nothing. After the time-out the table's own rule still holds:
-    an older version never replaces a newer one. Rows without a key are left out; a NaN counts as missing.
+    State is one aggregate: the newest row of each key and period of ``keep_days``, held for ``keep_days`` to twice that
+    after its time; ties follow the columns as in the batch. With the row goes the micro-batch that brought it first, the
+    earliest of equal rows, so copies and older versions of a period end there and cost the table nothing. Between
+    periods, and after the time-out, the table's own rule holds: an older version never replaces a newer one. Rows
+    without a key are left out; a NaN counts as missing.
     """
     kinds = {f.name: f.dataType.simpleString() for f in staged.schema}
-    # Whole numbers travel as decimals, since a column of them with a missing one would reach Python as floats.
-    travel = {c: "decimal(20,0)" if k in ("tinyint", "smallint", "int", "bigint") else k for c, k in kinds.items()}
-    millis = F.unix_millis(F.col(fact.ts).cast("timestamp")).cast("decimal(20,0)").alias("event_millis")
-    timed = staged.filter(F.col(fact.key).isNotNull()).select(
-        *[F.col(c).cast(k).alias(c) for c, k in travel.items()], millis, F.col(fact.ts).cast("timestamp").alias("event_time")
-    )
-    columns = [*travel, "event_millis"]
-    schema = ", ".join(f"`{c}` {k}" for c, k in [*travel.items(), ("event_millis", "decimal(20,0)")])
-    order = [fact.ts, *[c for c in travel if c not in (fact.key, fact.ts)]]
-    processor = _newest_version(schema, columns, order, keep_days * 86_400_000)
-    found = timed.withWatermark("event_time", delay).groupBy(fact.key).transformWithStateInPandas(processor, schema, "Update", "EventTime")
-    return _into(found, fact, checkpoint, "update", lambda batch: prepare(batch.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])))
+    value = lambda c: F.when(~F.isnan(c), F.col(c)) if kinds[c] in ("float", "double") else F.col(c)
+    order = [fact.ts, *[c for c in kinds if c not in (fact.key, fact.ts)]]
+    came = (-F.unix_micros(F.current_timestamp())).alias("_came")  # the same for all rows of a micro-batch
+    period = keep_days * 86_400
+    until = F.timestamp_seconds((F.floor(F.unix_seconds(F.col(fact.ts).cast("timestamp")) / period) + 2) * period)
+    timed = staged.filter(F.col(fact.key).isNotNull()).select(F.col(fact.key).alias("_key"), until.alias("_until"), F.struct(*[value(c).alias(c) for c in order], came).alias("_row"))
+    # A row's period ends at most two periods after its time, so that much later its state goes.
+    found = timed.withWatermark("_until", f"{delay} {2 * keep_days} days").groupBy("_key", "_until").agg(F.max("_row").alias("_row"))
+    fresh = found.filter(F.col("_row._came") == came)
+
+    def newest(batch: DataFrame) -> DataFrame:
+        rows = batch.groupBy("_key").agg(F.max("_row").alias("_row"))
+        return prepare(rows.select(*[(F.col("_key") if c == fact.key else F.col("_row")[c]).alias(c) for c in kinds]))
+
+    return _into(fresh, fact, checkpoint, "update", newest, timeless_is_oldest=True)
 
 
 def stream_searches_of_sessions(

@@ -37,6 +37,10 @@ def test_sliding_peaks_equal_the_batch_and_old_blocks_go(spark, tmp_path):
     assert fact.loads().count() <= 8
 
 
+def stateful_operators(query):
+    return {o["operatorName"] for o in query.lastProgress["stateOperators"]}
+
+
 @pytest.mark.parametrize("per_batch", [1, 3])
 def test_newest_versions_equal_the_batch(spark, tmp_path, per_batch):
     rng, schema = random.Random(per_batch), "id string, ts timestamp_ntz, v int, note string"
@@ -56,6 +60,45 @@ def test_newest_versions_equal_the_batch(spark, tmp_path, per_batch):
     assert fact.changes(before).count() == 0
 
 
+def test_newest_versions_across_periods_without_a_python_call_for_each_key(spark, tmp_path):
+    schema = "id string, ts timestamp_ntz, v double"
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "month")
+    at = lambda days: NOW + timedelta(days=days)
+    arrivals = [
+        [("a", at(50), 1.0), ("a", at(5), 2.0), ("b", at(0), None), ("b", at(0), float("nan")), ("c", None, 3.0), (None, at(1), 4.0)],
+        [("a", at(49), 9.0), ("a", at(1), 9.0), ("b", at(0), 0.5), ("c", at(2), 1.0), ("d", at(3), float("nan"))],
+        [("a", at(50), 1.0), ("b", at(0), None), ("c", None, 7.0), ("d", at(3), None)],  # nothing new
+    ]
+    operators = set()
+    for number, rows in enumerate(arrivals):
+        land(spark, rows, schema, tmp_path / "in", number)
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "slice=*"))
+        query = stream_newest(stream, fact, str(tmp_path / "c"), delay="365 days")
+        query.awaitTermination()
+        operators |= stateful_operators(query)
+    want = [("a", at(50), 1.0), ("b", at(0), 0.5), ("c", at(2), 1.0), ("d", at(3), None)]
+    assert sorted(map(tuple, fact.read().collect())) == want
+    assert operators == {"stateStoreSave"}
+
+
+def test_newest_versions_leave_the_state_and_copies_cost_nothing(spark, tmp_path):
+    schema = "id string, ts timestamp_ntz, v int"
+    fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "month")
+
+    def arrive(number, rows):
+        land(spark, rows, schema, tmp_path / "in", number)
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "slice=*"))
+        query = stream_newest(stream, fact, str(tmp_path / "c"), delay="1 day", keep_days=3)
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"], fact.loads().collect()
+
+    held, loads = arrive(0, [(f"k{i}", NOW, i) for i in range(50)])
+    assert held == 50
+    assert arrive(1, [(f"k{i}", NOW, i) for i in range(50)] + [("k1", NOW, 0)]) == (50, loads)
+    assert arrive(2, [("later", NOW + timedelta(days=30), 1)])[0] <= 1
+    assert fact.read().count() == 51
+
+
 def test_searches_wait_for_sessions_that_arrive_later(spark, tmp_path):
     made, begun = "search_id string, session_id string, searched_at timestamp_ntz", "session_id string, started_at timestamp_ntz, is_bot boolean"
     at = lambda minutes: NOW + timedelta(minutes=minutes)
