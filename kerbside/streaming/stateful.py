@@ -11,10 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.constants import BURST_SECONDS, BURST_THRESHOLD
 from kerbside.sources.facts import FactTable
@@ -46,51 +45,6 @@ def _into(rows: DataFrame, fact: FactTable, checkpoint: str, mode: str, prepare:
         return writer.foreachBatch(merge).start()
 
 
-def _sliding_peaks(seconds: int, block_seconds: int, threshold: int) -> StatefulProcessor:
-    class SlidingPeaks(StatefulProcessor):
-        """Events per second of one actor and block; the peak over any ``seconds`` seconds that end in the block."""
-
-        def init(self, handle) -> None:
-            self.handle = handle
-            self.counts = handle.getMapState("counts", "second bigint", "n bigint")
-            self.peak = handle.getValueState("peak", "peak bigint")
-
-        def handleInputRows(self, key, rows, timerValues):
-            held = {k[0]: v[0] for k, v in self.counts.iterator()}
-            if not held:
-                self.handle.registerTimer((int(key[1]) + 1) * block_seconds * 1000)
-            changed = set()
-            for frame in rows:
-                for second, n in frame["second"].value_counts().items():
-                    held[int(second)] = held.get(int(second), 0) + int(n)
-                    changed.add(int(second))
-            for second in changed:
-                self.counts.updateValue((second,), (held[second],))
-            known = self.peak.get()[0] if self.peak.exists() else threshold
-            best, inside, first = known, 0, 0
-            times = sorted(held)
-            for second in times:
-                inside += held[second]
-                while times[first] <= second - seconds:
-                    inside -= held[times[first]]
-                    first += 1
-                if second // block_seconds == key[1]:
-                    best = max(best, inside)
-            if best > known:
-                self.peak.update((best,))
-                yield pd.DataFrame({"session_id": [key[0]], "block": [key[1]], "peak": [best]})
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            self.counts.clear()
-            self.peak.clear()
-            return iter(())
-
-        def close(self) -> None:
-            pass
-
-    return SlidingPeaks()
-
-
 def stream_sliding_peaks(
     searches: DataFrame,
     fact: FactTable,
@@ -102,26 +56,39 @@ def stream_sliding_peaks(
 ) -> StreamingQuery:
     """Exact sliding bursts: more than ``threshold`` searches of a session within any ``seconds`` consecutive seconds.
 
-    State is kept per session and block of time, with the tail of the block before, as the batch operator does: at most
-    ``block_seconds + seconds`` counts, however long or busy a session is. A timer drops a block when the watermark
-    passes its end. ``fact`` (key ``burst_key``, time ``block_start``) holds the peak of each block; see ``peaks``.
+    State is one aggregate per session and block of time, with the tail of the block before, as in the batch operator: the
+    events of each second, at most ``block_seconds + seconds`` counts, however long or busy a session is. A histogram with
+    as many bins as there can be seconds only ever joins bins of one second, whose place may move by a rounding error, so
+    that its counts are exact. It goes when the watermark has passed the end of its block by two
+    blocks. ``fact`` (key ``burst_key``, time ``block_start``) holds the peak of each block; see ``peaks``. Peaks that the
+    table holds already are not handed on.
     """
     if seconds > block_seconds:
         raise ValueError("a block must be at least as long as the window")
     second = F.unix_seconds(F.col("searched_at").cast("timestamp"))
-    timed = searches.filter("session_id is not null").select("session_id", F.col("searched_at").cast("timestamp").alias("event_time"), second.alias("second"))
+    timed = searches.filter("session_id is not null and searched_at is not null").select("session_id", second.alias("second"))
     own = F.floor(F.col("second") / block_seconds)
     in_tail = F.pmod(F.col("second"), F.lit(block_seconds)) > block_seconds - seconds
     placed = timed.withColumn("block", F.explode(F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))))
+    start = F.col("block") * block_seconds
+    ended = placed.select("session_id", F.timestamp_seconds(start + block_seconds).alias("_end"), (F.col("second") - start).cast("double").alias("_at"))
+    # An event's blocks end at most two blocks after it, so nothing within ``delay`` is late.
     found = (
-        placed.withWatermark("event_time", delay)
-        .groupBy("session_id", "block")
-        .transformWithStateInPandas(_sliding_peaks(seconds, block_seconds, threshold), "session_id string, block bigint, peak bigint", "Update", "EventTime")
+        ended.withWatermark("_end", f"{delay} {2 * block_seconds} seconds")
+        .groupBy("session_id", "_end")
+        .agg(F.histogram_numeric("_at", F.lit(block_seconds + seconds)).alias("_seconds"), F.count("*").alias("_n"))
+        .filter(F.col("_n") > threshold)
     )
 
     def prepare(batch: DataFrame) -> DataFrame:
-        start = F.timestamp_seconds(F.col("block") * block_seconds).cast("timestamp_ntz")
-        return batch.select(F.concat_ws("|", "session_id", "block").alias("burst_key"), "session_id", start.alias("block_start"), "peak")
+        block = F.floor(F.unix_seconds("_end") / block_seconds) - 1
+        counts = batch.select("session_id", block.alias("block"), F.inline("_seconds").alias("_at", "_events")).withColumn("_at", F.round("_at").cast("long"))
+        window = Window.partitionBy("session_id", "block").orderBy("_at").rangeBetween(-(seconds - 1), 0)
+        inside = counts.withColumn("_inside", F.sum("_events").over(window)).filter(F.col("_at") >= 0)
+        best = inside.groupBy("session_id", "block").agg(F.max("_inside").cast("long").alias("peak")).filter(F.col("peak") > threshold)
+        begun = F.timestamp_seconds(F.col("block") * block_seconds).cast("timestamp_ntz")
+        rows = best.select(F.concat_ws("|", "session_id", "block").alias("burst_key"), "session_id", begun.alias("block_start"), "peak")
+        return rows.join(fact.read().select("burst_key", "peak"), ["burst_key", "peak"], "left_anti").select(*rows.columns) if fact.exists() else rows
 
     return _into(found, fact, checkpoint, "update", prepare)
 

@@ -41,6 +41,26 @@ def stateful_operators(query):
     return {o["operatorName"] for o in query.lastProgress["stateOperators"]}
 
 
+def test_sliding_peaks_of_a_busy_block_are_counted_by_built_in_aggregates(spark, tmp_path):
+    rng, schema = random.Random(5), "session_id string, searched_at timestamp_ntz"
+    data = [("hot", NOW + timedelta(seconds=rng.randrange(130))) for _ in range(6000)] + [(f"s{i}", NOW) for i in range(500)] + [("no time", None)]
+    rng.shuffle(data)
+    fact = FactTable(spark, str(tmp_path / "fact"), "burst_key", "block_start", "day")
+    for number in range(3):  # every second of the blocks is held more than once, in each arrival
+        land(spark, data[number::3], schema, tmp_path / "in", number)
+        arrivals = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "slice=*"))
+        query = stream_sliding_peaks(arrivals, fact, str(tmp_path / "c"), seconds=20, threshold=2, block_seconds=60)
+        query.awaitTermination()
+    batch = sliding_bursts(spark.createDataFrame(data, schema).filter("searched_at is not null"), "session_id", "searched_at", 20, 2)
+    assert sorted(map(tuple, peaks(fact.read()).collect())) == sorted(map(tuple, batch.select("session_id", "peak").collect()))
+    assert stateful_operators(query) == {"stateStoreSave"}  # no Python call for each session and block
+    before = fact.loads().collect()
+    land(spark, [("s1", NOW + timedelta(seconds=1))], schema, tmp_path / "in", 9)  # no peak grows
+    arrivals = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "slice=*"))
+    stream_sliding_peaks(arrivals, fact, str(tmp_path / "c"), seconds=20, threshold=2, block_seconds=60).awaitTermination()
+    assert fact.loads().collect() == before
+
+
 @pytest.mark.parametrize("per_batch", [1, 3])
 def test_newest_versions_equal_the_batch(spark, tmp_path, per_batch):
     rng, schema = random.Random(per_batch), "id string, ts timestamp_ntz, v int, note string"
