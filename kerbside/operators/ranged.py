@@ -30,9 +30,10 @@ def with_carried(df: DataFrame, per_range: Column, over_ranges: Column, key: str
     """``df`` with a column that holds, for each row, what the earlier ranges of its key come to.
 
     ``per_range`` aggregates the rows of a key in one range into ``_here``; ``over_ranges`` aggregates ``_here`` over the
-    earlier ranges."""
+    earlier ranges. The carried values are written, so that their true size tells whether the join may broadcast them."""
     summed = df.groupBy(key, RANGE).agg(per_range.alias("_here"))
     earlier = Window.partitionBy(key).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     carried = summed.select(F.col(key).alias("_key"), F.col(RANGE).alias("_of"), over_ranges.over(earlier).alias(name))
+    carried = materialise(carried, "carried")
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(RANGE) == F.col("_of"))
     return df.join(carried, same).drop("_key", "_of")

@@ -1,5 +1,6 @@
 """Lookups and counts by ranges: brute force, hot keys, and how evenly ranges are dealt."""
 
+import bisect
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -8,6 +9,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from kerbside import session
+from kerbside.operators import inequality, ranged
 from kerbside.operators.asof import asof_join
 from kerbside.operators.inequality import pairs_above
 from kerbside.operators.ranged import RANGE, in_ranges
@@ -74,3 +77,18 @@ def test_copies_of_a_violation_are_listed(spark):
     totals = spark.createDataFrame([("B1", 5.0)] * 60 + [("B1", 20.0)], "booking_id string, total_amount double")
     assert anomalies.refund_over_total_rows(refunds, totals).count() == 3000
     assert int(anomalies.refunds_over_total_counted(refunds, totals).first()["pairs"]) == 3000
+
+
+def test_ranges_of_a_hot_key_do_not_grow_with_the_rows(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(inequality, "_RANGE_ROWS", 1000, raising=False)
+    keep = lambda df, label: written.append((label, session.materialise(df, label))) or written[-1][1]
+    for module in (inequality, ranged):
+        monkeypatch.setattr(module, "materialise", keep)
+    left = spark.range(12_000).select(F.lit(1).alias("k"), (F.col("id") * 7 % 5000).alias("v"))
+    right = spark.range(8_000).select(F.lit(1).alias("k"), (F.col("id") * 3 % 5000).alias("v"))
+    pairs = inequality.pairs_above(left, right, "k", "v", "v").collect()
+    rights = sorted(n * 3 % 5000 for n in range(8_000))
+    assert [tuple(r) for r in pairs] == [(1, sum(bisect.bisect_left(rights, n * 7 % 5000) for n in range(12_000)))]
+    sizes = [r["count"] for label, df in written if label == "ranges" for r in df.groupBy(ranged.RANGE).count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 1000
