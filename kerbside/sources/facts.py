@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.operators.bloom import FILTER_SCHEMA, buckets_for, groups_holding, key_filters
+from kerbside.operators.bloom import FILTER_SCHEMA, KEYS_PER_ROW, buckets_for, groups_holding, key_filters
 from kerbside.session import materialise
 from kerbside.sources.files import delete_folder, names_in, read_small, write_new
 
@@ -180,12 +180,25 @@ class FactTable:
         return arrivals.join(newer, self.key, "left_anti")
 
     def _compacted(self, folders: list[Row], load: str, schema: T.StructType) -> list[Row]:
-        """One folder in place of the folders of every period that has too many."""
+        """One folder in place of the small folders of every period that has too many.
+
+        A folder with more keys than all smaller ones together stays as it is, so that a row is rewritten a number of times
+        that grows with the logarithm of the loads, not with their number.
+        """
         many = {p for p, n in Counter(f["period"] for f in folders).items() if n > self.most_folders}
-        if not many:
+        small = [f for p in many for f in self._small([f for f in folders if f["period"] == p])]
+        if not small:
             return folders
-        merged = self._write(self._rows([f for f in folders if f["period"] in many], schema), load)
-        return [f for f in folders if f["period"] not in many] + merged
+        gone = {(f["load"], f["period"]) for f in small}
+        return [f for f in folders if (f["load"], f["period"]) not in gone] + self._write(self._rows(small, schema), load)
+
+    def _small(self, folders: list[Row]) -> list[Row]:
+        """The folders of a period to be merged: at least as many as are too many, and two."""
+        folders = sorted(folders, key=lambda f: f["buckets"], reverse=True)
+        kept = 0
+        while kept < self.most_folders - 1 and folders[kept]["buckets"] > sum(f["buckets"] for f in folders[kept + 1 :]):
+            kept += 1
+        return folders[kept:]
 
     @staticmethod
     def _meeting(folders: list[Row], arriving: list[Row]) -> list[Row]:
@@ -194,9 +207,12 @@ class FactTable:
         return [f for f in folders if f["low"] is not None and any(f["low"] <= high and low <= f["high"] for low, high in ranges)]
 
     def _maybe_holding(self, folders: list[Row], keys: DataFrame) -> list[Row]:
-        """The folders whose Bloom filter lets one of ``keys`` through. The filters are about a byte a key."""
-        if not folders:
-            return []
+        """The folders whose Bloom filter lets one of ``keys`` through. The filters are about a byte a key.
+
+        Every key asks every folder's filter; where that is more than the keys the folders hold, they are all named, and
+        the search of their key columns is the cheaper way."""
+        if not folders or keys.count() * len(folders) > sum(f["buckets"] for f in folders) * KEYS_PER_ROW:
+            return folders
         paths = sorted({f"{self.root}/keys/load={f['load']}" for f in folders})
         filters = self.spark.read.schema(f"period string, {FILTER_SCHEMA}, load string").option("basePath", f"{self.root}/keys").parquet(*paths)
         filters = filters.filter(F.concat_ws("/", "load", "period").isin([f"{f['load']}/{f['period']}" for f in folders]))

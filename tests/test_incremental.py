@@ -3,8 +3,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 
+from kerbside.operators.bloom import groups_holding
 from kerbside.operators.dedup import latest_per_key
+from kerbside.sources import facts
 from kerbside.sources.facts import FactTable
 from kerbside.streaming.jobs import bursts_from_counts, stream_burst_counts, stream_into_fact
 
@@ -91,6 +94,36 @@ def test_folders_of_a_period_are_compacted(spark, tmp_path):
     assert content(fact.read()) == [(f"k{n}", n) for n in range(8)]
 
 
+def test_compaction_rewrites_a_row_a_few_times_only(spark, fact, monkeypatch):
+    folder = lambda load, keys: Row(period="2024-01", load=load, buckets=keys)
+    written = []
+
+    def write(folders, load):
+        written.append(sum(f["buckets"] for f in folders))
+        return [folder(load, written[-1])]
+
+    monkeypatch.setattr(fact, "_rows", lambda folders, schema: folders)
+    monkeypatch.setattr(fact, "_write", write)
+    folders = []
+    for n in range(400):
+        folders = fact._compacted([*folders, folder(f"new-{n}", 16)], f"compact-{n}", None)
+        assert len(folders) <= fact.most_folders
+    assert sum(f["buckets"] for f in folders) == 400 * 16
+    assert sum(written) < 6 * 400 * 16  # all folders each time: 29 times
+
+
+def test_many_arriving_keys_search_folders_without_filters(spark, fact, monkeypatch):
+    asked = []
+    monkeypatch.setattr(facts, "groups_holding", lambda *args: asked.append(1) or groups_holding(*args))
+    fact.load(rows(spark, *[(f"k{n}", n % 5 + 1, n) for n in range(50)]))
+    monkeypatch.setattr(facts, "KEYS_PER_ROW", 20, raising=False)
+    fact.merge(rows(spark, ("k7", 9, 70)), "s", 0)
+    assert len(asked) == 1
+    fact.merge(rows(spark, *[(f"k{n}", 9, n + 100) for n in range(40)]), "s", 1)
+    assert len(asked) == 1
+    assert content(fact.read()) == sorted([(f"k{n}", n + 100) for n in range(40)] + [(f"k{n}", n) for n in range(40, 50)])
+
+
 @pytest.mark.parametrize("per_batch", [1, 2])
 def test_stream_takes_files_out_of_time_order(spark, tmp_path, per_batch):
     fact = FactTable(spark, str(tmp_path / "fact"), "id", "ts", "month")
