@@ -9,8 +9,10 @@ Links are looked for in two rounds, so that a large group costs as many checks a
 
 * first each prefix shingle links the sets that hold it to the least of them, and the found links are joined to components;
 * then only shingles whose sets are still in several components are left. Pairs across components with enough matches
-  are verified; a shingle of more than ``LIGHT`` sets is instead split into blocks, and block against block is compared by
-  the matrix product of the sets, which emits one edge for each component that its links join, never all pairs.
+  are verified. Shingles of more than ``LIGHT`` sets are instead taken together where they share their least set: their
+  sets are packed into blocks, each set once, and block against block is compared by the matrix product of the sets, which
+  emits one edge for each component that its links join, never all pairs. A text is read once for that, a group of n sets
+  is (n / BLOCK) ** 2 pairs of blocks, and the largest component is compared with all others only, not with itself.
 
 No link between different components can be missed, so the components are exact; no cap is set on partners.
 
@@ -153,38 +155,91 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return placed.mapInArrow(run, "a bigint, b bigint")
 
 
+def _families(postings: DataFrame) -> DataFrame:
+    """(family, node, n, component) of the heavy open shingles: all sets of the shingles that have the same head, where
+    that compares fewer pairs than shingle by shingle; sets with a common shingle have a common family."""
+    of_head = postings.groupBy("head").agg(F.countDistinct("node").alias("sets_of_head"))
+    of_shingle = postings.groupBy("head", "shingle").agg(F.count("*").alias("sets"))
+    apart = of_shingle.groupBy("head").agg(F.sum(F.col("sets") * F.col("sets")).alias("pairs_apart")).join(of_head, "head")
+    together = apart.filter(F.col("sets_of_head") * F.col("sets_of_head") <= F.col("pairs_apart")).select("head", F.lit(True).alias("together"))
+    family = F.when(F.col("together"), F.struct(F.lit(True).alias("of_head"), F.col("head").alias("key")))
+    family = family.otherwise(F.struct(F.lit(False).alias("of_head"), F.col("shingle").alias("key")))
+    return postings.join(together, "head", "left").select(family.alias("family"), "node", "n", "component").distinct()
+
+
+def _placed(families: DataFrame) -> DataFrame:
+    """Adds ``block`` of about ``BLOCK`` sets, and ``others`` and ``blocks``, the numbers of a family's blocks. The sets of
+    its largest component have blocks of their own, behind those of all others, as they need not meet each other."""
+    parts = families.groupBy("family", "component").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    needed = lambda sets, shingles: F.greatest(F.ceil(sets / BLOCK), F.ceil(shingles / (1024 * BLOCK))).cast("int")
+    sums = parts.groupBy("family").agg(
+        F.max_by(F.struct("component", "sets", "shingles"), F.struct("sets", "component")).alias("main"),
+        F.sum("sets").alias("sets"),
+        F.sum("shingles").alias("shingles"),
+    )
+    sums = sums.select(
+        "family",
+        F.col("main.component").alias("main"),
+        needed(F.col("sets") - F.col("main.sets"), F.col("shingles") - F.col("main.shingles")).alias("others"),
+        needed(F.col("main.sets"), F.col("main.shingles")).alias("mains"),
+    )
+    hashed = lambda count: F.pmod(F.hash("node"), F.greatest(F.col(count), F.lit(1)))
+    block = F.when(F.col("component") == F.col("main"), F.col("others") + hashed("mains")).otherwise(hashed("others"))
+    placed = families.join(sums, "family").filter("others > 0")
+    return placed.select("family", "node", "component", block.alias("block"), "others", (F.col("others") + F.col("mains")).alias("blocks"))
+
+
 def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links across components among the sets of each shingle, compared block against block."""
-    sizes = postings.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = postings.join(sizes, "shingle").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = placed.select("shingle", "node", "component", "block", other)
-    placed = placed.select("shingle", "node", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
-    rows = placed.join(texts.hint("merge"), "node").select("shingle", "i", "j", "block", "node", "component", "text")
+    """Links across components among the sets of each heavy shingle. A set is read once for each of its families; its
+    shingles are packed into its block, and packed blocks are compared, not rows."""
+    placed = materialise(_placed(materialise(_families(postings), "families")), "placed")
+    rows = placed.join(texts.hint("merge"), "node").select("family", "block", "others", "blocks", "node", "component", "text")
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def packed(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates("node")
         sets = [shingle_set(hashes, size) for hashes in word_hashes(pa.array(frame["text"], pa.string()), lower=True)]
-        sizes = np.asarray([len(s) for s in sets])
-        row = np.repeat(np.arange(len(sets)), sizes)
-        _, column = np.unique(np.concatenate(sets), return_inverse=True)
-        common = np.zeros((len(sets), len(sets)), np.float32)
+        first = frame.iloc[[0]][["family", "block", "others", "blocks"]].copy()
+        for name, values in (
+            ("sets", np.concatenate(sets)),
+            ("sizes", np.asarray([len(s) for s in sets], np.int64)),
+            ("nodes", frame["node"].to_numpy(np.int64)),
+            ("components", frame["component"].to_numpy(np.int64)),
+        ):
+            first[name] = [values.tobytes()]
+        return first
+
+    schema = "family struct<of_head: boolean, key: bigint>, block int, others int, blocks int, sets binary, sizes binary, nodes binary, components binary"
+    blocks = materialise(rows.groupBy("family", "block").applyInPandas(packed, schema), "set-blocks")
+    # Blocks of the largest component meet those of all others, which meet every block.
+    meets = F.when(F.col("block") < F.col("others"), F.col("blocks")).otherwise(F.col("others"))
+    met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
+    met = met.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        every, sizes, node, component = (
+            np.concatenate([np.frombuffer(x, kind) for x in frame[name]])
+            for name, kind in (("sets", np.uint64), ("sizes", np.int64), ("nodes", np.int64), ("components", np.int64))
+        )
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        _, column = np.unique(every, return_inverse=True)
+        common = np.zeros((len(sizes), len(sizes)), np.float32)
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
         for at in range(0, int(column[-1]) + 1, 4096):
             a, b = np.searchsorted(column, [at, at + 4096])
-            part = np.zeros((len(sets), 4096), np.float32)
+            part = np.zeros((len(sizes), 4096), np.float32)
             part[row[a:b], column[a:b] - at] = 1
             common += part @ part.T
         alike = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-        component, node = frame["component"].to_numpy(), frame["node"].to_numpy()
         alike &= component[:, None] != component[None, :]
         # Components that the block's links join, by spreading the least label; one edge for each component joined.
-        _, label = np.unique(component, return_inverse=True)
+        _, own = np.unique(component, return_inverse=True)
+        label = own
         while True:
             spread = np.minimum(label, np.where(alike, label[None, :], len(label)).min(axis=1))
             of_component = np.full(len(label), len(label))
-            np.minimum.at(of_component, np.unique(component, return_inverse=True)[1], spread)
-            spread = of_component[np.unique(component, return_inverse=True)[1]]
+            np.minimum.at(of_component, own, spread)
+            spread = of_component[own]
             if (spread == label).all():
                 break
             label = spread
@@ -192,7 +247,7 @@ def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int)
         links["b"] = links.groupby("joined")["a"].transform("first")
         return links.loc[links["a"] != links["b"], ["a", "b"]]
 
-    return rows.groupBy("shingle", "i", "j").applyInPandas(run, "a bigint, b bigint")
+    return met.groupBy("family", "i", "j").applyInPandas(run, "a bigint, b bigint")
 
 
 def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -239,7 +294,7 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     links = materialise(_verified(first.filter("shared >= matches").select("a", "b"), texts, size, percent), "links")
     found = materialise(components(links), "components")
 
-    placed = postings.join(found, "node", "left").select("shingle", "node", "n", "matches", "sets", F.coalesce("component", "node").alias("component"))
+    placed = postings.join(found, "node", "left").select("shingle", "head", "node", "n", "matches", "sets", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("shingle").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p != q")
     placed = materialise(placed.join(open_.select("shingle"), "shingle", "left_semi"), "open-postings")
     held = placed.filter(F.col("sets") <= LIGHT).groupBy("shingle").agg(F.collect_list(F.struct("node", "n", "matches", "component")).alias("held"))

@@ -1,5 +1,6 @@
 """Cases that once broke: short pieces only, very long unbroken texts, rows without ids, unlike texts of one id."""
 
+import random
 import time
 
 import corpus_pipeline
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from test_llm_operators import BYTE_BPE, brute_groups, same_rows, table
 
-from kerbside.llm import toxicity
+from kerbside.llm import ngram_join, toxicity
 from kerbside.llm.common import sliced
 from kerbside.llm.ngram_join import ngram_groups, one_of_each_group
 from kerbside.llm.packing import best_packing, lower_bound, pack
@@ -98,3 +99,32 @@ def test_stages_take_odd_rows(spark, tmp_path):
     assert {r["doc_id"] for r in docs.collect()} == {1, None, 2, 3, 4, 5}
     assert docs.count() == 7
     assert pack(docs, BYTE_BPE).filter("length < 1 or length > 2048").count() == 0
+
+
+def test_sets_of_many_heavy_shingles_are_placed_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIGHT", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    # 96 sets with 30 shingles in common, 64 of them of one component already; all shingles have the same least set.
+    rows = [(s, 0, k, 40, -1 if k < 64 else k) for s in range(30) for k in range(96)]
+    postings = spark.createDataFrame(rows, "shingle bigint, head bigint, node bigint, n bigint, component bigint")
+    placed = ngram_join._placed(ngram_join._families(postings)).collect()
+    assert len(placed) == 96  # one text read for each, where block against block of each shingle read 30 * 96 * 12
+    assert {(r["others"], r["blocks"]) for r in placed} == {(4, 12)}
+    assert {r["block"] < 4 for r in placed if r["component"] != -1} == {True}
+    # Shingles that share nothing but their least set stay apart.
+    rows = [(s, 0, k and 1000 * s + k, 40, 1000 * s + k) for s in range(30) for k in range(20)]
+    postings = spark.createDataFrame(rows, "shingle bigint, head bigint, node bigint, n bigint, component bigint")
+    assert ngram_join._families(postings).select("family").distinct().count() == 30
+
+
+def test_near_copies_of_one_text_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIGHT", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rng = random.Random(5)
+    base, rows = [f"w{i}" for i in range(60)], []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(60)] = f"x{rng.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    same_rows(ngram_groups(table(spark, rows), 5, 80).collect(), brute_groups(rows, 5, 80))
