@@ -217,12 +217,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text, block = encoder(tokenizer), TaskContext.get().partitionId()
-        end, seen = np.asarray([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
+        encode_column, block = encoder(tokenizer).column, TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         for batch in sliced(batches):
             rows, out = [], []
-            for i, text in enumerate(batch.column("text")):
-                ids = memoryview(encode_text(text.as_py()) + end)
+            values, bounds = encode_column(batch.column("text"), end_id)
+            values, bounds = memoryview(values.tobytes()), bounds.tolist()
+            for i in range(batch.num_rows):
+                ids = values[4 * bounds[i] : 4 * bounds[i + 1]]
                 total = len(ids) // 4
                 first = total % capacity or capacity
                 start, piece = 0, 0

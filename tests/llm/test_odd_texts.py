@@ -7,13 +7,15 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
-from test_llm_operators import BYTE_BPE, brute_groups, same_rows, table
+from test_llm_operators import BYTE_BPE, WORD_BPE, brute_groups, same_rows, table
+from tokenizers import Tokenizer
 
 from kerbside.llm import ngram_join, toxicity
 from kerbside.llm.common import sliced
 from kerbside.llm.ngram_join import ngram_groups, one_of_each_group
 from kerbside.llm.packing import best_packing, lower_bound, pack
 from kerbside.llm.pii import Surrogates, replace_entities
+from kerbside.llm.tokens import TextEncoder
 
 
 @pytest.mark.parametrize("lengths", [{3: 1, 2: 5000}, {5: 1, 2: 3000}, {7: 3, 2: 4000}, {1: 100_000, 2: 50_000, 3: 7}, {1: 3}, {2: 1, 1: 2047}])
@@ -101,6 +103,28 @@ def test_stages_take_odd_rows(spark, tmp_path):
     assert pack(docs, BYTE_BPE).filter("length < 1 or length > 2048").count() == 0
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_columns_give_the_ids_of_single_texts(path):
+    rng, plain, known = random.Random(2), Tokenizer.from_file(path), TextEncoder(path, limit=60)
+    signs = list("  \n\t\r.,'\"%&|<>!aAbBsTé0129ñΣ日\U0001f600\x1c\x0b\x85\xa0　́-_")
+    texts = ["".join(rng.choice(signs[: rng.choice([16, 24, 99])]) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += [None, "", " ", "<|endoftext|> a b", "a b", "x<|startoftext|>y", "don't we've", "  a  b\n\n c \n", "Big, big words. ", None]
+    for column in (pa.array(texts), pa.array(["x", *texts, "y"]).slice(1, len(texts)), pa.array([None, ""], pa.string()), pa.array([], pa.string())):
+        values, bounds = known.column(column, 9)
+        for i, text in enumerate(column.to_pylist()):
+            assert values[bounds[i] : bounds[i + 1]].tolist() == [*plain.encode(text or "", add_special_tokens=False).ids, 9]
+        assert len(bounds) == len(column) + 1 and bounds[-1] == len(values)
+
+
+def test_a_stretch_met_often_is_looked_up_once():
+    known, seen = TextEncoder(BYTE_BPE), []
+    learnt = known._learnt
+    known._learnt = lambda stretches: seen.extend(stretches) or learnt(stretches)
+    values, _ = known.column(pa.array(["one two, one two,\n one"] * 500), 0)
+    assert len(values) == 500 * len(known.column(pa.array(["one two, one two,\n one"]), 0)[0])
+    assert len(seen) <= 8 + 8
+
+
 def test_sets_of_many_heavy_shingles_are_placed_once(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LIGHT", 3)
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
