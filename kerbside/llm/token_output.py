@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import documents
+from kerbside.llm.common import documents, sliced
 from kerbside.llm.tokens import encoder
 from kerbside.session import materialise
 
@@ -40,27 +40,25 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text, part, place = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.asarray([end_id], "<u4").tobytes()
-        for batch in batches:
+        encode_column, part, place = encoder(tokenizer).column, TaskContext.get().partitionId(), 0
+        for batch in sliced(batches):
+            values, bounds = encode_column(batch.column("text"), end_id)
+            starts = bounds[:-1]
             for at in range(0, batch.num_rows, _BATCH):
-                some = batch.slice(at, _BATCH)
-                ids = [encode_text(text) + end for text in some.column("text").to_pylist()]
-                sizes = np.fromiter((len(b) // 4 for b in ids), np.int64, len(ids))
-                ends = np.cumsum(sizes)
-                values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
-                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+                low, high = bounds[at], bounds[min(at + _BATCH, batch.num_rows)]
+                some = slice(at, at + _BATCH)
+                inner = np.append(starts[some], high) - low
                 yield pa.RecordBatch.from_arrays(
                     [
-                        some.column("doc_id"),
-                        pa.array(np.full(len(ids), part, np.int32)),
-                        pa.array(place + ends - sizes),
-                        pa.array(sizes),
-                        pa.ListArray.from_arrays(offsets, values),
+                        batch.column("doc_id").slice(at, _BATCH),
+                        pa.array(np.full(len(inner) - 1, part, np.int32)),
+                        pa.array(place + starts[some]),
+                        pa.array(np.diff(inner)),
+                        pa.ListArray.from_arrays(pa.array(inner.astype(np.int32)), pa.array(values[low:high].astype(np.int32))),
                     ],
                     ["doc_id", "part", "part_start", "n_tokens", "ids"],
                 )
-                place += int(ends[-1])
+            place += int(bounds[-1])
 
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     encoded = ordered.mapInArrow(encode, f"doc_id {id_type}, part int, part_start bigint, n_tokens bigint, ids array<int>")
