@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import documents, shingle_set, sliced, summed_vector, vector_rows, with_row_key, word_hashes
 from kerbside.llm.components import components
+from kerbside.operators.bloom import rows_maybe_held
 from kerbside.session import materialise
 
 SKETCH = 1 << 20
@@ -125,13 +126,24 @@ def _lengths_fit(a: str | Column, b: str | Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _with_texts(rows: DataFrame, key: str, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` with the ``text`` of the set that their column ``key`` names. ``nodes`` (node, text_key) has the row of one
+    text of each set, by a key that is never null; only texts that a row asks for leave their scan. The texts of two keys
+    with one hash come both, so the set is computed again and compared by the reader."""
+    named = rows.join(nodes.withColumnRenamed("node", "of_node"), F.col(key) == F.col("of_node")).drop("of_node")
+    named = materialise(named, "named")
+    asked = rows_maybe_held(docs.select("row_key", "text"), "row_key", named.select("text_key").distinct(), "text_key")
+    # Joins with texts are never broadcasts: the lists of nodes and pairs grow with the corpus and have no bound.
+    return asked.join(named.hint("merge"), F.col("row_key") == F.col("text_key")).drop("row_key", "text_key")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar. A node ``a`` of many pairs is split into groups of ``BLOCK`` partners."""
+    pairs = materialise(pairs, "pairs")
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("groups"))
     dealt = pairs.join(groups, "a").select("a", F.pmod(F.hash("b"), F.col("groups")).alias("part"), "b")
-    dealt = materialise(dealt, "pairs")
     heads = dealt.select("a", "part").distinct().select("a", "part", F.col("a").alias("b"))
-    rows = dealt.unionByName(heads).join(texts.hint("merge"), F.col("b") == F.col("node")).select("a", "part", "b", "text")
+    rows = _with_texts(dealt.unionByName(heads), "b", nodes, docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, own = None, np.empty(0, np.uint64)
@@ -140,6 +152,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             texts = word_hashes(batch.column("text"), lower=True)
             for a, b, hashes in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), texts, strict=True):
                 shingles = shingle_set(hashes, size)
+                if _node(shingles) != b:
+                    continue
                 if a == b:
                     head, own = a, shingles
                     continue
@@ -189,15 +203,20 @@ def _placed(families: DataFrame) -> DataFrame:
     return placed.select("family", "node", "component", block.alias("block"), "others", (F.col("others") + F.col("mains")).alias("blocks"))
 
 
-def _block_links(postings: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _block_links(postings: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links across components among the sets of each heavy shingle. A set is read once for each of its families; its
     shingles are packed into its block, and packed blocks are compared, not rows."""
     placed = materialise(_placed(materialise(_families(postings), "families")), "placed")
-    rows = placed.join(texts.hint("merge"), "node").select("family", "block", "others", "blocks", "node", "component", "text")
+    rows = _with_texts(placed, "node", nodes, docs)
 
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("node")
         sets = [shingle_set(hashes, size) for hashes in word_hashes(pa.array(frame["text"], pa.string()), lower=True)]
+        frame["own"] = [_node(s) for s in sets] == frame["node"]
+        frame["set"] = sets
+        frame = frame[frame["own"]].drop_duplicates("node")
+        sets = frame["set"].tolist()
+        if not sets:
+            return pd.DataFrame()
         first = frame.iloc[[0]][["family", "block", "others", "blocks"]].copy()
         for name, values in (
             ("sets", np.concatenate(sets)),
@@ -256,7 +275,7 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     members = prints.filter("n is not null").select("doc_id", "row_key", "n", "node")
     counts = summed_vector(prints.filter("chunk is not null").select("chunk", "payload"), SKETCH).astype(np.int32)
     background = float(np.median(counts)) + 3 * float(np.sqrt(np.median(counts)))
-    nodes = members.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("text_key"))
+    nodes = materialise(members.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("text_key")), "nodes")
 
     # One shuffle by shingle serves the removal of copies and the counts.
     postings = _prefixes(docs, size, percent, counts, background).repartition("shingle").dropDuplicates(["shingle", "node"])
@@ -274,24 +293,10 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     able = materialise(able.select("node"), "able-nodes")
     postings = materialise(postings.drop("fewest").join(able, "node", "left_semi"), "able-postings")
 
-    # One text for each node with a shared shingle, found by a key that is never null; the node is computed again and compared.
-    wanted = able.join(nodes, "node")
-    # Joins with texts are never broadcasts: the lists of nodes and pairs grow with the corpus and have no bound.
-    wanted_texts = docs.join(wanted.hint("merge"), F.col("row_key") == F.col("text_key")).select("node", "text")
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            texts = word_hashes(batch.column("text"), lower=True)
-            same = [_node(shingle_set(hashes, size)) == n for n, hashes in zip(batch.column("node").to_pylist(), texts, strict=True)]
-            yield batch.filter(pa.array(same, pa.bool_()))
-
-    # Rows equal in id and set give their text twice; that only repeats checks.
-    texts = materialise(wanted_texts.mapInArrow(own, "node bigint, text string"), "able-texts")
-
     first = postings.filter("node != head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(
         F.count("*").alias("shared"), F.min("matches").alias("matches")
     )
-    links = materialise(_verified(first.filter("shared >= matches").select("a", "b"), texts, size, percent), "links")
+    links = materialise(_verified(first.filter("shared >= matches").select("a", "b"), nodes, docs, size, percent), "links")
     found = materialise(components(links), "components")
 
     placed = postings.join(found, "node", "left").select("shingle", "head", "node", "n", "matches", "sets", F.coalesce("component", "node").alias("component"))
@@ -306,8 +311,8 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
         F.count("*").alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("matches")
     )
-    more = _verified(pairs.filter("shared >= matches").select("a", "b"), texts, size, percent)
-    blocks = _block_links(placed.filter(F.col("sets") > LIGHT), texts, size, percent)
+    more = _verified(pairs.filter("shared >= matches").select("a", "b"), nodes, docs, size, percent)
+    blocks = _block_links(placed.filter(F.col("sets") > LIGHT), nodes, docs, size, percent)
     links = links.unionByName(more).unionByName(blocks)
     groups = components(materialise(links, "links"))
 

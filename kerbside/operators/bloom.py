@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BITMAPS = 5
 KEYS_PER_ROW = 16_384
+MOST_ROWS = 512  # of a filter that is broadcast: 10 MB
 _BITS = 32_768
 FILTER_SCHEMA = "buckets int, bucket int, " + ", ".join(f"bits_{i} binary" for i in range(BITMAPS))
 
@@ -53,3 +54,18 @@ def groups_holding(filters: DataFrame, groups: list[str], buckets: list[int], ke
     for i in range(BITMAPS):
         met = met.filter(_is_set(f"bits_{i}", F.col("_key"), i))
     return met.select(*groups).distinct()
+
+
+def rows_maybe_held(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be among ``keys``: all that are, and about one in a hundred of the others.
+
+    The filter is broadcast and at most ``MOST_ROWS`` rows large; beyond 8 million keys it lets more of the others through.
+    """
+    keys = keys.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    buckets = F.lit(min(MOST_ROWS, buckets_for(keys.count())))
+    bits = [F.bitmap_construct_agg(_position(F.col("_key"), i)).alias(f"bits_{i}") for i in range(BITMAPS)]
+    filters = keys.groupBy(_bucket(F.col("_key"), buckets).alias("_bucket")).agg(*bits)
+    met = df.join(F.broadcast(filters), _bucket(F.col(column), buckets) == F.col("_bucket"))
+    for i in range(BITMAPS):
+        met = met.filter(_is_set(f"bits_{i}", F.col(column), i))
+    return met.select(*df.columns)

@@ -7,6 +7,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_llm_operators import BYTE_BPE, WORD_BPE, brute_groups, same_rows, table
 from tokenizers import Tokenizer
 
@@ -16,6 +17,8 @@ from kerbside.llm.ngram_join import ngram_groups, one_of_each_group
 from kerbside.llm.packing import best_packing, lower_bound, pack
 from kerbside.llm.pii import Surrogates, replace_entities
 from kerbside.llm.tokens import TextEncoder
+from kerbside.operators import bloom
+from kerbside.operators.bloom import rows_maybe_held
 
 
 @pytest.mark.parametrize("lengths", [{3: 1, 2: 5000}, {5: 1, 2: 3000}, {7: 3, 2: 4000}, {1: 100_000, 2: 50_000, 3: 7}, {1: 3}, {2: 1, 1: 2047}])
@@ -152,3 +155,39 @@ def test_near_copies_of_one_text_in_blocks(spark, monkeypatch):
             words[rng.randrange(60)] = f"x{rng.randrange(1000)}"
         rows.append((i, " ".join(words)))
     same_rows(ngram_groups(table(spark, rows), 5, 80).collect(), brute_groups(rows, 5, 80))
+
+
+def test_only_texts_of_candidates_leave_their_scan(spark, monkeypatch):
+    left, written = [], []
+
+    def counted(df, column, keys, key):
+        kept = rows_maybe_held(df, column, keys, key)
+        left.append(kept.count())
+        return kept
+
+    def watched(df, label, write=ngram_join.materialise):
+        written.extend(c for c in df.columns if c == "text")
+        return write(df, label)
+
+    monkeypatch.setattr(ngram_join, "rows_maybe_held", counted)
+    monkeypatch.setattr(ngram_join, "materialise", watched)
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(100_000)}" for _ in range(30))) for i in range(1000)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(10)]
+    same_rows(ngram_groups(table(spark, rows), 3, 90).collect(), brute_groups(rows, 3, 90))
+    assert 20 <= sum(left) <= 100
+    assert not written  # texts are neither written nor shuffled before a pair asks for them
+
+
+def test_a_bounded_filter_keeps_every_key(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    keys = spark.range(0, 20_000, 10).selectExpr("CASE WHEN id > 0 THEN id END AS key")
+    for most in (512, 1):
+        monkeypatch.setattr(bloom, "MOST_ROWS", most)
+        kept = rows_maybe_held(rows, "k", keys, "key")
+        assert kept.columns == rows.columns
+        held = [r["k"] for r in kept.collect()]
+        assert len(held) == len(set(held))
+        assert set(held) >= set(range(10, 20_000, 10))
+        assert len(held) < 2400
+    assert rows_maybe_held(rows, "k", keys.limit(0), "key").count() == 0
