@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,6 +45,22 @@ def sliced(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
             yield batch
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Within it, a batch that Spark hands to Python has about ``size`` bytes, so that neither side of a task holds the 10,000
+    texts of a usual batch. For actions only: a query is bound to its batches when it runs."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def word_array(text: Column, blanks: str = BLANKS) -> Column:
     """The words of a text as an array; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), blanks), "")

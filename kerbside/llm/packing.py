@@ -29,12 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import documents, sliced
+from kerbside.llm.common import documents, sliced, small_batches
 from kerbside.llm.tokens import encoder
 from kerbside.session import materialise
 
 Pattern = tuple[tuple[int, ...], int]
 _NODES = 4000
+_KNOWN = 300_000  # pieces of text that a worker remembers: a pipeline's executor has little memory left for them
 
 
 def _completions(counts: np.ndarray, room: int, largest: int, nodes: int, most: int) -> list[tuple[int, ...]]:
@@ -217,7 +218,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_column, block = encoder(tokenizer).column, TaskContext.get().partitionId()
+        encode_column, block = encoder(tokenizer, _KNOWN).column, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in sliced(batches):
             rows, out = [], []
@@ -249,7 +250,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialise(token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialise(token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
     per_block = pieces.groupBy("length", "block").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     per_block = materialise(per_block.withColumn("before", F.coalesce(before, F.lit(0))), "piece-counts")

@@ -153,12 +153,12 @@ class TextEncoder:
         return out, np.concatenate(([0], texts_end))
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
+_ENCODERS: dict[tuple[str, int], TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, limit: int = 800_000) -> TextEncoder:
     """The encoder of a vocabulary file; a Python worker keeps it over its tasks."""
-    if path not in _ENCODERS:
+    if (path, limit) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = TextEncoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, limit] = TextEncoder(path, limit)
+    return _ENCODERS[path, limit]

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from test_llm_operators import BYTE_BPE, WORD_BPE, brute_groups, same_rows, table
 from tokenizers import Tokenizer
 
-from kerbside.llm import ngram_join, toxicity
-from kerbside.llm.common import sliced
+from kerbside.llm import ngram_join, packing, toxicity
+from kerbside.llm.common import sliced, small_batches
 from kerbside.llm.ngram_join import ngram_groups, one_of_each_group
 from kerbside.llm.packing import best_packing, lower_bound, pack
 from kerbside.llm.pii import Surrogates, replace_entities
-from kerbside.llm.tokens import TextEncoder
+from kerbside.llm.tokens import TextEncoder, encoder
 from kerbside.operators import bloom
 from kerbside.operators.bloom import rows_maybe_held
 
@@ -191,3 +191,29 @@ def test_a_bounded_filter_keeps_every_key(spark, monkeypatch):
         assert set(held) >= set(range(10, 20_000, 10))
         assert len(held) < 2400
     assert rows_maybe_held(rows, "k", keys.limit(0), "key").count() == 0
+
+
+def test_packing_reads_texts_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 64, 1, 1).selectExpr("id AS doc_id", "repeat(cast(id AS string), 500000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    before = spark.conf.get(key, None)
+    with small_batches(spark):
+        assert texts.mapInArrow(sizes, "size bigint").selectExpr("max(size)").first()[0] < 6 << 20
+    assert spark.conf.get(key, None) == before
+    seen = {}
+
+    def watched(df, label, write=packing.materialise):
+        seen[label] = spark.conf.get(key, None)
+        return write(df, label)
+
+    monkeypatch.setattr(packing, "materialise", watched)
+    pack(table(spark, [(1, "a b")]), BYTE_BPE).collect()
+    assert int(seen["pieces"]) == 4 << 20
+    assert seen["piece-counts"] == before
+    assert encoder(BYTE_BPE, 50)._limit == 50
+    assert encoder(BYTE_BPE)._limit == 800_000
