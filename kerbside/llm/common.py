@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -31,34 +34,53 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+@cache
+def _heap_trim() -> Callable[[int], int] | None:
+    """glibc's ``malloc_trim``; None where the C library has none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A worker lives on after its task, and what its allocators keep would stay with it
+    while other tasks and the JVM need it."""
+    pa.default_memory_pool().release_unused()
+    if trim := _heap_trim():
+        trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in batches of about ``size`` bytes, one row at least, so that a task holds few texts at a time."""
+    """The rows of ``batches`` in batches of about ``size`` bytes, one row at least, so that a task holds few texts at a time.
+    After the last one the task's freed memory is given back."""
     for batch in batches:
-        step = max(1, batch.num_rows * size // max(1, batch.nbytes))
-        for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
-            if part.num_rows > 1 and part.nbytes > 2 * size:  # a few long texts among short ones
-                yield from sliced(iter((part,)), size)
-            else:
-                yield part
-        if not batch.num_rows:
-            yield batch
+        yield from _cut(batch, size)
+    give_back()
+
+
+def _cut(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        if part.num_rows > 1 and part.nbytes > 2 * size:  # a few long texts among short ones
+            yield from _cut(part, size)
+        else:
+            yield part
+    if not batch.num_rows:
+        yield batch
 
 
 @contextmanager
 def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
     """Within it, a batch that Spark hands to Python has about ``size`` bytes, so that neither side of a task holds the 10,000
     texts of a usual batch. For actions only: a query is bound to its batches when it runs."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(size))
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, str(size))
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(key)
+            spark.conf.unset(BATCH_BYTES)
         else:
-            spark.conf.set(key, before)
+            spark.conf.set(BATCH_BYTES, before)
 
 
 def word_array(text: Column, blanks: str = BLANKS) -> Column:

@@ -1,7 +1,9 @@
 """Cases that once broke: short pieces only, very long unbroken texts, rows without ids, unlike texts of one id."""
 
 import random
+import re
 import time
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from test_llm_operators import BYTE_BPE, WORD_BPE, brute_groups, same_rows, table
 from tokenizers import Tokenizer
 
-from kerbside.llm import ngram_join, packing, toxicity
-from kerbside.llm.common import sliced, small_batches
+from kerbside.llm import common, ngram_join, packing, toxicity
+from kerbside.llm.common import BATCH_BYTES, give_back, sliced, small_batches
 from kerbside.llm.ngram_join import ngram_groups, one_of_each_group
 from kerbside.llm.packing import best_packing, lower_bound, pack
 from kerbside.llm.pii import Surrogates, replace_entities
@@ -217,3 +219,43 @@ def test_packing_reads_texts_in_small_batches(spark, monkeypatch):
     assert seen["piece-counts"] == before
     assert encoder(BYTE_BPE, 50)._limit == 50
     assert encoder(BYTE_BPE)._limit == 800_000
+
+
+def test_freed_memory_is_given_back_after_a_task(monkeypatch):
+    def megabytes():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    held = [np.ones(8000) for _ in range(3000)]  # 64 kB each
+    last = held.pop()  # keeps the end of the heap
+    del held
+    before = megabytes()
+    give_back()
+    assert megabytes() < before - 100 and len(last) == 8000
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 100, "y" * 5000, "z"])], ["text"])
+    assert sum(part.num_rows for part in sliced(iter([batch, batch]), 50)) == 6
+    assert calls == [1]
+
+
+def test_every_stage_of_the_pipeline_takes_small_batches(spark, tmp_path, monkeypatch):
+    folder, before, seen = str(tmp_path), spark.conf.get(BATCH_BYTES, None), []
+    docs = table(spark, [(1, "a b c")])
+    for name in ("benchmark", "labels", "documents"):
+        docs.write.parquet(f"{folder}/{name}.parquet")
+    for name in ("without_toxic", "one_of_each_group", "decontaminate", "anonymise", "pack"):
+        monkeypatch.setattr(corpus_pipeline, name, lambda df, *_, **__: seen.append(spark.conf.get(BATCH_BYTES)) or df.select("doc_id", "text"))
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(BATCH_BYTES, str(64 << 20))
+            stage(spark, docs, folder)
+            assert int(spark.conf.get(BATCH_BYTES)) == 4 << 20  # what it returns runs later
+        spark.conf.set(BATCH_BYTES, str(64 << 20))
+        assert corpus_pipeline.run(spark, folder).count() == 1
+        assert int(spark.conf.get(BATCH_BYTES)) == 64 << 20
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_BYTES)
+        else:
+            spark.conf.set(BATCH_BYTES, before)
+    assert [int(x) for x in seen] == 10 * [4 << 20]
